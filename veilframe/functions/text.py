@@ -5,6 +5,7 @@ All of it is native expressions, so it stays in the JVM and next to the scan.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -190,14 +191,19 @@ def title_runs(value: Column) -> Column:
 
 def case_like(original: Column, fake: Column) -> Column:
     """Give ``fake`` the case pattern of ``original``: UPPER, lower or Title."""
-    letters = F.regexp_replace(original, "[^A-Za-z]", "")
-    return (
-        F.when(letters == "", fake)
-        .when(letters == F.upper(letters), F.upper(fake))
-        .when(letters == F.lower(letters), F.lower(fake))
-        .when(letters.rlike("^[A-Z]"), title_runs(fake))
-        .otherwise(fake)
-    )
+
+    def shaped(p: Column) -> Column:
+        letters, new = p["letters"], p["fake"]
+        return (
+            F.when(letters == "", new)
+            .when(letters == F.upper(letters), F.upper(new))
+            .when(letters == F.lower(letters), F.lower(new))
+            .when(letters.rlike("^[A-Z]"), title_runs(new))
+            .otherwise(new)
+        )
+
+    # Bound once: both sides may be long expressions.
+    return let(F.struct(F.regexp_replace(original, "[^A-Za-z]", "").alias("letters"), fake.alias("fake")), shaped)
 
 
 def fit_width(value: Column, width: Column | int | None) -> Column:
@@ -292,9 +298,8 @@ def splice(text: Column, pattern: Column | str, replacement) -> Column:
 
 
 def literal_map(pairs: dict[str, str]) -> Column:
-    """A small, bounded dictionary as a map literal."""
-    flat = [F.lit(x) for pair in sorted(pairs.items()) for x in pair]
-    return F.create_map(*flat)
+    """A small, bounded dictionary as one folded map literal."""
+    return F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), "map<string,string>")
 
 
 def alternation(words) -> str:

@@ -9,6 +9,7 @@ their bucket has used.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from veilframe import config as C
 from veilframe.functions.seeds import literal_array, seed
-from veilframe.operators.joins import bucket_of
+from veilframe.functions.text import literal_map
+from veilframe.operators.joins import bucket_of, lookup
 
 BUCKETS = 1024
 
@@ -138,9 +140,7 @@ def pool_pick(
     with map-side combine. Returns ``values`` with ``word``, null for those that
     won none.
     """
-    table = F.create_map(
-        *[x for key, words in sorted(pools.items()) for x in (F.lit(key), literal_array(words))]
-    )
+    table = F.from_json(F.lit(json.dumps({k: list(w) for k, w in pools.items()}, ensure_ascii=False)), "map<string,array<string>>")
 
     def choice(words: Column, number: int) -> Column:
         draw = seed(tag, str(number), F.col("pool"), F.col("nk"))
@@ -178,7 +178,7 @@ def pool_allocate(
     Compounds have two words at least, so they cannot meet a single word.
     """
     picked = pool_pick(values, pools, tag, used)
-    family = F.create_map(*[x for k, v in sorted(compound.items()) for x in (F.lit(k), F.lit(v))])
+    family = literal_map(compound)
     lost = picked.where(F.col("word").isNull()).withColumn("family", F.element_at(family, F.col("pool")))
     before = None
     if prior is not None:
@@ -219,8 +219,6 @@ def disambiguate(
         claims = claims.join(used.select(F.col("fake_cf").alias("_cf"), F.lit(True).alias("_taken")), "_cf", "left")
     else:
         claims = claims.withColumn("_taken", F.lit(None).cast("boolean"))
-    from veilframe.operators.joins import lookup
-
     marked = lookup(df.withColumn("_cf", F.lower(candidate)), claims, ["_cf"], weight="_n")
     keeps = F.col("_taken").isNull() & (F.col("_owner") == F.col(key))
     kept = marked.where(keeps).drop("_owner", "_taken", "_cf")

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PLAN_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -62,3 +63,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="veilframe-checkpoint-")
         context.setCheckpointDir(current)
     return current
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/veilframe/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(parts: DataFrame | list[DataFrame], name: str) -> DataFrame:
+    """Write an intermediate table to the shared checkpoint folder and read it back.
+
+    Cuts the lineage, so later stages neither recompute the input nor carry its
+    plan, and a lost executor re-reads files. The reader also knows the size of
+    the files, which lets the planner broadcast on a measured size. A list is
+    written part by part, each as a job of its own.
+    """
+    parts = parts if isinstance(parts, list) else [parts]
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    path = scratch_path(spark, name)
+    for part in parts:
+        part.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
