@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
@@ -37,7 +38,10 @@ def lookup(
         .select(*keys, F.struct(*values).alias("_hot"))
     )
     first, rest = keys[0], keys[1:]
-    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*rows.columns), F.lit(SPREAD)).cast("string"))
+    # Depends on the row and its input split only, so a repeated task spreads alike.
+    plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, (T.StringType, T.NumericType))]
+    place = F.xxhash64(F.spark_partition_id(), *plain)
+    spread = F.concat(F.lit("\u0000"), F.pmod(place, F.lit(SPREAD)).cast("string"))
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_first", F.when(F.col("_hot").isNull(), F.col(first).cast("string")).otherwise(spread)
     )
