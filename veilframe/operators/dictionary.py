@@ -162,7 +162,7 @@ def _pattern(entries: Column, match: Match) -> Column:
         ),
         "|",
     )
-    flags = "(?i)" if match.ignore_case else ""
+    flags = "(?iu)" if match.ignore_case else ""
     tags = f"{X.HTML_TAG}|" if match.avoid_tags else ""
     return F.concat(F.lit(flags + tags), F.lit("(?:"), body, F.lit(")"))
 

@@ -218,10 +218,10 @@ def geo_spans(
         groups.append(F.coalesce("m", F.array().cast(SPANS)))
     # The ambiguous keys come from the bundled lists, so they fit a literal-sized array.
     doubtful = places.where("ambiguous").agg(F.collect_set("nk").alias("a")).scalar()
-    merged = frame.withColumn("spans", priority_merge(groups, F.col(text)))
+    merged = frame.withColumn("_doubtful", doubtful).withColumn("spans", priority_merge(groups, F.col(text)))
     merged = merged.withColumn("spans", reject_short(F.col("spans"), F.col(text)))
     merged = merged.withColumn(
-        "spans", resolve_ambiguous(F.col("spans"), F.col(text), doubtful, column, F.col(country) if country else None)
+        "spans", resolve_ambiguous(F.col("spans"), F.col(text), F.col("_doubtful"), column, F.col(country) if country else None)
     )
     return merged.select(key, "spans")
 
