@@ -165,7 +165,7 @@ def anonymize(
             keyed = out.withColumn("_v", F.when(filter_condition(p, df.columns), F.col(p.column).cast("string"))).withColumn(
                 "_c", F.coalesce(country, F.lit(""))
             )
-            out = lookup(keyed, table_, ["_v", "_c"], weight="n").drop("_v", "_c")
+            out = lookup(keyed, table_, ["_v", "_c"], weight=answer.weight).drop("_v", "_c")
             audits.append(answers.select(F.lit(p.column).alias("column"), "original", "fake", "outcome"))
 
     ids = [p for p in direct if p.type == "id"]

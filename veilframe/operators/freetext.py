@@ -298,12 +298,12 @@ def han_backstop(text: Column, fakes: Column) -> Column:
     return F.when(X.is_han(text), X.splice(text, HAN_TOKEN, one)).otherwise(text)
 
 
-def fake_maps(mentions: DataFrame, resolved: DataFrame, key: str) -> DataFrame:
+def fake_maps(mentions: DataFrame, resolved: DataFrame, key: str, weight: str | None = "n") -> DataFrame:
     """``key -> fakes`` map per text from its ``key, ptype, original`` mentions."""
     from veilframe.operators.joins import lookup
 
     table = resolved.groupBy("original", "ptype").agg(F.min("fake").alias("_fake"), F.sum("n").alias("n"))
-    joined = lookup(mentions.select(key, "original", "ptype").distinct(), table, ["original", "ptype"], weight="n")
+    joined = lookup(mentions.select(key, "original", "ptype").distinct(), table, ["original", "ptype"], weight=weight)
     return joined.where(F.col("_fake").isNotNull()).groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct(F.concat_ws("|", "ptype", "original"), "_fake"))).alias("fakes")
     )
@@ -350,7 +350,7 @@ def scrub_texts(
     values = materialize(answer.values, "resolved")
     token_table = answer.tokens if answer.tokens is not None else tokens
     resolved.append(values)
-    maps = fake_maps(mentions, values, key)
+    maps = fake_maps(mentions, values, key, answer.weight)
     joined = base.join(maps, key, "left").withColumn("fakes", F.coalesce("fakes", F.create_map().cast("map<string,string>")))
     precise = F.when(needs_precise_pass(F.col("_text")), precise_pass(F.col("_text"), F.col("fakes"), config)).otherwise(F.col("_text"))
     current = joined.withColumn("pre", precise)

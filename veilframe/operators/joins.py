@@ -28,9 +28,9 @@ def lookup(
     which adaptive execution turns into a broadcast when it measures a small
     table. Without a weight the join is left to adaptive skew handling.
     """
-    values = [c for c in table.columns if c not in keys and c != weight]
-    if weight is None:
-        return rows.join(table, keys, "left")
+    values = [c for c in table.columns if c not in keys and c not in (weight, "n", "copies")]
+    if weight is None or weight not in table.columns:
+        return rows.join(table.select(*keys, *values), keys, "left").select(*rows.columns, *values)
     hot = (
         table.where(F.col(weight) >= hot_rows)
         .orderBy(F.col(weight).desc(), *keys)

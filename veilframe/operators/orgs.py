@@ -87,12 +87,17 @@ def org_candidate(value: Column, config: Config = DEFAULT) -> Column:
 
 
 def org_fakes(
-    values: DataFrame, used: DataFrame | None = None, prior: DataFrame | None = None, config: Config = DEFAULT
+    values: DataFrame,
+    used: DataFrame | None = None,
+    prior: DataFrame | None = None,
+    config: Config = DEFAULT,
+    with_han: bool = True,
 ) -> DataFrame:
     """``nk -> fake`` for distinct organisations ``nk, canon``.
 
     Han names draw from their own pool, acronyms go through a bijection, all
-    others are rebuilt run by run and then made unique.
+    others are rebuilt run by run and then made unique. ``with_han`` is false
+    when no value has Han text.
     """
     trimmed = values.withColumn("canon", F.trim("canon"))
     han = trimmed.where(X.is_han(F.col("canon")))
@@ -103,9 +108,8 @@ def org_fakes(
     moved = F.lower("fake") != F.lower("canon")
     plain = disambiguate(drafted.where(moved).select("nk", "fake"), "fake", "nk", word_tail, used)
     kept = drafted.where(~moved).select("nk", "fake")
-    return (
-        acronyms.unionByName(plain).unionByName(kept).unionByName(chinese.han_orgs(han, used, prior))
-    )
+    out = acronyms.unionByName(plain).unionByName(kept)
+    return out.unionByName(chinese.han_orgs(han, used, prior)) if with_han else out
 
 
 def segment_fake(word: Column, config: Config = DEFAULT) -> Column:

@@ -167,10 +167,12 @@ def distinct_tokens(rows: DataFrame) -> DataFrame:
     )
 
 
-def assemble(people: DataFrame, rows: DataFrame, tokens: DataFrame, text: str, keys: list[str]) -> DataFrame:
+def assemble(
+    people: DataFrame, rows: DataFrame, tokens: DataFrame, text: str, keys: list[str], weight: str | None = "n"
+) -> DataFrame:
     """Put token fakes back between the separators of each name; adds ``fake``."""
     table = tokens.select(F.col("role").alias("trole"), F.col("nk").alias("tnk"), F.col("fake").alias("_f"), "n")
-    joined = lookup(rows, table, ["tnk", "trole"], weight="n")
+    joined = lookup(rows, table, ["tnk", "trole"], weight=weight)
     worded = joined.select(
         *keys, "pos", F.coalesce(X.case_like(F.col("token"), F.col("_f")), F.col("token")).alias("word")
     )
@@ -296,6 +298,7 @@ def assemble_emails(
     used: DataFrame | None,
     keys: list[str],
     config: Config = DEFAULT,
+    weight: str | None = "n",
 ) -> DataFrame:
     """Fake addresses, unique over all originals; adds ``fake``.
 
@@ -308,7 +311,7 @@ def assemble_emails(
         table = table.join(better, ["tnk", "trole"], "left").select(
             "trole", "tnk", F.coalesce("_w", "_f").alias("_f"), "n"
         )
-    joined = lookup(rows, table, ["tnk", "trole"], weight="n")
+    joined = lookup(rows, table, ["tnk", "trole"], weight=weight)
     grouped = joined.where(F.col("_f").isNotNull()).groupBy(*keys).agg(
         F.map_from_entries(
             F.array_distinct(F.collect_list(F.struct(F.concat_ws("|", "trole", "tnk").alias("k"), F.col("_f").alias("v"))))

@@ -18,6 +18,7 @@ from veilframe import config as C
 from veilframe.config import DEFAULT, Config
 from veilframe.functions import text as X
 from veilframe.operators import chinese, generators, orgs, people, places
+from veilframe.operators.joins import HOT_ROWS
 from veilframe.session import materialize
 from veilframe.sources import entity_map as em
 
@@ -48,6 +49,12 @@ class Resolution:
 
     values: DataFrame
     tokens: DataFrame | None = None
+    hot: bool = True
+
+    @property
+    def weight(self) -> str | None:
+        """Weight column for joining fakes back; none when no value is frequent."""
+        return "n" if self.hot else None
 
     def new_pairs(self) -> DataFrame:
         """Pairs generated in this run, as input of :func:`entity_map.new_rows`."""
@@ -105,13 +112,13 @@ def guard(values: DataFrame, entity_map: DataFrame | None = None, config: Config
     etype = F.when((etype == "org_code") & ~orgs.is_coded(stem), "org").otherwise(etype)
     df = df.withColumn("_settled", settled).withColumn("etype", etype).drop("_rnk", "_rlabel", "_rfake")
     canon = F.when(F.col("etype") == "person", X.first_last(stem)).otherwise(stem)
-    return (
-        df.withColumn("kept_as", F.col("_settled")["fake"])
-        .withColumn("outcome", F.col("_settled")["outcome"])
-        .withColumn("canon", canon)
-        .withColumn("nk", X.normalize(F.col("canon")))
-        .drop("_settled")
-    )
+    return df.withColumn("canon", canon).withColumns(
+        {
+            "kept_as": F.col("_settled")["fake"],
+            "outcome": F.col("_settled")["outcome"],
+            "nk": X.normalize(F.col("canon")),
+        }
+    ).drop("_settled")
 
 
 # --- generators by type -----------------------------------------------------
@@ -136,7 +143,9 @@ def _by_key(build) -> Generator:
 
 
 def _orgs(keys: DataFrame, ctx: Context) -> DataFrame:
-    return orgs.org_fakes(keys.select("nk", "canon"), ctx.used, ctx.prior("org"), ctx.config)
+    return orgs.org_fakes(
+        keys.select("nk", "canon"), ctx.used, ctx.prior("org"), ctx.config, ctx.extra.get("han", True)
+    )
 
 
 def _org_codes(keys: DataFrame, ctx: Context) -> DataFrame:
@@ -197,6 +206,7 @@ def _people(
 ) -> tuple[list[DataFrame], DataFrame]:
     """Persons and e-mails together: both draw on one token table."""
     made: list[DataFrame] = []
+    weight = ctx.extra.get("weight", "n")
     read = people.read_person(persons).where("shape <> 'annotated'")
     plain = read.where("shape = 'plain'")
     rows = people.explode_tokens(plain, "body", "role", KEYS)
@@ -217,8 +227,9 @@ def _people(
     tokens = materialize(people.allocate_tokens(wanted, known, ctx.used, ctx.config), "tokens")
     if present.get("person"):
         made.append(
-            people.assemble(plain, rows, tokens, "body", KEYS).select(*KEYS, F.concat("title", "fake").alias("fake"))
+            people.assemble(plain, rows, tokens, "body", KEYS, weight).select(*KEYS, F.concat("title", "fake").alias("fake"))
         )
+    if present.get("person") and (ctx.extra["bilingual"] or ctx.extra["han"]):
         bilingual = read.where("shape = 'bilingual'").withColumn(
             "identity", F.concat_ws("|", F.lower("bilingual.latin"), "bilingual.han")
         )
@@ -232,7 +243,7 @@ def _people(
         wholes = reused.where("role in ('first', 'last')").select("role", "nk", "fake") if reused is not None else None
         addresses = people.assemble_emails(
             addressed.withColumn("_id", F.col("nk")), email_rows.withColumn("_id", F.col("nk")), tokens, wholes,
-            ctx.used, [*KEYS, "_id"], ctx.config,
+            ctx.used, [*KEYS, "_id"], ctx.config, weight,
         )
         made.append(addresses.select(*KEYS, "fake"))
     return made, tokens
@@ -257,31 +268,51 @@ def resolve(
     """
     used = em.used_view(entity_map) if entity_map is not None else None
     ctx = Context(config, entity_map, used, subdivisions, {"region_pool": region_pool, "tokens": tokens})
-    guarded = materialize(guard(values, entity_map, config), "guarded")
+    guarded = people.read_person(guard(values, entity_map, config)).withColumn(
+        "shape", F.when(F.col("etype") == "person", F.col("shape"))
+    )
+    guarded = materialize(guarded, "guarded")
     open_ = guarded.where(F.col("outcome").isNull())
+    # One row per type tells which branches have work to do and whether any value is frequent.
+    facts = {
+        r["etype"]: r
+        for r in open_.groupBy("etype").agg(
+            F.max(F.col("shape") == "annotated").alias("annotated"),
+            F.max(F.col("shape") == "bilingual").alias("bilingual"),
+            F.max(X.is_han(F.col("canon"))).alias("han"),
+            F.max("n").alias("most"),
+            F.count("*").alias("values"),
+        ).collect()
+    }
+    hot = any(r["most"] >= HOT_ROWS or r["values"] >= HOT_ROWS for r in facts.values())
+    noted = any(r["annotated"] for r in facts.values())
+    ctx.extra["bilingual"] = any(r["bilingual"] for r in facts.values()) or noted
+    ctx.extra["han"] = any(r["han"] for r in facts.values())
+    ctx.extra["weight"] = "n" if hot else None
 
-    # Annotated names bring two more values: the name and the note.
-    annotated = people.read_person(
-        open_.where("etype = 'person'").select("role", "canon", "nk").distinct()
-    ).where("shape = 'annotated'")
     nothing = F.lit(None).cast("string")
     no_hints = F.array().cast(people.HINT_TYPE)
-    extra = annotated.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("person").alias("etype"), F.col("role"), F.col("named").alias("canon")),
-                F.struct(F.lit("org").alias("etype"), F.lit("").alias("role"), F.col("note").alias("canon")),
+    wanted = open_.select("etype", "role", "canon", "nk", "country", "hints", "n")
+    annotated = open_.where("shape = 'annotated'").select(
+        "role", "canon", "nk", "title", "body", "named", "note"
+    ).dropDuplicates(["role", "nk"])
+    if noted:
+        # Annotated names bring two more values: the name and the note.
+        extra = annotated.select(
+            F.explode(
+                F.array(
+                    F.struct(F.lit("person").alias("etype"), F.col("role"), F.col("named").alias("canon")),
+                    F.struct(F.lit("org").alias("etype"), F.lit("").alias("role"), F.col("note").alias("canon")),
+                )
+            ).alias("v")
+        ).select("v.etype", "v.role", X.first_last(F.col("v.canon")).alias("canon"))
+        extra = extra.where((F.length(F.trim("canon")) > 1) & ~X.is_harvest_stop(F.col("canon")))
+        wanted = wanted.unionByName(
+            extra.select(
+                "etype", "role", "canon", X.normalize(F.col("canon")).alias("nk"),
+                nothing.alias("country"), no_hints.alias("hints"), F.lit(1).cast("bigint").alias("n"),
             )
-        ).alias("v")
-    ).select("v.etype", "v.role", X.first_last(F.col("v.canon")).alias("canon"))
-    extra = extra.where((F.length(F.trim("canon")) > 1) & ~X.is_harvest_stop(F.col("canon")))
-
-    wanted = open_.select("etype", "role", "canon", "nk", "country", "hints", "n").unionByName(
-        extra.select(
-            "etype", "role", "canon", X.normalize(F.col("canon")).alias("nk"),
-            nothing.alias("country"), no_hints.alias("hints"), F.lit(1).cast("bigint").alias("n"),
         )
-    )
     # Region and state depend on the country, persons on the role; nothing else does.
     keys = (
         wanted.withColumn("role", F.when(F.col("etype") == "person", F.col("role")).otherwise(F.lit("")))
@@ -312,10 +343,7 @@ def resolve(
     made: list[DataFrame] = []
     token_table = None
     if present.get("person") or present.get("email"):
-        whole = todo.where("etype = 'person'").join(
-            annotated.select("role", "nk", F.lit(True).alias("_noted")), ["role", "nk"], "left"
-        ).where("_noted is null").drop("_noted") if present.get("person") else todo.where("false")
-        made_people, token_table = _people(whole, todo.where("etype = 'email'"), ctx, present)
+        made_people, token_table = _people(todo.where("etype = 'person'"), todo.where("etype = 'email'"), ctx, present)
         made += made_people
     for ptype, generator in GENERATORS.items():
         if present.get(ptype):
@@ -333,7 +361,7 @@ def resolve(
             "source", F.when(F.col("map_id").isNotNull(), "REWRITE").otherwise("NEW")
         )
     found = reused.withColumn("source", F.lit("REUSE")).unionByName(fresh)
-    if present.get("person"):
+    if noted:
         found = _compose_annotated(found, annotated)
     settled = guarded.where(F.col("outcome").isNotNull()).select(
         "ptype", "role", "original", "country", "etype", F.col("stem").alias("target"),
@@ -361,7 +389,7 @@ def resolve(
         target_fake.alias("target_fake"), F.concat(target_fake, F.col("ext")).alias("fake"),
         outcome.alias("outcome"), "map_id", "n",
     )
-    return Resolution(settled.unionByName(answered), token_table)
+    return Resolution(settled.unionByName(answered), token_table, hot)
 
 
 def _compose_annotated(found: DataFrame, annotated: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARALLEL_JOBS = 8
 PLAN_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -76,11 +78,14 @@ def materialize(parts: DataFrame | list[DataFrame], name: str) -> DataFrame:
     Cuts the lineage, so later stages neither recompute the input nor carry its
     plan, and a lost executor re-reads files. The reader also knows the size of
     the files, which lets the planner broadcast on a measured size. A list is
-    written part by part, each as a job of its own.
+    written as one job per part.
     """
     parts = parts if isinstance(parts, list) else [parts]
     spark, schema = parts[0].sparkSession, parts[0].schema
     path = scratch_path(spark, name)
-    for part in parts:
-        part.write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    paths = [f"{path}/{i}" for i in range(len(parts))]
+    # Independent jobs, so the cluster may run them side by side.
+    with ThreadPoolExecutor(max_workers=min(len(parts), PARALLEL_JOBS)) as pool:
+        for done in [pool.submit(part.write.parquet, at) for part, at in zip(parts, paths)]:
+            done.result()
+    return spark.read.schema(schema).parquet(*paths)
