@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import fragments as Q
 from veilframe import config as C
+from veilframe.sources.tables import scan
 
 QUERIES: dict[str, object] = {}
 ORACLES: dict[str, str] = {}
@@ -24,8 +25,11 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+SMALL = ("region", "nation", "supplier", "benchmark", "labels")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return scan(spark, f"{sf_dir}/{name}.parquet", spread=name not in SMALL)
 
 
 # Invented names spelled from a key: the same expression in both dialects.

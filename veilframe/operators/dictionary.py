@@ -154,21 +154,26 @@ def _pattern(entries: Column, match: Match) -> Column:
         lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0),
     )
     at = "@" if match.avoid_at else ""
-    open_, close = f"(?<![{match.bounds}{at}])", f"(?![{match.bounds}{at}])"
-    body = F.array_join(
-        F.transform(
-            ordered,
-            lambda e: F.when(X.is_han(e), X.quote_pattern(e)).otherwise(F.concat(F.lit(open_), X.quote_pattern(e), F.lit(close))),
-        ),
+    han = F.filter(ordered, X.is_han)
+    worded = F.filter(ordered, lambda e: ~X.is_han(e))
+
+    def joined(entries_: Column) -> Column:
+        return F.array_join(F.transform(entries_, X.quote_pattern), "|")
+
+    # The bounds stand around the whole group, so they are tested once per position.
+    open_, close = F.lit(f"(?<![{match.bounds}{at}])(?:"), F.lit(f")(?![{match.bounds}{at}])")
+    body = F.concat_ws(
         "|",
+        F.when(F.size(worded) > 0, F.concat(open_, joined(worded), close)),
+        F.when(F.size(han) > 0, joined(han)),
     )
     flags = "(?iu)" if match.ignore_case else ""
     tags = f"{X.HTML_TAG}|" if match.avoid_tags else ""
     return F.concat(F.lit(flags + tags), F.lit("(?:"), body, F.lit(")"))
 
 
-def replace_entries(text: Column, entries: Column, match: Match, protect: Column | None = None) -> Column:
-    """Rewrite one text with its own entries: leftmost, then longest.
+def rewrite_entries(text: Column, entries: Column, match: Match, protect: Column | None = None) -> Column:
+    """``struct(text, count)``: one text rewritten with its own entries, leftmost, then longest.
 
     Markup is consumed as whole tags first, so nothing inside a tag is touched.
     ``protect`` lists folded fakes that must not be faked again.
@@ -176,20 +181,45 @@ def replace_entries(text: Column, entries: Column, match: Match, protect: Column
     usable = entries
     if protect is not None:
         usable = F.map_filter(entries, lambda k, v: ~F.array_contains(protect, F.lower(k)))
+    unchanged = F.struct(text.alias("text"), F.lit(0).alias("count"))
+
+    def rewritten(p: Column) -> Column:
+        table, pattern = p["table"], p["pattern"]
+
+        def fakes(hits: Column) -> Column:
+            def one(hit: Column) -> Column:
+                fake = F.try_element_at(table, fold(hit, match))
+                return X.case_like(hit, fake) if match.case_adapt else fake
+
+            return F.zip_with(hits, F.transform(hits, one), lambda h, f: F.struct(h.alias("hit"), f.alias("fake")))
 
-    def fake_of(table: Column, hit: Column) -> Column:
-        fake = F.try_element_at(table, fold(hit, match))
-        shown = X.case_like(hit, fake) if match.case_adapt else fake
-        return F.when(fake.isNull(), hit).otherwise(shown)
+        def put(pairs: Column) -> Column:
+            pieces = F.zip_with(
+                F.split(text, pattern, -1), pairs,
+                lambda gap, p_: F.concat(gap, F.coalesce(p_["fake"], p_["hit"], F.lit(""))),
+            )
+            return F.struct(
+                F.array_join(pieces, "").alias("text"),
+                F.size(F.filter(pairs, lambda p_: p_["fake"].isNotNull())).alias("count"),
+            )
+
+        hits = F.regexp_extract_all(text, pattern, F.lit(0))
+        return X.let(fakes(hits), put)
 
     def run(table: Column) -> Column:
-        return F.when(F.size(table) > 0, X.splice(text, _pattern(table, match), lambda m: fake_of(table, m))).otherwise(text)
+        bound = F.struct(table.alias("table"), _pattern(table, match).alias("pattern"))
+        return F.when(F.size(table) > 0, X.let(bound, rewritten)).otherwise(unchanged)
 
-    return F.when(F.coalesce(F.size(entries), F.lit(0)) <= 0, text).otherwise(X.let(usable, run))
+    return F.when(F.coalesce(F.size(entries), F.lit(0)) <= 0, unchanged).otherwise(X.let(usable, run))
+
+
+def replace_entries(text: Column, entries: Column, match: Match, protect: Column | None = None) -> Column:
+    """The rewritten text of :func:`rewrite_entries`."""
+    return rewrite_entries(text, entries, match, protect)["text"]
 
 
 def count_entries(text: Column, entries: Column, match: Match) -> Column:
-    """Number of occurrences :func:`replace_entries` would rewrite."""
+    """Number of occurrences :func:`rewrite_entries` would replace."""
 
     def run(table: Column) -> Column:
         hits = F.regexp_extract_all(text, _pattern(table, match), F.lit(0))
@@ -220,8 +250,8 @@ def scrub_with_map(
     for _ in range(rounds):
         maps = entry_map(found_entries(current, "_rid", "_new", prepared, match), "_rid")
         current = current.join(maps, "_rid", "left")
-        current = current.withColumn("_count", F.col("_count") + count_entries(F.col("_new"), F.col("entries"), match))
-        current = current.withColumn("_new", replace_entries(F.col("_new"), F.col("entries"), match)).drop("entries")
+        done = current.withColumn("_r", rewrite_entries(F.col("_new"), F.col("entries"), match))
+        current = done.select("_rid", "_text", F.col("_r.text").alias("_new"), (F.col("_count") + F.col("_r.count")).alias("_count"))
     changed = current.where("_count > 0").select("_rid", "_new", "_count")
     joined = out.join(changed, "_rid", "left")
     fits = F.lit(True) if width is None else F.length("_new") <= width

@@ -27,9 +27,8 @@ from veilframe.session import materialize
 EMAIL = (
     "(?<!\\\\)(?<![\\p{L}\\p{N}])[A-Za-z0-9](?:[A-Za-z0-9._%+\\-]*[A-Za-z0-9])?@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
 )
-EMAIL_ENCODED = "(?i)[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?%40[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
 AT_ENTITY = "(?i)&(?:amp;)?#(?:64|x40);"
-EMAIL_ENTITY = "(?i)[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?&(?:amp;)?#(?:64|x40);[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
+EMAIL_ENTITY = "(?i)(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?&(?:amp;)?#(?:64|x40);[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
 PROFILE = (
     "(?i)(?<=linkedin\\.com/)(?!(?:" + "|".join(C.NON_PROFILE_PATHS) + ")(?:/|$))"
     "(?:in/|pub/)?[A-Za-z0-9][A-Za-z0-9\\-]{0,100}"
@@ -48,29 +47,38 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
 
+# An encoded address that follows a ``%XX`` escape starts behind it, not inside it.
+_LOCAL = "[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?"
+_AFTER = "[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
+ENCODED_ANY = f"(?i)(?:(?<=%[0-9a-f]{{2}})|(?<!%)(?<!%[0-9a-f])(?<![A-Za-z0-9])){_LOCAL}%40{_AFTER}"
+
+
 def decoded(email: Column) -> Column:
-    """Address behind a ``%40`` or HTML-entity spelling; a stray hex pair of ``%XX`` is cut off."""
-    plain = F.regexp_replace(F.regexp_replace(email, "(?i)%40", "@"), AT_ENTITY, "@")
-    return plain
+    """Address behind a ``%40`` or HTML-entity spelling."""
+    return F.regexp_replace(F.regexp_replace(email, "(?i)%40", "@"), AT_ENTITY, "@")
+
 
+def found_if(condition: Column, found: Column) -> Column:
+    """Run a pattern only where a cheap test says it can match."""
+    return F.when(condition, found).otherwise(F.array().cast("array<string>"))
 
-def encoded_prefix(text: Column) -> Column:
-    """Encoded addresses whose first two characters belong to a ``%XX`` before them."""
-    return find_all(text, "(?i)(?<=%)[0-9a-f]{2}(?=[A-Za-z0-9][A-Za-z0-9._+\\-]*%40)")
 
+def has_at(text: Column) -> Column:
+    return F.contains(text, F.lit("@"))
 
-ENCODED_BODY = "(?i)(?<!%)(?<!%[0-9a-f])[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?%40[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
-ENCODED_ANY = f"(?:(?<=%[0-9a-fA-F]{{2}})[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?%40[A-Za-z0-9.\\-]+\\.[A-Za-z]{{2,}})|(?:{ENCODED_BODY})"
+
+def has_entity(text: Column) -> Column:
+    return F.contains(text, F.lit("#64;")) | F.contains(F.lower(text), F.lit("#x40;"))
 
 
 def emails_in(text: Column) -> Column:
     """Distinct addresses a text mentions, in any spelling."""
     return F.array_distinct(
         F.concat(
-            find_all(text, EMAIL),
-            F.transform(find_all(text, ENCODED_ANY), decoded),
-            F.transform(find_all(text, EMAIL_ENTITY), decoded),
-            F.transform(find_all(text, JSON_ADDRESS, 1), F.trim),
+            found_if(has_at(text), find_all(text, EMAIL)),
+            found_if(F.contains(text, F.lit("%40")), F.transform(find_all(text, ENCODED_ANY), decoded)),
+            found_if(has_entity(text), F.transform(find_all(text, EMAIL_ENTITY), decoded)),
+            found_if(has_at(text) & F.contains(text, F.lit('"')), F.transform(find_all(text, JSON_ADDRESS, 1), F.trim)),
         )
     )
 
@@ -95,12 +103,13 @@ def mentioned(text: Column, han: bool = True) -> Column:
             values, lambda v: F.struct(F.lit(ptype).alias("ptype"), v.alias("original"), none.alias("hints"))
         )
 
-    def filled(pattern: str) -> Column:
-        return F.filter(find_all(text, pattern, 1), lambda v: F.trim(v) != "")
+    def filled(key: str, pattern: str, group: int = 1) -> Column:
+        there = F.contains(text, F.lit(f'"{key}"'))
+        return found_if(there, F.filter(find_all(text, pattern, group), lambda v: F.trim(v) != ""))
 
-    names = F.filter(filled(JSON_NAME), lambda v: ~v.rlike(X.ATTACHMENT_SHAPE))
+    names = F.filter(filled("name", JSON_NAME), lambda v: ~v.rlike(X.ATTACHMENT_SHAPE))
     compounds = F.arrays_zip(
-        find_all(text, JSON_RESOURCE, 1).alias("name"), find_all(text, JSON_RESOURCE, 2).alias("email")
+        filled("ResourceName", JSON_RESOURCE, 1).alias("name"), filled("ResourceName", JSON_RESOURCE, 2).alias("email")
     )
 
     def resource(p: Column) -> Column:
@@ -121,12 +130,12 @@ def mentioned(text: Column, han: bool = True) -> Column:
     parts = [
         typed(emails_in(text), "email").cast(f"array<{VALUE}>"),
         typed(names, "person").cast(f"array<{VALUE}>"),
-        typed(filled(JSON_LOCATION), "location").cast(f"array<{VALUE}>"),
-        typed(filled(JSON_PHONE), "phone").cast(f"array<{VALUE}>"),
+        typed(filled("location", JSON_LOCATION), "location").cast(f"array<{VALUE}>"),
+        typed(filled("phone", JSON_PHONE), "phone").cast(f"array<{VALUE}>"),
         F.flatten(F.transform(F.filter(compounds, lambda p: F.trim(p["name"]) != ""), resource)).cast(f"array<{VALUE}>"),
     ]
     if han:
-        parts.append(typed(han_tokens(text), "org").cast(f"array<{VALUE}>"))
+        parts.append(typed(found_if(X.is_han(text), han_tokens(text)), "org").cast(f"array<{VALUE}>"))
     return F.concat(*parts)
 
 
@@ -251,16 +260,20 @@ def precise_pass(text: Column, fakes: Column, config: Config = DEFAULT) -> Colum
         shape = "(?i)^((?:in/|pub/)?)(.*)$"
         return F.concat(F.regexp_extract(match, shape, 1), fake_id(F.regexp_extract(match, shape, 2), config))
 
+    def keyed(key: str, pattern: str, fake: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        there = F.lit(f'"{key}"')
+        return lambda t: F.when(F.contains(t, there), _json_value(t, pattern, fake)).otherwise(t)
+
     steps: list[Callable[[Column], Column]] = [
-        lambda t: X.splice(t, JSON_RESOURCE, resource),
-        lambda t: X.splice(t, EMAIL, lambda m: same("email", m)),
-        lambda t: X.splice(t, ENCODED_ANY, encoded),
-        lambda t: X.splice(t, EMAIL_ENTITY, entity),
-        lambda t: X.splice(t, PROFILE, slug),
-        lambda t: _json_value(t, JSON_BIRTH, lambda v: fake_birth(v, config)),
-        lambda t: _json_value(t, JSON_LOCATION, lambda v: fake_of("location", v)),
-        lambda t: _json_value(t, JSON_PHONE, lambda v: fake_of("phone", v)),
-        lambda t: _json_value(t, JSON_NAME, lambda v: fake_of("person", v)),
+        lambda t: F.when(F.contains(t, F.lit('"ResourceName"')), X.splice(t, JSON_RESOURCE, resource)).otherwise(t),
+        lambda t: F.when(has_at(t), X.splice(t, EMAIL, lambda m: same("email", m))).otherwise(t),
+        lambda t: F.when(F.contains(t, F.lit("%40")), X.splice(t, ENCODED_ANY, encoded)).otherwise(t),
+        lambda t: F.when(has_entity(t), X.splice(t, EMAIL_ENTITY, entity)).otherwise(t),
+        lambda t: F.when(F.contains(F.lower(t), F.lit("linkedin.com/")), X.splice(t, PROFILE, slug)).otherwise(t),
+        keyed("birth", JSON_BIRTH, lambda v: fake_birth(v, config)),
+        keyed("location", JSON_LOCATION, lambda v: fake_of("location", v)),
+        keyed("phone", JSON_PHONE, lambda v: fake_of("phone", v)),
+        keyed("name", JSON_NAME, lambda v: fake_of("person", v)),
     ]
 
     def chain(current: Column, rest: list) -> Column:
@@ -274,11 +287,11 @@ def precise_pass(text: Column, fakes: Column, config: Config = DEFAULT) -> Colum
 def needs_precise_pass(text: Column) -> Column:
     """Cheap test that spares most cells the passes."""
     return (
-        F.contains(text, F.lit("@"))
+        has_at(text)
         | F.contains(text, F.lit("%40"))
-        | text.rlike("(?i)#(?:64|x40);")
+        | has_entity(text)
         | F.contains(F.lower(text), F.lit("linkedin.com/"))
-        | text.rlike('"(?:name|birth|location|phone|ResourceName)"')
+        | (F.contains(text, F.lit('"')) & text.rlike('"(?:name|birth|location|phone|ResourceName)"'))
     )
 
 

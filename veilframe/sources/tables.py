@@ -17,10 +17,15 @@ def scan(
     limit: int | str | None = None,
     order_by: list[str] | None = None,
     fmt: str = "parquet",
+    spread: bool = False,
     **options,
 ) -> DataFrame:
     """Table scan with projection and an optional row budget.
 
+    ``spread`` redistributes the rows when the files give fewer splits than
+    there are cores, which is what CPU-heavy work on a small table needs. A
+    table with enough splits is never shuffled.
+
     ``limit`` may be a number, or ``all``/``complete``/``full``/None for no
     budget. With ``order_by`` the budget takes the same rows every time, as a
     top-k rather than a full sort.
@@ -28,6 +33,10 @@ def scan(
     df = spark.read.format(fmt).options(**options).load(path)
     if columns:
         df = df.select(*columns)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     return take(df, limit, order_by)
 
 
