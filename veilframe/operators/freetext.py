@@ -24,8 +24,11 @@ from veilframe.operators.rowhints import apply_fragments
 from veilframe.session import materialize
 
 # --- fixed values: what is recognised ----------------------------------------
+# An address does not start inside a word. The letter of a JSON escape such as
+# ``\\n`` directly before it is no part of a word.
 EMAIL = (
-    "(?<!\\\\)(?<![\\p{L}\\p{N}])[A-Za-z0-9](?:[A-Za-z0-9._%+\\-]*[A-Za-z0-9])?@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
+    "(?:(?<=\\\\[nrt])|(?<!\\\\)(?<![\\p{L}\\p{N}]))"
+    "[A-Za-z0-9](?:[A-Za-z0-9._%+\\-]*[A-Za-z0-9])?@[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
 )
 AT_ENTITY = "(?i)&(?:amp;)?#(?:64|x40);"
 EMAIL_ENTITY = "(?i)(?<![A-Za-z0-9])[A-Za-z0-9](?:[A-Za-z0-9._+\\-]*[A-Za-z0-9])?&(?:amp;)?#(?:64|x40);[A-Za-z0-9.\\-]+\\.[A-Za-z]{2,}"
