@@ -11,6 +11,7 @@ from veilframe import config as C
 from veilframe.operators import verify as V
 from veilframe.operators.allocate import dense_ids
 from veilframe.operators.apply import anonymize
+from veilframe.operators.detector import detector_sample
 from veilframe.plans import keys as K
 from veilframe.plans import plan as P
 from veilframe.plans import profile as PR
@@ -146,6 +147,14 @@ def analyze_plan(spark, sf_dir):
     return out.select("column", "type", "mode", "enabled", "confidence")
 
 
+@query("analyze_detected")
+def analyze_detected(spark, sf_dir):
+    """Plan of the documents with the rule detector run on a few values per column."""
+    docs = table(spark, sf_dir, "documents")
+    seen = detector_sample(docs, ["text", "lang", "source"])
+    return PR.analyze(docs, seen, samples=3).select("column", "type", "enabled", "confidence", F.size("samples").alias("shown"))
+
+
 @query(
     "set_plan",
     f"""SELECT "column", CASE lower("column") WHEN 'c_mktsegment' THEN 'org_code' WHEN 'text' THEN 'freetext' WHEN 'city' THEN 'org' ELSE type END AS type,

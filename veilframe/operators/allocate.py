@@ -200,6 +200,7 @@ def disambiguate(
     tail,
     used: DataFrame | None = None,
     prior: DataFrame | None = None,
+    hot: bool = True,
 ) -> DataFrame:
     """Make ``candidate`` unique over distinct ``key`` values.
 
@@ -208,7 +209,8 @@ def disambiguate(
     ``tail(candidate, number)`` with a number unique under that candidate. The
     groups are counted with partial aggregation and numbered inside hash
     buckets, so a candidate shared by very many values is spread over tasks.
-    ``prior`` holds earlier ``(candidate, key)`` pairs that carry a tail.
+    ``prior`` holds earlier ``(candidate, key)`` pairs that carry a tail; ``hot``
+    is false when there are too few values for any candidate to be frequent.
     """
     digest = F.sha2(F.concat_ws("|", F.lit("claim"), F.col(key)), 256)
     claims = (
@@ -219,10 +221,10 @@ def disambiguate(
         claims = claims.join(used.select(F.col("fake_cf").alias("_cf"), F.lit(True).alias("_taken")), "_cf", "left")
     else:
         claims = claims.withColumn("_taken", F.lit(None).cast("boolean"))
-    marked = lookup(df.withColumn("_cf", F.lower(candidate)), claims, ["_cf"], weight="_n")
+    marked = lookup(df.withColumn("_cf", F.lower(candidate)), claims, ["_cf"], weight="_n" if hot else None)
     keeps = F.col("_taken").isNull() & (F.col("_owner") == F.col(key))
-    kept = marked.where(keeps).drop("_owner", "_taken", "_cf")
-    lost = marked.where(~keeps).drop("_owner", "_taken")
+    kept = marked.where(keeps).drop("_owner", "_taken", "_cf", "_n")
+    lost = marked.where(~keeps).drop("_owner", "_taken", "_n")
     before = None
     if prior is not None:
         before = prior.select(F.lower(candidate).alias("_cf"), key)

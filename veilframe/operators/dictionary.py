@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from veilframe.functions import text as X
 
 MAX_WORDS = 6
-BITMAP_WORDS = 1 << 13
+# The bitmap grows with the dictionary up to four million bits, then it only gets less selective.
+LEAST_BITMAP, MOST_BITMAP = 1 << 10, 1 << 16
 HAN_RUN = "[\\u4e00-\\u9fff]+"
 HAN_LENGTHS = (1, 2, 3, 4, 5, 6)
 
@@ -75,23 +76,26 @@ def prepare(dictionary: DataFrame, match: Match) -> DataFrame:
     ).where(F.col("words") != 0)
 
 
-def _bit(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BITMAP_WORDS * 64))
+def _bit(key: Column, words: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(words * 64))
 
 
 def bitmap(prepared: DataFrame) -> tuple[list[int], list[int]]:
-    """Key bitmap and the n-gram lengths in use; both of fixed size, whatever the dictionary."""
+    """Key bitmap and the n-gram lengths in use; bounded, whatever the dictionary."""
+    lengths = {r["words"]: r["n"] for r in prepared.groupBy("words").agg(F.count("*").alias("n")).collect()}
+    size = LEAST_BITMAP
+    while size < MOST_BITMAP and size * 8 < sum(lengths.values()):
+        size *= 2
     bits = (
-        prepared.select(_bit(F.col("key")).alias("b"))
+        prepared.select(_bit(F.col("key"), size).alias("b"))
         .groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("b", F.lit(64)).cast("int"))).alias("v"))
         .collect()
     )
-    words = [0] * BITMAP_WORDS
+    words = [0] * size
     for row in bits:
         words[row["w"]] = row["v"]
-    lengths = sorted(r["words"] for r in prepared.select("words").distinct().collect())
-    return words, lengths
+    return words, sorted(lengths)
 
 
 def candidate_keys(text: Column, match: Match, filter_words: list[int], lengths: list[int]) -> Column:
@@ -99,7 +103,7 @@ def candidate_keys(text: Column, match: Match, filter_words: list[int], lengths:
     table = F.from_json(F.lit(json.dumps(filter_words)), "array<bigint>")
 
     def passes(key: Column) -> Column:
-        bit = _bit(key)
+        bit = _bit(key, len(filter_words))
         return F.bit_get(F.element_at(table, (F.floor(bit / 64) + 1).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
 
     def of_words(tokens: Column, count: int) -> Column:

@@ -92,6 +92,7 @@ def org_fakes(
     prior: DataFrame | None = None,
     config: Config = DEFAULT,
     with_han: bool = True,
+    hot: bool = True,
 ) -> DataFrame:
     """``nk -> fake`` for distinct organisations ``nk, canon``.
 
@@ -106,7 +107,7 @@ def org_fakes(
     drafted = rest.where(~F.col("_acronym")).select("nk", "canon", org_candidate(F.col("canon"), config).alias("fake"))
     # Names made of kept words only have nothing to hide and stay as they are.
     moved = F.lower("fake") != F.lower("canon")
-    plain = disambiguate(drafted.where(moved).select("nk", "fake"), "fake", "nk", word_tail, used)
+    plain = disambiguate(drafted.where(moved).select("nk", "fake"), "fake", "nk", word_tail, used, hot=hot)
     kept = drafted.where(~moved).select("nk", "fake")
     out = acronyms.unionByName(plain).unionByName(kept)
     return out.unionByName(chinese.han_orgs(han, used, prior)) if with_han else out

@@ -321,7 +321,7 @@ def assemble_emails(
         "fakes", F.coalesce("fakes", F.create_map().cast("map<string,string>"))
     )
     drafted = back.withColumn("fake", email_candidate(F.col("fakes"), config)).drop("fakes")
-    return disambiguate(drafted, "fake", keys[-1], email_tail, used)
+    return disambiguate(drafted, "fake", keys[-1], email_tail, used, hot=weight is not None)
 
 
 def bilingual_fakes(people: DataFrame, names: DataFrame, config: Config = DEFAULT) -> DataFrame:

@@ -144,7 +144,8 @@ def _by_key(build) -> Generator:
 
 def _orgs(keys: DataFrame, ctx: Context) -> DataFrame:
     return orgs.org_fakes(
-        keys.select("nk", "canon"), ctx.used, ctx.prior("org"), ctx.config, ctx.extra.get("han", True)
+        keys.select("nk", "canon"), ctx.used, ctx.prior("org"), ctx.config, ctx.extra.get("han", True),
+        ctx.extra.get("weight", "n") is not None,
     )
 
 

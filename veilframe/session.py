@@ -30,6 +30,8 @@ def local_session(cores: str | int = "*", app: str = "veilframe", shuffle_partit
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        # One machine, CPU-heavy stages: do not merge small shuffle blocks into a single task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", os.environ.get("VEILFRAME_DRIVER_MEMORY", "8g"))
     )
     for key, value in PLAN_SETTINGS.items():
