@@ -239,14 +239,39 @@ def email_alloc(spark, sf_dir):
     return R.resolve(as_values(rows)).values.select("original", "fake")
 
 
-@query("han_names")
+_surnames, _surnames_latin = Q.array([x[0] for x in C.HAN_SURNAMES]), Q.array([x[1] for x in C.HAN_SURNAMES])
+_given, _given_latin = Q.array([x[0] for x in C.HAN_GIVEN]), Q.array([x[1] for x in C.HAN_GIVEN])
+_ns, _ng = len(C.HAN_SURNAMES), len(C.HAN_GIVEN)
+_space = _ns * _ng * _ng
+
+
+@query(
+    "han_names",
+    f"""WITH b AS (SELECT 'han' AS g, c_name AS identity FROM customer), s AS ({Q.slots('b', 'g', 'identity')}),
+i AS (SELECT identity, ((slot % {_space}) * 7919 + 101) % {_space} AS x, slot // {_space} - 1 AS beyond FROM s),
+p AS (SELECT *, x // {_ns} % {_ng} + 1 AS one, x // {_ns} // {_ng} + 1 AS two FROM i)
+SELECT identity, ({_surnames})[x % {_ns} + 1] || ({_given})[one] || ({_given})[two] || CASE WHEN beyond >= 0 THEN ({_given})[beyond % {_ng} + 1] ELSE '' END AS han,
+  upper(substr(({_given_latin})[one], 1, 1)) || substr(({_given_latin})[one], 2) || ({_given_latin})[two] || CASE WHEN beyond >= 0 THEN ({_given_latin})[beyond % {_ng} + 1] ELSE '' END AS given_latin,
+  ({_surnames_latin})[x % {_ns} + 1] AS surname_latin FROM p""",
+)
 def han_names(spark, sf_dir):
     """A different invented Chinese person per identity, in both scripts."""
     identities = table(spark, sf_dir, "customer").select(F.col("c_name").alias("identity"))
     return chinese.han_identities(identities)
 
 
-@query("han_orgs")
+_oh, _ot = Q.array(C.HAN_ORG_HEADS), Q.array(C.HAN_ORG_TAILS)
+_nh, _nt = len(C.HAN_ORG_HEADS), len(C.HAN_ORG_TAILS)
+
+
+@query(
+    "han_orgs",
+    f"""WITH b AS (SELECT lower(c_name) AS nk, 'han' AS pool FROM customer), won AS ({Q.pool_pick('b', {'han': tuple(chinese.han_org_words())}, 'han-org')}),
+lost AS (SELECT nk, pool FROM b WHERE nk NOT IN (SELECT nk FROM won)), s AS (SELECT *, slot // {_nh} // {_nt * _nt} - 1 AS beyond FROM ({Q.slots('lost', 'pool', 'nk')}))
+SELECT nk, word AS fake FROM won UNION ALL
+SELECT nk, ({_oh})[slot % {_nh} + 1] || ({_ot})[slot // {_nh} % {_nt} + 1] || ({_ot})[slot // {_nh} // {_nt} % {_nt} + 1]
+  || CASE WHEN beyond >= 0 THEN ({_ot})[beyond % {_nt} + 1] ELSE '' END FROM s""",
+)
 def han_orgs(spark, sf_dir):
     return chinese.han_orgs(table(spark, sf_dir, "customer").select(F.lower("c_name").alias("nk")))
 

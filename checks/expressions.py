@@ -427,9 +427,14 @@ def span_word_filters(spark, sf_dir):
     )
 
 
+_acust, _ac = Q.permute_ctes("(SELECT 'CU' || lpad(o_custkey::VARCHAR, 6, '0') AS x FROM orders)", "x", "veil:id", prefix="a")
+_bnum, _bn = Q.permute_ctes("(SELECT 'PO' || o_orderkey AS x FROM orders)", "x", "veil:id", prefix="b")
+
+
 @query(
     "compound_ids",
-    None,
+    f"""WITH {_acust}, {_bnum} SELECT o_orderkey, {_ac}.fake AS customer_fake, {_ac}.fake || '_' || {_bn}.fake AS number_fake
+FROM orders JOIN {_ac} ON {_ac}.v = 'CU' || lpad(o_custkey::VARCHAR, 6, '0') JOIN {_bn} ON {_bn}.v = 'PO' || o_orderkey""",
 )
 def compound_ids(spark, sf_dir):
     """Compound ids that embed another id of the row keep that id's fake."""
