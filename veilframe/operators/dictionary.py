@@ -76,8 +76,21 @@ def prepare(dictionary: DataFrame, match: Match) -> DataFrame:
     ).where(F.col("words") != 0)
 
 
-def _bit(key: Column, words: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(words * 64))
+def _bit(parts: list[Column], words: int) -> Column:
+    """Bit of a key, hashed from its parts so that no key text has to be built."""
+    return F.pmod(F.xxhash64(*parts), F.lit(words * 64))
+
+
+def _words_at(tokens: Column, start: Column, count: int) -> list[Column]:
+    return [F.element_at(tokens, (start + i).cast("int")) for i in range(count)]
+
+
+def _prepared_bit(size: int, lengths: list[int]) -> Column:
+    tokens = F.split("key", " ")
+    out = F.when(F.col("words") < 0, _bit([F.col("key")], size))
+    for count in (n for n in lengths if n > 0):
+        out = out.when(F.col("words") == count, _bit(_words_at(tokens, F.lit(1), count), size))
+    return out
 
 
 def bitmap(prepared: DataFrame) -> tuple[list[int], list[int]]:
@@ -87,7 +100,7 @@ def bitmap(prepared: DataFrame) -> tuple[list[int], list[int]]:
     while size < MOST_BITMAP and size * 8 < sum(lengths.values()):
         size *= 2
     bits = (
-        prepared.select(_bit(F.col("key"), size).alias("b"))
+        prepared.select(_prepared_bit(size, list(lengths)).alias("b"))
         .groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
         .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("b", F.lit(64)).cast("int"))).alias("v"))
         .collect()
@@ -102,17 +115,18 @@ def candidate_keys(text: Column, match: Match, filter_words: list[int], lengths:
     """Distinct n-grams of the text that the bitmap lets through."""
     table = F.from_json(F.lit(json.dumps(filter_words)), "array<bigint>")
 
-    def passes(key: Column) -> Column:
-        bit = _bit(key, len(filter_words))
+    def passes(parts: list[Column]) -> Column:
+        bit = _bit(parts, len(filter_words))
         return F.bit_get(F.element_at(table, (F.floor(bit / 64) + 1).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
 
     def of_words(tokens: Column, count: int) -> Column:
         if count == 1:
-            return F.filter(F.array_distinct(tokens), passes)
-        grams = F.transform(
-            F.sequence(F.lit(1), F.size(tokens) - (count - 1)), lambda i: F.array_join(F.slice(tokens, i, count), " ")
+            return F.filter(F.array_distinct(tokens), lambda t: passes([t]))
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(tokens) - (count - 1)), lambda i: passes(_words_at(tokens, i, count))
         )
-        return F.when(F.size(tokens) >= count, F.filter(grams, passes)).otherwise(F.array().cast("array<string>"))
+        grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, count), " "))
+        return F.when(F.size(tokens) >= count, grams).otherwise(F.array().cast("array<string>"))
 
     def of_characters(runs: Column, count: int) -> Column:
         grams = F.flatten(
@@ -121,7 +135,7 @@ def candidate_keys(text: Column, match: Match, filter_words: list[int], lengths:
                 lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - (count - 1)), lambda i: F.substr(r, i, F.lit(count))),
             )
         )
-        return F.filter(grams, passes)
+        return F.filter(grams, lambda g: passes([g]))
 
     wanted = [n for n in lengths if n > 0]
     han = [-n for n in lengths if n < 0]
