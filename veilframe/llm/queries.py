@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veilframe.llm import set_join
+from veilframe.llm import fm_index, set_join
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,12 @@ def query(name: str, sql: str | None = None):
 @query("op3_ngram_jaccard_join")
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.jaccard_groups(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+@query("op6_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", "spans",
+    )
