@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import fm_index, set_join
+from veilframe.llm import bfd_packing, complement_packing, fm_index, set_join
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,13 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", "spans",
     )
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return complement_packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op4_token_id_output")
+def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bfd_packing.packed_sequences(table(spark, sf_dir, "documents"))
