@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import bfd_packing, complement_packing, fm_index, set_join
+from veilframe.llm import bfd_packing, complement_packing, fm_index, fuzzy_lines, set_join
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_token_id_output")
 def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bfd_packing.packed_sequences(table(spark, sf_dir, "documents"))
+
+
+@query("op10_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), lines_col="removed_lines").select("doc_id", "text", "n_chars", "removed_lines")
