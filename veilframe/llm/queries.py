@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import bfd_packing, complement_packing, fm_index, fuzzy_lines, set_join
+from veilframe.llm import bfd_packing, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, set_join
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,15 @@ def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), lines_col="removed_lines").select("doc_id", "text", "n_chars", "removed_lines")
+
+
+@query("op9_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = ecoc_language.identify(docs.select("doc_id", "text"), ecoc_language.fit(docs))
+    return found.select("doc_id", ecoc_language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@query("op2_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality(table(spark, sf_dir, "documents"))
