@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import bfd_packing, chat_template, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, set_join
+from veilframe.llm import bfd_packing, chat_template, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, main_content, set_join, weak_pii
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,13 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-1, 0, "user", SAID), (-1, 1, "assistant", SAID)], "conv_id long, turn long, role string, text string")
     return chat_template.read_back(chat_template.format_conversations(rows.unionByName(own)))
+
+
+@query("op8_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_content.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op7_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_pii.personal_data(table(spark, sf_dir, "documents"))
