@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from veilframe.llm import bfd_packing, chat_template, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, main_content, set_join, weak_pii
 from veilframe.llm.common import table
 
@@ -83,3 +84,8 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pii")
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

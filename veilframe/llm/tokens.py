@@ -10,13 +10,18 @@ Strings of special tokens inside a text are ordinary text.
 from __future__ import annotations
 
 import json
+import sys
+import types
 
 import numpy as np
 
 # Fixed: the split pattern of the byte-level vocabulary.
 SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 
-_LOADED: dict[str, object] = {}
+
+def _loaded() -> dict[str, object]:
+    """Encoders of this process. Tasks bring their own copy of this module, so they are kept beside it."""
+    return sys.modules.setdefault("_veilframe_encoders", types.ModuleType("_veilframe_encoders")).__dict__
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -34,7 +39,8 @@ def vocabulary_path(name: str) -> str:
 
 def encoder(name: str):
     """The encoder of a vocabulary file, made once per process."""
-    if name not in _LOADED:
+    loaded = _loaded()
+    if name not in loaded:
         import tiktoken
 
         with open(vocabulary_path(name), encoding="utf-8") as file:
@@ -42,8 +48,8 @@ def encoder(name: str):
         special = {t["content"] for t in model["added_tokens"] if t["special"]}
         of = _byte_of_character()
         ranks = {bytes(of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        _LOADED[name] = tiktoken.Encoding(name, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-    return _LOADED[name]
+        loaded[name] = tiktoken.Encoding(name, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return loaded[name]
 
 
 def token_ids(name: str, text: str) -> np.ndarray:
