@@ -26,6 +26,7 @@ from veilframe.llm import textbytes as tb
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 SAMPLE_ROWS = 4000
+SLICE = 1 << 19  # bytes of text whose n-grams are held at once
 MOST_LANGUAGES = 256
 SHARPNESS = 4.0
 AMBIGUOUS_BELOW = 0.6
@@ -121,7 +122,7 @@ def _learnable(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> Da
 def _count_grams(batches):
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
-        for part in tb.slices(batch, "text"):
+        for part in tb.slices(batch, "text", SLICE):
             data, offsets = tb.flat(part.column("text"))
             bucket, owner = _grams(data, offsets)
             share = 1.0 / np.maximum(np.bincount(owner, minlength=part.num_rows), 1)
@@ -140,7 +141,7 @@ def _reliability(model: Model):
     def run(batches):
         bits = model.code.shape[1]
         for batch in batches:
-            for part in tb.slices(batch, "text"):
+            for part in tb.slices(batch, "text", SLICE):
                 margins = model.margins(*tb.flat(part.column("text")))
                 truth = model.code[[place[x] for x in part.column("lang").to_pylist()]]
                 right = ((margins * truth) > 0).sum(axis=0)
@@ -201,7 +202,7 @@ def has_letter(text: str | None) -> bool:
 def _predict(model: Model, text_col: str, least: float):
     def run(batches):
         for batch in batches:
-            for part in tb.slices(batch, text_col):
+            for part in tb.slices(batch, text_col, SLICE):
                 texts = part.column(text_col)
                 best, score = model.decode(model.margins(*tb.flat(texts)))
                 known = np.array([has_letter(t.as_py()) for t in texts], bool) & bool(model.languages)
