@@ -394,6 +394,7 @@ def _long_pairs(postings: DataFrame, groups: DataFrame, signed: DataFrame, perce
     folded = signed.select(F.col("id").alias("node"), "s0", "s1", "s2", "s3").dropDuplicates(["node"])
     rows = postings.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
     open_lists = rows.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("token")
+    open_lists = materialize(open_lists, "open-lists")
     block = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
     rows = rows.join(open_lists, "token", "left_semi").join(folded, "node").withColumn("block", block)
     side = lambda p: [F.col(c).alias(f"{p}{c}") for c in ("node", "n", "pos", "g", "s0", "s1", "s2", "s3")]
