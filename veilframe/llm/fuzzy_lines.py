@@ -6,7 +6,7 @@ node. Nodes get a 64-bit SimHash of their words; those within ``distance`` bits
 agree on at least one of ``distance + 1`` blocks, so each goes to the bucket of
 every block (pigeonhole), where the other bits are split into blocks again and
 only nodes that also agree on one of those are compared. Candidates are then
-verified by the edit similarity of the normal forms; verified links make
+verified by edit similarity, in words of the normal forms; verified links make
 connected groups, and of each group's occurrences the first (document, line)
 stays.
 
@@ -75,7 +75,10 @@ def simhash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _lines(part: pa.RecordBatch):
-    """(document, line number, node, simhash, first byte, end byte, words) of every line of a slice, as arrays."""
+    """(document, line number, node, word hashes, word bounds, first byte, end byte, size, bytes) of every line of a slice.
+
+    The size is the number of words.
+    """
     data, offsets = tb.flat(part.column("text"))
     breaks = np.flatnonzero(data == 10) + 1
     starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], breaks[np.isin(breaks, offsets, invert=True)])
@@ -89,22 +92,22 @@ def _lines(part: pa.RecordBatch):
     placed = tb.mix(hashes + order.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     sums = np.append(np.uint64(0), np.cumsum(placed))
     node = tb.mix(sums[bounds[1:]] - sums[bounds[:-1]])
-    return doc, number, node.view(np.int64), hashes, bounds, starts, edges[1:], data
+    return doc, number, node.view(np.int64), hashes, bounds, starts, edges[1:], np.diff(bounds), data
 
 
-_OCCURRENCES = pa.schema([("id", pa.int64()), ("line", pa.int64()), ("node", pa.int64()), ("sim", pa.int64())])
+_OCCURRENCES = pa.schema([("id", pa.int64()), ("line", pa.int64()), ("node", pa.int64()), ("sim", pa.int64()), ("size", pa.int64())])
 
 
 def _occurrences(min_words: int):
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
-                doc, number, node, hashes, bounds, *_ = _lines(part)
+                doc, number, node, hashes, bounds, _, _, size, _ = _lines(part)
                 sim = simhash(hashes, bounds)
                 use = np.flatnonzero(np.diff(bounds) >= min_words)
                 ids = part.column("id").take(pa.array(doc[use]))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(number[use]), pa.array(node[use]), pa.array(sim[use].view(np.int64))], schema=_OCCURRENCES
+                    [ids, pa.array(number[use]), pa.array(node[use]), pa.array(sim[use].view(np.int64)), pa.array(size[use])], schema=_OCCURRENCES
                 )
 
     return run
@@ -120,61 +123,76 @@ def blocks_of(sim: np.ndarray, width: int, many: int, count: int) -> list[np.nda
 
 
 def _deal(distance: int):
-    """A row per block of each node: (block number and value, node, simhash)."""
+    """A row per block of each node: (block number and value, node, simhash, size)."""
     count = distance + 1
     width = 64 // count
-    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("sim", pa.int64())])
+    schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("sim", pa.int64()), ("size", pa.int64())])
 
     def run(batches):
         for batch in batches:
             node, sim = batch.column("node").to_numpy(), batch.column("sim").to_numpy().view(np.uint64)
             bucket = np.concatenate([v.astype(np.int64) | (i << 40) for i, v in enumerate(blocks_of(sim, width, 64, count))])
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.tile(node, count)), pa.array(np.tile(sim.view(np.int64), count))], schema=schema)
+            columns = [bucket, *[np.tile(c, count) for c in (node, sim.view(np.int64), batch.column("size").to_numpy())]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     return run
 
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("sim", pa.int64()), ("long", pa.bool_())])
+# A pair (a, b, bits apart), or with ``long`` a row of a long run: (run, node, simhash, size).
+_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int64()), ("size", pa.int64()), ("long", pa.bool_())])
+
+
+def _rows(a, b, apart, size, long: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a, b, apart, size)] + [pa.array(np.full(len(a), long))], schema=_PAIRS)
+
 
+def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of whole buckets within the distance: split the other bits again, sort, look ahead.
 
-def _compare(bucket: np.ndarray, node: np.ndarray, sim: np.ndarray, distance: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of whole buckets within the distance: split the other bits again, sort, look ahead."""
+    Forms whose lengths differ by more than the edits allowed cannot be similar.
+    """
     count = distance + 1
     width = 64 // count
     first = bucket >> 40
-    rest_bits = 64 - width if width * count == 64 else 64 - width - (64 - width * count)
     shift = (first * width).astype(np.uint64)
     own = np.where(first < count - 1, width, 64 - width * (count - 1)).astype(np.uint64)
     low = sim & ((np.uint64(1) << shift) - np.uint64(1))
     above = shift + own
     high = np.where(above < 64, sim >> np.minimum(above, np.uint64(63)), np.uint64(0))
     other = low | (high << shift)
-    inner = max(1, rest_bits // count)
+    inner = max(1, (64 - width) // count)
     for i, value in enumerate(blocks_of(other, inner, 64 - width, count)):
         key = tb.mix(bucket.astype(np.uint64) * np.uint64(4 * count) + np.uint64(i) + (value + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
-        order = np.lexsort((node, sim, key))
-        k, n, s = key[order], node[order], sim[order]
+        order = np.lexsort((node, size, key))
+        k, n, s, z = key[order], node[order], sim[order], size[order]
         for d in range(1, min(WINDOW, len(k) - 1) + 1):
             at = np.flatnonzero(k[d:] == k[:-d])
             if not len(at):
                 break
-            at = at[np.bitwise_count(s[at] ^ s[at + d]) <= distance]
+            apart = np.bitwise_count(s[at] ^ s[at + d])
+            ok = (apart <= distance) & (z[at + d] - z[at] <= allowed(z[at + d], similarity))
+            at, apart = at[ok], apart[ok]
             a, b = n[at], n[at + d]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.zeros(len(at), np.int64)), pa.array(np.zeros(len(at), bool))], schema=_PAIRS
-            )
+            yield _rows(np.minimum(a, b), np.maximum(a, b), apart, np.zeros(len(at)), False)
         begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-        size = np.diff(np.append(begin, len(k)))
-        long = np.repeat(size > WINDOW + 1, size)
+        length = np.diff(np.append(begin, len(k)))
+        long = np.repeat(length > WINDOW + 1, length)
         if long.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(k[long].view(np.int64)), pa.array(n[long]), pa.array(s[long].view(np.int64)), pa.array(np.ones(int(long.sum()), bool))], schema=_PAIRS
-            )
+            yield _rows(k[long].view(np.int64), n[long], s[long].view(np.int64), z[long], True)
+
+
+def allowed(size, similarity: float):
+    """Edits that two strings may be apart, the longer one being so long."""
+    return np.floor((1 - similarity) * size + 1e-9)
 
 
-def _buckets(distance: int, most: int = 1 << 16):
+def _buckets(distance: int, similarity: float, most: int = 1 << 16):
     """Rows sorted by bucket, handed on as whole buckets, many small ones at once."""
-    names = ("bucket", "node", "sim")
+    names = ("bucket", "node", "sim", "size")
+
+    def compare(columns):
+        bucket, node, sim, size = columns
+        return _compare(bucket, node, sim.view(np.uint64), size, distance, similarity)
 
     def run(batches):
         held: list[tuple[np.ndarray, ...]] = []
@@ -186,36 +204,28 @@ def _buckets(distance: int, most: int = 1 << 16):
             rows += batch.num_rows
             if rows < most:
                 continue
-            bucket, node, sim = (np.concatenate(x) for x in zip(*held))
-            cut = int(np.searchsorted(bucket, bucket[-1]))
+            whole = [np.concatenate(x) for x in zip(*held)]
+            cut = int(np.searchsorted(whole[0], whole[0][-1]))
             if cut:
-                yield from _compare(bucket[:cut], node[:cut], sim[:cut].view(np.uint64), distance)
-            held, rows = [(bucket[cut:], node[cut:], sim[cut:])], 0
+                yield from compare([c[:cut] for c in whole])
+            held, rows = [tuple(c[cut:] for c in whole)], 0
         if held:
-            bucket, node, sim = (np.concatenate(x) for x in zip(*held))
-            yield from _compare(bucket, node, sim.view(np.uint64), distance)
+            yield from compare([np.concatenate(x) for x in zip(*held)])
 
     return run
 
 
-def edit_distance(a: str, b: str, most: int) -> int | None:
-    """Edits between two strings, or None if more than ``most``: furthest reach per diagonal, O(length + edits squared)."""
-    if abs(len(a) - len(b)) > most:
+def edit_distance(a: list, b: list, most: int) -> int | None:
+    """Edits between two sequences, or None if more than ``most``: furthest reach per diagonal, O(length + edits squared)."""
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
         return None
-    reach = {0: 0}
-    goal, n, m = len(b) - len(a), len(a), len(b)
+    goal, reach = m - n, {0: 0}
     for edits in range(most + 1):
         following = {}
         for diagonal, x in reach.items():
-            y = x + diagonal
-            step = 64
-            while x < n and y < m and a[x] == b[y]:
-                if a[x : x + step] == b[y : y + step] and x + step <= n and y + step <= m:
-                    x, y, step = x + step, y + step, step * 2
-                else:
-                    step = max(1, step // 4)
-                    if step == 1:
-                        x, y = x + 1, y + 1
+            while x < n and x + diagonal < m and a[x] == b[x + diagonal]:
+                x += 1
             if diagonal == goal and x >= n:
                 return edits
             following[diagonal] = x
@@ -227,17 +237,14 @@ def edit_distance(a: str, b: str, most: int) -> int | None:
     return None
 
 
-def similar(a: str, b: str, at_least: float) -> bool:
-    longest = max(len(a), len(b))
-    return edit_distance(a, b, int((1 - at_least) * longest + 1e-9)) is not None
-
-
-_DROP = bytes(i for i in range(256) if tb.NOT_ALNUM[FOLDED[i]] and i != 32)
+def similar(a: list[str], b: list[str], at_least: float) -> bool:
+    """Edit similarity, in words, of at least that much."""
+    return edit_distance(a, b, int(allowed(max(len(a), len(b)), at_least))) is not None
 
 
 def normal_form(line: bytes) -> str:
     folded = FOLDED[np.frombuffer(line, np.uint8)]
-    return " ".join(np.where(tb.NOT_ALNUM[folded], 32, folded).astype(np.uint8).tobytes().decode("utf-8", "replace").split(" ")).strip()
+    return " ".join(np.where(tb.NOT_ALNUM[folded], 32, folded).astype(np.uint8).tobytes().decode("utf-8", "replace").split())
 
 
 def _wanted_lines(keep: KeyFilter, min_words: int):
@@ -248,14 +255,14 @@ def _wanted_lines(keep: KeyFilter, min_words: int):
         seen = set()
         for batch in batches:
             for part in tb.slices(batch, "text"):
-                _, _, node, _, bounds, starts, ends, data = _lines(part)
+                _, _, node, _, bounds, starts, ends, _, data = _lines(part)
                 use = np.flatnonzero((np.diff(bounds) >= min_words) & keep.holds(node))
                 nodes, forms = [], []
                 for i in use.tolist():
                     if (n := int(node[i])) not in seen:
                         seen.add(n)
                         nodes.append(n)
-                        forms.append(" ".join(normal_form(data[starts[i] : ends[i]].tobytes()).split()))
+                        forms.append(normal_form(data[starts[i] : ends[i]].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(forms, pa.string())], schema=schema)
 
     return run
@@ -268,48 +275,80 @@ def _verify(similarity: float):
         for batch in batches:
             a, b = [], []
             for x, y, p, q in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "p", "q"))):
-                if similar(p, q, similarity):
+                if similar(p.split(" "), q.split(" "), similarity):
                     a.append(x), b.append(y)
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (a, b)], schema=schema)
 
     return run
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, similarity: float, min_words: int) -> DataFrame:
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+def _forms(texts: DataFrame, nodes: DataFrame, min_words: int) -> DataFrame:
+    """(node, form) of the nodes that are in any candidate pair."""
     keep = KeyFilter.of(nodes, "node")
-    forms = texts.mapInArrow(_wanted_lines(keep, min_words), "node long, form string").groupBy("node").agg(F.min("form").alias("form"))
-    forms = materialize(forms, "forms")
+    return materialize(texts.mapInArrow(_wanted_lines(keep, min_words), "node long, form string").groupBy("node").agg(F.min("form").alias("form")), "forms")
+
+
+def _verified(forms: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     both = pairs.select("a", "b").join(forms.select(F.col("node").alias("a"), F.col("form").alias("p")), "a")
     both = both.join(forms.select(F.col("node").alias("b"), F.col("form").alias("q")), "b")
     return both.select("a", "b", "p", "q").mapInArrow(_verify(similarity), "a long, b long")
 
 
+def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs whose ends are not yet known to be in one group."""
+    left = groups.select(F.col("node").alias("a"), F.col("component").alias("ga"))
+    right = groups.select(F.col("node").alias("b"), F.col("component").alias("gb"))
+    return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
+
+
 def line_groups(texts: DataFrame, occurrences: DataFrame, distance: int, similarity: float, min_words: int) -> DataFrame:
-    """(node, component) of nodes that link to another."""
+    """(node, component) of nodes that link to another.
+
+    Each node is verified against its closest candidate first. That joins most
+    groups, and only candidates between different groups are verified then.
+    """
     spark = texts.sparkSession
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    nodes = occurrences.select("node", "sim").distinct()
-    dealt = nodes.mapInArrow(_deal(distance), "bucket long, node long, sim long")
-    found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(_buckets(distance), "a long, b long, sim long, long boolean")
-    found = materialize(found, "candidates")
-    pairs = found.where("not long").select("a", "b").distinct()
-    edges = materialize(_verified(texts, pairs, similarity, min_words), "links")
+    nodes = occurrences.select("node", "sim", "size").distinct()
+    dealt = nodes.mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
+    found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
+    found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, size long, long boolean"), "candidates")
+    pairs = materialize(found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart")), "pairs")
+    long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), F.col("apart").alias("sim"), "size").distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node"))
+    forms = _forms(texts, wanted, min_words)
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+    best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("to"))
+    best = materialize(best.select(F.least("a", "to.b").alias("a"), F.greatest("a", "to.b").alias("b")).distinct(), "closest")
+    edges = materialize(_verified(forms, best, similarity), "links")
     groups = components(edges, "line-groups")
-    long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), "sim").distinct()
+    rest = materialize(_across(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), groups), "rest")
+    if not is_empty(rest):
+        edges = edges.unionByName(materialize(_verified(forms, rest, similarity), "links"))
+        groups = components(edges, "line-groups")
     if not is_empty(long):
-        rows = long.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
-        open_runs = rows.groupBy("run").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("run")
-        rows = rows.join(open_runs, "run", "left_semi")
-        left, right = (rows.select("run", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "sim", "g")]) for p in "lr")
-        near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= distance
-        rest = left.join(right, "run").where((F.col("l_node") < F.col("r_node")) & (F.col("l_g") != F.col("r_g")) & near)
-        rest = materialize(rest.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
+        rest = materialize(_long_pairs(long, groups, distance, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
         if not is_empty(rest):
-            groups = components(edges.unionByName(_verified(texts, rest, similarity, min_words)), "line-groups")
+            groups = components(edges.unionByName(_verified(forms, rest, similarity)), "line-groups")
     return groups
 
 
+def _long_pairs(long: DataFrame, groups: DataFrame, distance: int, similarity: float) -> DataFrame:
+    """Exact rest of runs longer than the window: pairs between groups, joined per band of sizes."""
+    rows = long.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
+    open_runs = materialize(rows.groupBy("run").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("run"), "open-runs")
+    band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / float(np.log(1 / similarity)) + 1e-9).cast("int")
+    rows = rows.join(open_runs, "run", "left_semi").withColumn("band", band)
+    left = rows.select("run", "band", *[F.col(c).alias(f"l_{c}") for c in ("node", "sim", "size", "g")])
+    right = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    right = right.select("run", "band", *[F.col(c).alias(f"r_{c}") for c in ("node", "sim", "size", "g")])
+    near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= distance
+    most = F.floor((1 - similarity) * F.greatest("l_size", "r_size") + 1e-9)
+    near &= (F.abs(F.col("l_size") - F.col("r_size")) <= most) & (F.col("l_g") != F.col("r_g")) & (F.col("l_node") < F.col("r_node"))
+    joined = left.join(right, ["run", "band"]).where(near)
+    return joined.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()
+
+
 def _without(text_col: str, chars_col: str | None, fields: pa.Schema):
     counted = chars_col in fields.names
 
@@ -339,11 +378,12 @@ def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     if not 1 <= distance <= 7:
         raise ValueError("distance must be between 1 and 7 bits")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    occurrences = materialize(texts.mapInArrow(_occurrences(min_words), "id long, line long, node long, sim long"), "occurrences")
+    occurrences = materialize(texts.mapInArrow(_occurrences(min_words), "id long, line long, node long, sim long, size long"), "occurrences")
     groups = line_groups(texts, occurrences, distance, similarity, min_words)
     grouped = occurrences.join(groups, "node", "left").select("id", "line", F.coalesce("component", "node").alias("g"))
     grouped = materialize(grouped, "grouped")
     first = grouped.groupBy("g").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("held")).where("held > 1")
+    first = materialize(first, "first")
     again = grouped.join(first, "g").where((F.col("id") != F.col("first.id")) | (F.col("line") != F.col("first.line")))
     return again.groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
