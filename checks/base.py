@@ -64,7 +64,7 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
         first.alias("firstname"), last.alias("lastname"), F.concat_ws(" ", first, last).alias("fullname"),
         F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("@mail"), (k % 9).cast("string"), F.lit(".example.com")).alias("email"),
         F.concat(F.lit("+1 ("), F.lpad((k % 800 + 100).cast("string"), 3, "0"), F.lit(") "), F.lpad((k * 7919 % 10000000).cast("string"), 7, "0")).alias("phone"),
-        F.concat_ws(" ", name_expr(F.floor(k / 5), 17), F.element_at(F.array(*[F.lit(x) for x in ("Global", "Trade", "GDC")]), (k % 3 + 1).cast("int")), F.lit("Ltd")).alias("company"),
+        F.concat_ws(" ", name_expr(F.floor(k / 5), 17), F.element_at(F.array(*[F.lit(x) for x in ("Global", "Trade", "Corex")]), (k % 3 + 1).cast("int")), F.lit("Ltd")).alias("company"),
         F.concat(name_expr(F.floor(k / 7), 29), F.lit("ville")).alias("city"),
     )
 
@@ -73,7 +73,7 @@ CONTACTS_SQL = f"""(SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment, {nam
   {name_sql('(c_custkey // 3)', 11)} AS lastname, {name_sql('c_custkey', 3)} || ' ' || {name_sql('(c_custkey // 3)', 11)} AS fullname,
   lower({name_sql('c_custkey', 3)}) || '.' || lower({name_sql('(c_custkey // 3)', 11)}) || '@mail' || (c_custkey % 9) || '.example.com' AS email,
   '+1 (' || lpad((c_custkey % 800 + 100)::VARCHAR, 3, '0') || ') ' || lpad((c_custkey * 7919 % 10000000)::VARCHAR, 7, '0') AS phone,
-  {name_sql('(c_custkey // 5)', 17)} || ' ' || (['Global', 'Trade', 'GDC'])[(c_custkey % 3 + 1)::INT] || ' Ltd' AS company,
+  {name_sql('(c_custkey // 5)', 17)} || ' ' || (['Global', 'Trade', 'Corex'])[(c_custkey % 3 + 1)::INT] || ' Ltd' AS company,
   {name_sql('(c_custkey // 7)', 29)} || 'ville' AS city FROM customer)"""
 
 

@@ -212,7 +212,7 @@ def sweep_dictionary(known: DataFrame, config: Config = DEFAULT, brands: list[st
     encoded = rows.where("ptype = 'email'").select(
         F.replace("original", F.lit("@"), F.lit("%40")).alias("entry"), F.replace("fake", F.lit("@"), F.lit("%40")).alias("fake")
     )
-    return rows.select(F.col("original").alias("entry"), "fake").unionByName(encoded).dropDuplicates(["entry"])
+    return rows.select(F.col("original").alias("entry"), "fake").unionByName(encoded).groupBy("entry").agg(F.min("fake").alias("fake"))
 
 
 # --- rewriting ----------------------------------------------------------------
