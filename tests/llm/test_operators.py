@@ -326,3 +326,40 @@ def test_op10(spark, odd):
     out = fuzzy_lines.dedup_lines(odd).collect()
     assert len(out) == len(ODD) and {r.text for r in out if r.doc_id == 3} == {"a b c d e f g"} and {r.text for r in out if r.doc_id == 4} == {""}
     assert fuzzy_lines.dedup_lines(odd.limit(0)).collect() == []
+
+
+def test_op10_reach():
+    random.seed(10)
+    for _ in range(40):
+        n = random.randint(0, 400)
+        run, size = np.sort(np.array([random.randint(0, 2) for _ in range(n)], np.int64)), np.array([random.randint(5, 60) for _ in range(n)], np.int64)
+        size = size[np.lexsort((size, run))]
+        plain = np.zeros(n, bool)
+        for i in range(n):
+            for j in range(i + fuzzy_lines.WINDOW + 1, n):
+                if run[i] == run[j] and size[j] - size[i] <= fuzzy_lines.allowed(size[j], 0.9):
+                    plain[i] = plain[j] = True
+        assert (fuzzy_lines._beyond(run, size, 0.9) == plain).all()
+
+
+def test_op10_window_does_not_change_groups(spark, monkeypatch):
+    random.seed(11)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        words[random.randrange(40)] = f"x{random.randint(0, 5)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = brute.line_dedup(rows, _hash)
+    monkeypatch.setattr(fuzzy_lines, "NEIGHBOURS", 1)
+    monkeypatch.setattr(fuzzy_lines, "WINDOW", 2)
+    from pyspark import cloudpickle
+
+    from veilframe.llm import fuzzy_lines as module
+
+    cloudpickle.register_pickle_by_value(module)
+    try:
+        assert {r.doc_id: r.text for r in fuzzy_lines.dedup_lines(df).collect()} == wanted
+    finally:
+        cloudpickle.unregister_pickle_by_value(module)

@@ -52,8 +52,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     The edges of each round are a table in the shared folder.
     """
     current = materialize(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct(), name)
-    mark = None
-    while True:
+    while not _stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -64,11 +63,26 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             .unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
         )
         current = materialize(small, name)
-        found = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(found) == mark:
-            break
-        mark = tuple(found)
     roots = current.select(F.col("b").alias("node")).distinct()
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every edge leads from a node of its own to a smaller one that has no edge further down."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), (F.col("a") < F.col("b")).cast("int").alias("fault"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(0).alias("fault")))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("fault").alias("fault"), F.min("out").alias("least"))
+    return is_empty(seen.where("fault = 1 or out > 1 or (out = 1 and least = 0)"))
+
+
+def merged(groups: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:
+    """``groups`` (node, component) after further links (a, b); only what the links touch is worked out anew."""
+    left = groups.select(F.col("node").alias("a"), F.col("component").alias("ga"))
+    right = groups.select(F.col("node").alias("b"), F.col("component").alias("gb"))
+    ends = links.join(left, "a", "left").join(right, "b", "left")
+    roots = components(ends.select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")), name)
+    new = roots.join(groups, "node", "left_anti")
+    joined = groups.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
+    return joined.select("node", F.coalesce("root", "component").alias("component")).unionByName(new)

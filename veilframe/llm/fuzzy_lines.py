@@ -10,8 +10,9 @@ verified by edit similarity, in words of the normal forms; verified links make
 connected groups, and of each group's occurrences the first (document, line)
 stays.
 
-Long runs in a bucket are compared within a window first; what then still lies
-in different groups is joined exactly. Occurrences are only ever counted with
+In a run of a bucket each node is paired with its next neighbours only. A node
+that has candidates further on is kept with its run; what of a run then still
+lies in different groups is joined exactly. Occurrences are only ever counted with
 partial aggregation, so a line that a third of all documents hold is no problem.
 """
 
@@ -25,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm import textbytes as tb
-from veilframe.llm.common import KeyFilter, components, is_empty
+from veilframe.llm.common import KeyFilter, components, is_empty, merged
 from veilframe.session import materialize
 
 MIN_WORDS = 5
 DISTANCE = 3
 SIMILARITY = 0.9
-WINDOW = 32
+NEIGHBOURS = 4  # next ones of a run that a node is paired with at once
+WINDOW = 64  # next ones of a run that are looked at for further candidates
 _LANE = 1 << 15
 
 FOLDED = tb.LOWER.copy()
@@ -138,7 +140,7 @@ def _deal(distance: int):
     return run
 
 
-# A pair (a, b, bits apart), or with ``long`` a row of a long run: (run, node, simhash, size).
+# A pair (a, b, bits apart), or with ``long`` a node with candidates further on in its run: (run, node, simhash, size).
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int64()), ("size", pa.int64()), ("long", pa.bool_())])
 
 
@@ -147,9 +149,10 @@ def _rows(a, b, apart, size, long: bool) -> pa.RecordBatch:
 
 
 def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Iterator[pa.RecordBatch]:
-    """Pairs of whole buckets within the distance: split the other bits again, sort, look ahead.
+    """Pairs of neighbours within the distance, and nodes with candidates further on: split the other bits again, sort, look ahead.
 
-    Forms whose lengths differ by more than the edits allowed cannot be similar.
+    Forms whose lengths differ by more than the edits allowed cannot be similar;
+    different forms need at least one edit.
     """
     count = distance + 1
     width = 64 // count
@@ -165,20 +168,40 @@ def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Itera
         key = tb.mix(bucket.astype(np.uint64) * np.uint64(4 * count) + np.uint64(i) + (value + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
         order = np.lexsort((node, size, key))
         k, n, s, z = key[order], node[order], sim[order], size[order]
+        far = np.zeros(len(k), bool)
         for d in range(1, min(WINDOW, len(k) - 1) + 1):
             at = np.flatnonzero(k[d:] == k[:-d])
             if not len(at):
                 break
             apart = np.bitwise_count(s[at] ^ s[at + d])
-            ok = (apart <= distance) & (z[at + d] - z[at] <= allowed(z[at + d], similarity))
+            most = allowed(z[at + d], similarity)
+            ok = (apart <= distance) & (z[at + d] - z[at] <= most) & (most >= 1)
             at, apart = at[ok], apart[ok]
-            a, b = n[at], n[at + d]
-            yield _rows(np.minimum(a, b), np.maximum(a, b), apart, np.zeros(len(at)), False)
-        begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-        length = np.diff(np.append(begin, len(k)))
-        long = np.repeat(length > WINDOW + 1, length)
-        if long.any():
-            yield _rows(k[long].view(np.int64), n[long], s[long].view(np.int64), z[long], True)
+            if d <= NEIGHBOURS:
+                a, b = n[at], n[at + d]
+                yield _rows(np.minimum(a, b), np.maximum(a, b), apart, np.zeros(len(at)), False)
+            else:
+                far[at] = far[at + d] = True
+        far |= _beyond(k, z, similarity)
+        if far.any():
+            yield _rows(k[far].view(np.int64), n[far], s[far].view(np.int64), z[far], True)
+
+
+def _beyond(run, size, similarity: float) -> np.ndarray:
+    """Nodes, sorted by run and size, whose sizes let them pair with one more than ``WINDOW`` places away."""
+    out = np.zeros(len(run) + 1, np.int64)
+    first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    last = np.append(first[1:], len(run))
+    for i, j in zip(first.tolist(), last.tolist()):
+        if j - i > WINDOW + 1:
+            # Nodes up to this place are short enough to reach; sizes less their edits never fall.
+            reach = i + np.searchsorted(size[i:j] - allowed(size[i:j], similarity), size[i:j], "right")
+            here = np.flatnonzero(reach > np.arange(i, j) + WINDOW + 1) + i
+            out[here] += 1
+            out[here + 1] -= 1
+            np.add.at(out, here + WINDOW + 1, 1)
+            np.add.at(out, reach[here - i], -1)
+    return np.cumsum(out)[:-1] > 0
 
 
 def allowed(size, similarity: float):
@@ -186,6 +209,14 @@ def allowed(size, similarity: float):
     return np.floor((1 - similarity) * size + 1e-9)
 
 
+def least_size(similarity: float) -> int:
+    """Words of the shortest form that can be similar to a different one."""
+    if similarity >= 1:
+        return 1 << 62
+    longer = int(np.ceil(1 / (1 - similarity) - 1e-9))
+    return longer - int(allowed(longer, similarity))
+
+
 def _buckets(distance: int, similarity: float, most: int = 1 << 16):
     """Rows sorted by bucket, handed on as whole buckets, many small ones at once."""
     names = ("bucket", "node", "sim", "size")
@@ -247,23 +278,49 @@ def normal_form(line: bytes) -> str:
     return " ".join(np.where(tb.NOT_ALNUM[folded], 32, folded).astype(np.uint8).tobytes().decode("utf-8", "replace").split())
 
 
-def _wanted_lines(keep: KeyFilter, min_words: int):
-    """Normal forms of the nodes that may be wanted, each once per task."""
-    schema = pa.schema([("node", pa.int64()), ("form", pa.string())])
+def sketches(hashes: np.ndarray, bounds: np.ndarray, use: np.ndarray) -> np.ndarray:
+    """256 parities per line of ``use``, as four longs: which of 256 classes of words it has an odd number of.
+
+    An edit changes at most two of them, so similar lines differ in few.
+    """
+    out = np.empty((len(use), 4), np.int64)
+    for at in range(0, len(use), 4096):
+        some = use[at : at + 4096]
+        counts = bounds[some + 1] - bounds[some]
+        owner = np.repeat(np.arange(len(some)), counts)
+        inner = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        slot = (hashes[bounds[some][owner] + inner] >> np.uint64(56)).astype(np.int64)
+        odd = (np.bincount(owner * 256 + slot, minlength=len(some) * 256) & 1).astype(np.uint8)
+        out[at : at + len(some)] = np.packbits(odd.reshape(len(some), 256), axis=1).view(np.int64)
+    return out
+
+
+_PARITIES = [f"s{i}" for i in range(4)]
+
+
+def _wanted_lines(docs: KeyFilter, forms: KeyFilter | None, parities: KeyFilter | None, min_words: int):
+    """(node, normal form, sketch) of the nodes that may be wanted, each once per task; only chosen documents are cut into words."""
+    schema = pa.schema([("node", pa.int64()), ("form", pa.string()), *[(n, pa.int64()) for n in _PARITIES]])
 
     def run(batches):
         seen = set()
         for batch in batches:
+            batch = batch.filter(pa.array(docs.holds(batch.column("id").to_numpy())))
             for part in tb.slices(batch, "text"):
-                _, _, node, _, bounds, starts, ends, _, data = _lines(part)
-                use = np.flatnonzero((np.diff(bounds) >= min_words) & keep.holds(node))
-                nodes, forms = [], []
-                for i in use.tolist():
+                _, _, node, hashes, bounds, starts, ends, _, data = _lines(part)
+                readable = forms.holds(node) if forms else np.zeros(len(node), bool)
+                compared = parities.holds(node) if parities else np.zeros(len(node), bool)
+                use = []
+                for i in np.flatnonzero((np.diff(bounds) >= min_words) & (readable | compared)).tolist():
                     if (n := int(node[i])) not in seen:
                         seen.add(n)
-                        nodes.append(n)
-                        forms.append(normal_form(data[starts[i] : ends[i]].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(forms, pa.string())], schema=schema)
+                        use.append(i)
+                use = np.array(use, np.int64)
+                texts = [normal_form(data[starts[i] : ends[i]].tobytes()) if readable[i] else None for i in use.tolist()]
+                odd = sketches(hashes, bounds, use)
+                none = ~compared[use]
+                columns = [pa.array(node[use]), pa.array(texts, pa.string()), *[pa.array(odd[:, j], mask=none) for j in range(4)]]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return run
 
@@ -282,10 +339,17 @@ def _verify(similarity: float):
     return run
 
 
-def _forms(texts: DataFrame, nodes: DataFrame, min_words: int) -> DataFrame:
-    """(node, form) of the nodes that are in any candidate pair."""
-    keep = KeyFilter.of(nodes, "node")
-    return materialize(texts.mapInArrow(_wanted_lines(keep, min_words), "node long, form string").groupBy("node").agg(F.min("form").alias("form")), "forms")
+def _read_lines(texts: DataFrame, nodes: DataFrame, forms: DataFrame | None, parities: DataFrame | None, min_words: int) -> DataFrame:
+    """(node, form, sketch): forms of the nodes of one table, sketches of those of the other.
+
+    Only documents that are the first of a wanted node are cut into words again.
+    """
+    wanted = [w for w in (forms, parities) if w is not None]
+    wanted = wanted[0].unionByName(wanted[1]) if len(wanted) > 1 else wanted[0]
+    docs = KeyFilter.of(nodes.join(wanted, "node", "left_semi"), "id")
+    keep = [None if w is None else KeyFilter.of(w, "node") for w in (forms, parities)]
+    found = texts.mapInArrow(_wanted_lines(docs, *keep, min_words), "node long, form string, " + ", ".join(f"{n} long" for n in _PARITIES))
+    return materialize(found.groupBy("node").agg(F.min("form").alias("form"), *[F.min(n).alias(n) for n in _PARITIES]), "forms")
 
 
 def _verified(forms: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -304,47 +368,56 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 def line_groups(texts: DataFrame, occurrences: DataFrame, distance: int, similarity: float, min_words: int) -> DataFrame:
     """(node, component) of nodes that link to another.
 
-    Each node is verified against its closest candidate first. That joins most
-    groups, and only candidates between different groups are verified then.
+    Each node is verified against its closest candidate and one at random first.
+    That joins most groups, and only candidates between different groups are
+    verified then.
     """
     spark = texts.sparkSession
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    nodes = occurrences.select("node", "sim", "size").distinct()
-    dealt = nodes.mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
+    nodes = occurrences.where(F.col("size") >= least_size(similarity)).groupBy("node", "sim", "size").agg(F.min("id").alias("id"))
+    nodes = materialize(nodes, "nodes")
+    dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
     found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
     found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, size long, long boolean"), "candidates")
     pairs = materialize(found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart")), "pairs")
     long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), F.col("apart").alias("sim"), "size").distinct()
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node"))
-    forms = _forms(texts, wanted, min_words)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    forms = _read_lines(texts, nodes, ends, long.select("node"), min_words)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-    best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("to"))
-    best = materialize(best.select(F.least("a", "to.b").alias("a"), F.greatest("a", "to.b").alias("b")).distinct(), "closest")
+    any_one = F.struct(F.xxhash64("a", "b").alias("hash"), "b")
+    best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("near"), F.min(any_one).alias("any"))
+    best = best.select("a", F.explode(F.array("near.b", "any.b")).alias("b"))
+    best = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "closest")
     edges = materialize(_verified(forms, best, similarity), "links")
     groups = components(edges, "line-groups")
     rest = materialize(_across(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), groups), "rest")
     if not is_empty(rest):
-        edges = edges.unionByName(materialize(_verified(forms, rest, similarity), "links"))
-        groups = components(edges, "line-groups")
+        groups = merged(groups, _verified(forms, rest, similarity), "line-groups")
     if not is_empty(long):
-        rest = materialize(_long_pairs(long, groups, distance, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
+        rest = materialize(_long_pairs(long, forms, groups, distance, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
         if not is_empty(rest):
-            groups = components(edges.unionByName(_verified(forms, rest, similarity)), "line-groups")
+            forms = _read_lines(texts, nodes, rest.select(F.explode(F.array("a", "b")).alias("node")), None, min_words)
+            groups = merged(groups, _verified(forms, rest, similarity), "line-groups")
     return groups
 
 
-def _long_pairs(long: DataFrame, groups: DataFrame, distance: int, similarity: float) -> DataFrame:
-    """Exact rest of runs longer than the window: pairs between groups, joined per band of sizes."""
-    rows = long.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
+def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distance: int, similarity: float) -> DataFrame:
+    """Exact rest of runs: pairs between groups beyond the next neighbours, joined per band of sizes.
+
+    Sketches that differ in more than twice the edits allowed rule a pair out.
+    """
+    rows = materialize(long.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component"), "runs")
     open_runs = materialize(rows.groupBy("run").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("run"), "open-runs")
     band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / float(np.log(1 / similarity)) + 1e-9).cast("int")
-    rows = rows.join(open_runs, "run", "left_semi").withColumn("band", band)
-    left = rows.select("run", "band", *[F.col(c).alias(f"l_{c}") for c in ("node", "sim", "size", "g")])
+    rows = rows.join(open_runs, "run", "left_semi").withColumn("band", band).join(sketched.select("node", *_PARITIES), "node")
+    kept = ("node", "sim", "size", "g", *_PARITIES)
+    left = rows.select("run", "band", *[F.col(c).alias(f"l_{c}") for c in kept])
     right = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-    right = right.select("run", "band", *[F.col(c).alias(f"r_{c}") for c in ("node", "sim", "size", "g")])
+    right = right.select("run", "band", *[F.col(c).alias(f"r_{c}") for c in kept])
     near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= distance
     most = F.floor((1 - similarity) * F.greatest("l_size", "r_size") + 1e-9)
     near &= (F.abs(F.col("l_size") - F.col("r_size")) <= most) & (F.col("l_g") != F.col("r_g")) & (F.col("l_node") < F.col("r_node"))
+    near &= sum(F.bit_count(F.col(f"l_{n}").bitwiseXOR(F.col(f"r_{n}"))) for n in _PARITIES) <= 2 * most
     joined = left.join(right, ["run", "band"]).where(near)
     return joined.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()
 
