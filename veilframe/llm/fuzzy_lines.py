@@ -166,11 +166,18 @@ def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Itera
     inner = max(1, (64 - width) // count)
     for i, value in enumerate(blocks_of(other, inner, 64 - width, count)):
         key = tb.mix(bucket.astype(np.uint64) * np.uint64(4 * count) + np.uint64(i) + (value + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
-        order = np.lexsort((node, size, key))
+        order = np.argsort(key)
+        together = key[order[1:]] == key[order[:-1]]
+        order = order[np.append(together, False) | np.append(False, together)]  # alone in a run: no pair
+        if not len(order):
+            continue
+        order = order[np.lexsort((node[order], size[order], key[order]))]
         k, n, s, z = key[order], node[order], sim[order], size[order]
         far = np.zeros(len(k), bool)
+        same = np.arange(len(k))
         for d in range(1, min(WINDOW, len(k) - 1) + 1):
-            at = np.flatnonzero(k[d:] == k[:-d])
+            same = same[: np.searchsorted(same, len(k) - d)]
+            same = at = same[k[same + d] == k[same]]
             if not len(at):
                 break
             apart = np.bitwise_count(s[at] ^ s[at + d])
@@ -192,15 +199,15 @@ def _beyond(run, size, similarity: float) -> np.ndarray:
     out = np.zeros(len(run) + 1, np.int64)
     first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
     last = np.append(first[1:], len(run))
-    for i, j in zip(first.tolist(), last.tolist()):
-        if j - i > WINDOW + 1:
-            # Nodes up to this place are short enough to reach; sizes less their edits never fall.
-            reach = i + np.searchsorted(size[i:j] - allowed(size[i:j], similarity), size[i:j], "right")
-            here = np.flatnonzero(reach > np.arange(i, j) + WINDOW + 1) + i
-            out[here] += 1
-            out[here + 1] -= 1
-            np.add.at(out, here + WINDOW + 1, 1)
-            np.add.at(out, reach[here - i], -1)
+    wide = last - first > WINDOW + 1
+    for i, j in zip(first[wide].tolist(), last[wide].tolist()):
+        # Nodes up to this place are short enough to reach; sizes less their edits never fall.
+        reach = i + np.searchsorted(size[i:j] - allowed(size[i:j], similarity), size[i:j], "right")
+        here = np.flatnonzero(reach > np.arange(i, j) + WINDOW + 1) + i
+        out[here] += 1
+        out[here + 1] -= 1
+        np.add.at(out, here + WINDOW + 1, 1)
+        np.add.at(out, reach[here - i], -1)
     return np.cumsum(out)[:-1] > 0
 
 
@@ -365,8 +372,8 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
 
 
-def line_groups(texts: DataFrame, occurrences: DataFrame, distance: int, similarity: float, min_words: int) -> DataFrame:
-    """(node, component) of nodes that link to another.
+def line_groups(texts: DataFrame, nodes: DataFrame, distance: int, similarity: float, min_words: int) -> DataFrame:
+    """(node, component) of those ``nodes`` (node, sim, size, id of a text that has it) that link to another.
 
     Each node is verified against its closest candidate and one at random first.
     That joins most groups, and only candidates between different groups are
@@ -374,8 +381,6 @@ def line_groups(texts: DataFrame, occurrences: DataFrame, distance: int, similar
     """
     spark = texts.sparkSession
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    nodes = occurrences.where(F.col("size") >= least_size(similarity)).groupBy("node", "sim", "size").agg(F.min("id").alias("id"))
-    nodes = materialize(nodes, "nodes")
     dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
     found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
     found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, size long, long boolean"), "candidates")
@@ -452,13 +457,18 @@ def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         raise ValueError("distance must be between 1 and 7 bits")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
     occurrences = materialize(texts.mapInArrow(_occurrences(min_words), "id long, line long, node long, sim long, size long"), "occurrences")
-    groups = line_groups(texts, occurrences, distance, similarity, min_words)
-    grouped = occurrences.join(groups, "node", "left").select("id", "line", F.coalesce("component", "node").alias("g"))
-    grouped = materialize(grouped, "grouped")
-    first = grouped.groupBy("g").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("held")).where("held > 1")
-    first = materialize(first, "first")
-    again = grouped.join(first, "g").where((F.col("id") != F.col("first.id")) | (F.col("line") != F.col("first.line")))
-    return again.groupBy("id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    nodes = occurrences.groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"))
+    nodes = materialize(nodes, "nodes")
+    groups = line_groups(texts, nodes.where(F.col("size") >= least_size(similarity)).drop("held"), distance, similarity, min_words)
+    alone = nodes.where("held > 1").join(groups, "node", "left_anti").select("node", F.col("node").alias("component"), F.col("id").alias("first"))
+    linked = groups.join(nodes.select("node", "id"), "node")
+    linked = groups.join(linked.groupBy("component").agg(F.min("id").alias("first")), "component").select("node", "component", "first")
+    repeated = materialize(alone.unionByName(linked), "repeated")
+    seen = occurrences.select("id", "line", "node").join(repeated, "node")
+    again = seen.groupBy("id", "component", "first").agg(F.sort_array(F.collect_set("line")).alias("lines"))
+    # The first document of a group keeps the first of its lines.
+    again = again.select("id", F.when(F.col("id") == F.col("first"), F.slice("lines", 2, F.size("lines"))).otherwise(F.col("lines")).alias("lines"))
+    return again.where(F.size("lines") > 0).groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("lines"))).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
