@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veilframe.session import materialize
 
+EDGES = 1 << 17  # that a task links at once, about
 FILTER_BITS = 1 << 23  # one megabyte, whatever the input; more keys only let more rows through
 
 
@@ -60,7 +61,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[led], nodes[parent[led]]
 
 
-def _forests(most: int = 1 << 18):
+def _forests(most: int = 2 * EDGES):
     """Edges of a partition as trees of depth one, so many edges at once."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -90,7 +91,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """
 
     def linked(df: DataFrame) -> DataFrame:
-        return materialize(df.where("a <> b").mapInArrow(_forests(), "a long, b long"), name)
+        trees = materialize(df.where("a <> b").mapInArrow(_forests(), "a long, b long"), name)
+        tasks = 2 + trees.count() // EDGES  # again with full tasks, so that most of a group meets in one
+        return materialize(trees.coalesce(tasks).mapInArrow(_forests(), "a long, b long"), name)
 
     current = linked(edges.select(F.col("a").cast("long"), F.col("b").cast("long")))
     while not _stars(current):
