@@ -27,7 +27,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier line repeats; documents with no line left go."""
-    return fuzzy_lines.dedup_lines(docs).where(F.col("text").rlike(r"\S"))
+    return fuzzy_lines.dedup_lines(docs, distance=None).where(F.col("text").rlike(r"\S"))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-# No stage can be told in SQL whole (trained codes, SimHash links, components, packing); tests use brute force.
+# No stage can be told in SQL whole (trained codes, edit-distance links, components, packing); tests use brute force.
 ORACLE_SQL = None
 
 

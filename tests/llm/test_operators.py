@@ -363,3 +363,19 @@ def test_op10_window_does_not_change_groups(spark, monkeypatch):
         assert {r.doc_id: r.text for r in fuzzy_lines.dedup_lines(df).collect()} == wanted
     finally:
         cloudpickle.unregister_pickle_by_value(module)
+
+
+def test_op10_finds_every_pair_by_edits_alone(spark):
+    # Pairs of lines of their own, as far apart as allowed and one edit further; SimHash bits play no part.
+    random.seed(12)
+    rows = []
+    for i in range(160):
+        words = ["".join(random.choice("abcdefghijklmnop") for _ in range(random.randint(1, 7))) for _ in range(random.choice([9, 10, 12, 19, 20, 35, 60, 110]))]
+        words += random.sample(words, min(2, len(words)))
+        edited = list(words)
+        for _ in range(len(words) // 10 + random.choice([0, 0, 1])):
+            at = random.randrange(len(edited))
+            edited[at : at + 1] = random.choice([["zz"], [], [edited[at], "yy"]])
+        rows.append((i, " ".join(words) + "\n" + " ".join(edited)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in fuzzy_lines.dedup_lines(df, distance=None).collect()} == brute.line_dedup(rows, _hash, distance_bits=64)

@@ -2,13 +2,19 @@
 
 A line's normal form is its words: letters A-Z lowered, digits folded to one,
 punctuation and white space left out. Lines with the same normal form are one
-node. Nodes get a 64-bit SimHash of their words; those within ``distance`` bits
-agree on at least one of ``distance + 1`` blocks, so each goes to the bucket of
-every block (pigeonhole), where the other bits are split into blocks again and
-only nodes that also agree on one of those are compared. Candidates are then
-verified by edit similarity, in words of the normal forms; verified links make
-connected groups, and of each group's occurrences the first (document, line)
-stays.
+node. Two nodes link when at most a tenth of the words of the longer one is
+edited; verified links make connected groups, and of each group's occurrences
+the first (document, line) stays. Candidates come from one of two indexes:
+
+* *Every pair* (``distance=None``; the queries use it). Lines at most k word edits
+  apart have all but k words in common, so of each node only its k + 1 rarest
+  words (with their number of occurrence in the line) are indexed: any two that
+  link share one of them. How rare a word is decides the cost, never the result.
+  Pairs are left early by length and word parities, true lower bounds of the edits.
+* *SimHash* (``distance`` bits). Only nodes whose 64-bit SimHashes are that close
+  are compared at all, so pairs that the edit similarity would accept are lost.
+  Such nodes agree on at least one of ``distance + 1`` blocks (pigeonhole), and
+  within a block's bucket the other bits are split into blocks again.
 
 In a run of a bucket each node is paired with its next neighbours only. A node
 that has candidates further on is kept with its run; what of a run then still
@@ -34,6 +40,7 @@ DISTANCE = 3
 SIMILARITY = 0.9
 NEIGHBOURS = 4  # next ones of a run that a node is paired with at once
 WINDOW = 64  # next ones of a run that are looked at for further candidates
+SLOT_BITS = 18  # word counts are kept per slot of their hashes, one megabyte whatever the input
 _LANE = 1 << 15
 
 FOLDED = tb.LOWER.copy()
@@ -76,6 +83,12 @@ def simhash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per line (words ``bounds[i]`` to ``bounds[i + 1]``) of which of 64 classes of words it has an odd number; an edit changes at most two."""
+    sums = np.append(np.uint64(0), np.bitwise_xor.accumulate(np.uint64(1) << (hashes >> np.uint64(58))))
+    return sums[bounds[1:]] ^ sums[bounds[:-1]]
+
+
 def _lines(part: pa.RecordBatch):
     """(document, line number, node, word hashes, word bounds, first byte, end byte, size, bytes) of every line of a slice.
 
@@ -100,12 +113,12 @@ def _lines(part: pa.RecordBatch):
 _OCCURRENCES = pa.schema([("id", pa.int64()), ("line", pa.int64()), ("node", pa.int64()), ("sim", pa.int64()), ("size", pa.int64())])
 
 
-def _occurrences(min_words: int):
+def _occurrences(min_words: int, sketch):
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 doc, number, node, hashes, bounds, _, _, size, _ = _lines(part)
-                sim = simhash(hashes, bounds)
+                sim = sketch(hashes, bounds)
                 use = np.flatnonzero(np.diff(bounds) >= min_words)
                 ids = part.column("id").take(pa.array(doc[use]))
                 yield pa.RecordBatch.from_arrays(
@@ -140,6 +153,76 @@ def _deal(distance: int):
     return run
 
 
+def _count_words(min_words: int):
+    """(slot of the hash, words) of the lines that may be near others."""
+    schema = pa.schema([("slot", pa.int64()), ("words", pa.int64())])
+
+    def run(batches):
+        total = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                _, _, _, hashes, bounds, *_ = _lines(part)
+                use = np.repeat(np.diff(bounds) >= min_words, np.diff(bounds))
+                total += np.bincount((hashes[use] >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(total))
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], schema=schema)
+
+    return run
+
+
+def word_counts(texts: DataFrame, min_words: int) -> np.ndarray:
+    """How many words fall into each slot; a fixed number of counts reaches the driver."""
+    out = np.zeros(1 << SLOT_BITS, np.int32)
+    counted = texts.mapInArrow(_count_words(min_words), "slot long, words long").groupBy("slot").agg(F.sum("words").alias("words")).toPandas()
+    out[counted["slot"].to_numpy(np.int64)] = np.minimum(counted["words"].to_numpy(np.int64), np.iinfo(np.int32).max)
+    return out
+
+
+def rarest(hashes: np.ndarray, counts: np.ndarray, held: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(line, key) of the rarest words of lines of ``counts`` words: one more than the edits allowed to each.
+
+    A word's second occurrence in a line is another word than its first.
+    """
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((hashes, owner))
+    words, owner = hashes[order], owner[order]
+    fresh = np.append(True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1]))[: len(words)]
+    nth = np.arange(len(words)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(words) else np.zeros(0, np.int64)
+    keys = tb.mix(words + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    order = np.lexsort((keys, held[(words >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], owner))
+    rank = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
+    chosen = order[rank <= allowed(counts, similarity)[owner]]
+    return owner[chosen], keys[chosen]
+
+
+_DEALT = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("sim", pa.int64()), ("size", pa.int64())])
+
+
+def _deal_rarest(held: np.ndarray, similarity: float, min_words: int):
+    """A row per indexed word of each node, once per task: (word, node, parities, size)."""
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                _, _, node, hashes, bounds, *_ = _lines(part)
+                size = np.diff(bounds)
+                use = np.flatnonzero(size >= min_words)
+                use = use[np.unique(node[use], return_index=True)[1]]
+                use = use[np.array([n not in seen for n in node[use].tolist()], bool)]
+                seen.update(node[use].tolist())
+                if not len(use):
+                    continue
+                counts = size[use]
+                inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                line, keys = rarest(hashes[np.repeat(bounds[use], counts) + inner], counts, held, similarity)
+                sim = parities(hashes, bounds)[use]
+                columns = [keys.view(np.int64), node[use][line], sim.view(np.int64)[line], counts[line]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_DEALT)
+
+    return run
+
+
 # A pair (a, b, bits apart), or with ``long`` a node with candidates further on in its run: (run, node, simhash, size).
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int64()), ("size", pa.int64()), ("long", pa.bool_())])
 
@@ -194,6 +277,42 @@ def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Itera
             yield _rows(k[far].view(np.int64), n[far], s[far].view(np.int64), z[far], True)
 
 
+def _compare_rarest(bucket, node, sim, size, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of neighbours that may be similar, and nodes with candidates further on: sort by size, look ahead.
+
+    Forms whose lengths differ by more than the edits allowed cannot be similar;
+    different forms need at least one edit, and an edit changes two parities.
+    """
+    order = np.lexsort((node, size, bucket))
+    k, n, s, z = bucket[order], node[order], sim[order], size[order]
+    once = np.append(True, (k[1:] != k[:-1]) | (n[1:] != n[:-1]))  # tasks may have dealt the same node
+    k, n, s, z = k[once], n[once], s[once], z[once]
+    together = k[1:] == k[:-1]
+    paired = np.append(together, False) | np.append(False, together)  # alone in a list: no pair
+    k, n, s, z = k[paired], n[paired], s[paired], z[paired]
+    if not len(k):
+        return
+    far = np.zeros(len(k), bool)
+    same = np.arange(len(k))
+    for d in range(1, min(WINDOW, len(k) - 1) + 1):
+        same = same[: np.searchsorted(same, len(k) - d)]
+        same = at = same[k[same + d] == k[same]]
+        if not len(at):
+            break
+        apart = np.bitwise_count(s[at] ^ s[at + d])
+        most = allowed(z[at + d], similarity)
+        ok = (apart <= 2 * most) & (z[at + d] - z[at] <= most) & (most >= 1)
+        at, apart = at[ok], apart[ok]
+        if d <= NEIGHBOURS:
+            a, b = n[at], n[at + d]
+            yield _rows(np.minimum(a, b), np.maximum(a, b), apart, np.zeros(len(at)), False)
+        else:
+            far[at] = far[at + d] = True
+    far |= _beyond(k, z, similarity)
+    if far.any():
+        yield _rows(k[far], n[far], s[far].view(np.int64), z[far], True)
+
+
 def _beyond(run, size, similarity: float) -> np.ndarray:
     """Nodes, sorted by run and size, whose sizes let them pair with one more than ``WINDOW`` places away."""
     out = np.zeros(len(run) + 1, np.int64)
@@ -224,12 +343,14 @@ def least_size(similarity: float) -> int:
     return longer - int(allowed(longer, similarity))
 
 
-def _buckets(distance: int, similarity: float, most: int = 1 << 16):
+def _buckets(distance: int | None, similarity: float, most: int = 1 << 16):
     """Rows sorted by bucket, handed on as whole buckets, many small ones at once."""
     names = ("bucket", "node", "sim", "size")
 
     def compare(columns):
         bucket, node, sim, size = columns
+        if distance is None:
+            return _compare_rarest(bucket, node, sim.view(np.uint64), size, similarity)
         return _compare(bucket, node, sim.view(np.uint64), size, distance, similarity)
 
     def run(batches):
@@ -372,7 +493,7 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
 
 
-def line_groups(texts: DataFrame, nodes: DataFrame, distance: int, similarity: float, min_words: int) -> DataFrame:
+def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, similarity: float, min_words: int) -> DataFrame:
     """(node, component) of those ``nodes`` (node, sim, size, id of a text that has it) that link to another.
 
     Each node is verified against its closest candidate and one at random first.
@@ -381,7 +502,11 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int, similarity: f
     """
     spark = texts.sparkSession
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
+    if distance is None:
+        least = max(min_words, least_size(similarity))
+        dealt = texts.mapInArrow(_deal_rarest(word_counts(texts, least), similarity, least), "bucket long, node long, sim long, size long")
+    else:
+        dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
     found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
     found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, size long, long boolean"), "candidates")
     pairs = materialize(found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart")), "pairs")
@@ -406,7 +531,7 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int, similarity: f
     return groups
 
 
-def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distance: int, similarity: float) -> DataFrame:
+def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distance: int | None, similarity: float) -> DataFrame:
     """Exact rest of runs: pairs between groups beyond the next neighbours, joined per band of sizes.
 
     Sketches that differ in more than twice the edits allowed rule a pair out.
@@ -419,8 +544,8 @@ def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distanc
     left = rows.select("run", "band", *[F.col(c).alias(f"l_{c}") for c in kept])
     right = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     right = right.select("run", "band", *[F.col(c).alias(f"r_{c}") for c in kept])
-    near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= distance
     most = F.floor((1 - similarity) * F.greatest("l_size", "r_size") + 1e-9)
+    near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= (2 * most if distance is None else distance)
     near &= (F.abs(F.col("l_size") - F.col("r_size")) <= most) & (F.col("l_g") != F.col("r_g")) & (F.col("l_node") < F.col("r_node"))
     near &= sum(F.bit_count(F.col(f"l_{n}").bitwiseXOR(F.col(f"r_{n}"))) for n in _PARITIES) <= 2 * most
     joined = left.join(right, ["run", "band"]).where(near)
@@ -450,13 +575,13 @@ def _without(text_col: str, chars_col: str | None, fields: pa.Schema):
     return run
 
 
-def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE,
+def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", distance: int | None = DISTANCE,
                   similarity: float = SIMILARITY, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, lines): the 0-based numbers of lines of a document that repeat an earlier one, near or exact."""
-    if not 1 <= distance <= 7:
+    if distance is not None and not 1 <= distance <= 7:
         raise ValueError("distance must be between 1 and 7 bits")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    occurrences = materialize(texts.mapInArrow(_occurrences(min_words), "id long, line long, node long, sim long, size long"), "occurrences")
+    occurrences = materialize(texts.mapInArrow(_occurrences(min_words, parities if distance is None else simhash), "id long, line long, node long, sim long, size long"), "occurrences")
     nodes = occurrences.groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"))
     nodes = materialize(nodes, "nodes")
     groups = line_groups(texts, nodes.where(F.col("size") >= least_size(similarity)).drop("held"), distance, similarity, min_words)
@@ -472,9 +597,12 @@ def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",
-                distance: int = DISTANCE, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, lines_col: str | None = None) -> DataFrame:
+                distance: int | None = DISTANCE, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, lines_col: str | None = None) -> DataFrame:
     """All rows and columns of ``docs``; repeated lines, near or exact, are gone from the texts.
 
+    With ``distance=None`` every two lines within ``similarity`` link; a number
+    compares only lines whose SimHashes differ in at most so many bits.
+
     Lines under ``min_words`` words stay, empty ones too. The first occurrence
     by (id, line number) stays, in a document as across documents. Two rows with
     one id and the same text are one document and keep the same lines; if their

@@ -51,7 +51,7 @@ def token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), lines_col="removed_lines").select("doc_id", "text", "n_chars", "removed_lines")
+    return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"), distance=None, lines_col="removed_lines").select("doc_id", "text", "n_chars", "removed_lines")
 
 
 @query("op9_language_id")
