@@ -137,6 +137,26 @@ def test_tokens_are_the_librarys():
         assert tokens.token_ids("byte_bpe_50k.json", text).tolist() == own.encode(text, add_special_tokens=False).ids
 
 
+def test_document_ids_are_the_librarys(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    random.seed(13)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n <|endoftext", ""]
+    texts += ["".join(random.choice([" ", "a", "é", "\n", "<|", "|>", "<|endoftext|>", "endoftext", "'s"]) for _ in range(random.randint(0, 20))) for _ in range(500)]
+    for text in texts:
+        assert tokens.document_ids("byte_bpe_50k.json", text).tolist() == own.encode(text, add_special_tokens=False).ids
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:4])], "doc_id long, text string")
+    wanted = {i: own.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts[:4])}
+    for r in complement_packing.pack(df).collect():
+        assert r.ids_crc32 == zlib.crc32(np.array(wanted[r.doc_id] + [0], "<u4").tobytes())
+    for r in bfd_packing.packed_sequences(df, capacity=64).collect():
+        ids = np.frombuffer(r.input_ids, "<u2")
+        for doc, a, b in zip(r.doc_ids, r.cu_seqlens, r.cu_seqlens[1:]):
+            assert ids[a:b].tolist() == wanted[doc] + [50256]
+
+
 def test_op4(odd):
     back = collections.defaultdict(list)
     for r in bfd_packing.packed_sequences(odd, capacity=64).collect():

@@ -117,7 +117,7 @@ def packed_sequences(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for piece in tb.slices(batch, "text", 8 << 20):
                 for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
-                    ids = np.append(tk.token_ids(vocabulary, text or ""), np.uint32(end_id))
+                    ids = np.append(tk.document_ids(vocabulary, text or ""), np.uint32(end_id))
                     if id_bytes == 2 and ids.max() >= 1 << 16:
                         raise ValueError("ids need four bytes")
                     ids = ids.astype(width)

@@ -158,7 +158,7 @@ def _tokenise(vocabulary: str, capacity: int, end_id: int):
             for piece in tb.slices(batch, "text", 8 << 20):
                 rows: list[list] = [[] for _ in range(6)]
                 for doc, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist()):
-                    ids = np.append(tk.token_ids(vocabulary, text or ""), np.array([end_id], "<u4")).astype("<u4", copy=False)
+                    ids = np.append(tk.document_ids(vocabulary, text or ""), np.array([end_id], "<u4")).astype("<u4", copy=False)
                     for number, (start, length) in enumerate(tk.pieces(len(ids), capacity)):
                         for into, value in zip(rows, (doc, number, start, length, zlib.crc32(ids[start : start + length].tobytes()), seen[length])):
                             into.append(value)

@@ -4,7 +4,8 @@ The vocabulary is read from the tokenizer's own JSON file. A byte-level BPE
 whose ids follow its merges gives the same ids under any engine; the faster one
 is used here, and the tests hold it against the file's own library. The split
 pattern is the file's, with possessive repeats, which cannot change a match.
-Strings of special tokens inside a text are ordinary text.
+The file's added tokens inside a text get their own ids, as the library gives
+them; ``token_ids`` reads such strings as ordinary text.
 """
 
 from __future__ import annotations
@@ -45,18 +46,25 @@ def encoder(name: str):
 
         with open(vocabulary_path(name), encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model["added_tokens"] if t["special"]}
+        added = {t["content"]: t["id"] for t in model["added_tokens"]}
+        if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in model["added_tokens"]):
+            raise ValueError(f"{name}: added tokens that depend on what is beside them")
         of = _byte_of_character()
-        ranks = {bytes(of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-        loaded[name] = tiktoken.Encoding(name, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        ranks = {bytes(of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in added}
+        loaded[name] = tiktoken.Encoding(name, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens=added)
     return loaded[name]
 
 
 def token_ids(name: str, text: str) -> np.ndarray:
-    """Ids of a whole text as little-endian unsigned 32-bit integers."""
+    """Ids of a whole text as little-endian unsigned 32-bit integers; added tokens in it are ordinary text."""
     return np.array(encoder(name).encode_ordinary(text), dtype="<u4")
 
 
+def document_ids(name: str, text: str) -> np.ndarray:
+    """Ids of a whole text as the tokenizer's library gives them: added tokens in it have their own ids."""
+    return np.array(encoder(name).encode(text, allowed_special="all"), dtype="<u4")
+
+
 def pieces(length: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a token sequence: whole ones, the first may be shorter."""
     first = length % most or min(length, most)
