@@ -295,6 +295,19 @@ def test_op8(spark):
     assert main_content.extract(df.limit(0)).collect() == []
 
 
+def test_op8_names_of_wrappers_and_missing_end_tags():
+    story = "".join(f"<p>Paragraph {i} of the story, which goes on for a while, and then some more, until it is told.</p>" for i in range(6))
+    wanted = main_content.article_text(f'<body><div class="box">{story}</div></body>')
+    assert wanted.count("Paragraph") == 6
+    for wrap in ('class="content-sidebar-wrap"', 'class="site has-sidebar"', 'id="page" class="no-sidebar"', 'class="post with-comments"', 'class="widget"'):
+        page = f'<body><div {wrap}><div class="inner">{story}</div><div class="sidebar"><p>Side text, not of the story.</p></div></div></body>'
+        assert main_content.article_text(page) == wanted, wrap
+    for tag in ('<p class="promo">', "<p hidden>", '<p class="sharing">'):
+        assert main_content.article_text(f"<body><div>{tag}Buy now{story}</div></body>") == wanted, tag
+    items = main_content.article_text(f'<body><div>{story}<ul><li class="social">Follow us<li>One thing<li hidden>No<li>Another</ul></div></body>')
+    assert items == wanted + "\nOne thing\nAnother"
+
+
 def test_op9(spark, docs, odd):
     model = ecoc_language.fit(docs)
     got = ecoc_language.identify(docs.select("doc_id", "text"), model).join(docs.select("doc_id", "lang"), "doc_id").where(ecoc_language.held_out(F.col("doc_id"))).collect()

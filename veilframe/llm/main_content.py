@@ -1,8 +1,9 @@
 """HTML extraction by tree scoring.
 
 A tolerant scanner turns markup into a tree. Subtrees that are never article
-text (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-comments, hidden parts) are left out. Every paragraph passes points for its
+text (menus, headers, footers, forms, scripts, hidden parts) are left out;
+elements whose class or id names such a part (sidebars, notices, adverts,
+comments) only by what they hold, so a wrapper that mentions one stays. Every paragraph passes points for its
 length and commas to its ancestors, fewer with distance; a container's points
 are discounted by the share of its text that is links. The best container and
 those of its siblings that score like it or read like paragraphs are kept, and
@@ -37,6 +38,11 @@ DROPPED_NAMES = frozenset(
     "popup promo promotion recommended related reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe "
     "subscription toolbar widget widgets".split()
 )
+COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+LITTLE = 250  # characters outside of links that a part may hold to be left out for a piece of its name
+OPTIONAL_END = frozenset("p li dt dd tr td th".split())
+# What an element's names say: nothing, a piece of them is of another part, a whole one is, it holds comments, it is left out.
+PLAIN, PIECE, WHOLE, REMARKS, OUT = range(5)
 BONUS = {"article": 25.0, "main": 25.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "form": -3.0}
 GOOD_NAMES = frozenset("article body content entry hentry main page post story text".split())
 _CLOSES = {  # a start tag that ends an open one, up to the nearest of these containers
@@ -95,36 +101,56 @@ def scan(page: str) -> Iterator[tuple[str, str, str]]:
         at = stop
 
 
-def _left_out(name: str, attributes: str) -> tuple[bool, float]:
-    """Whether a tag and all inside it is no article text, and what its names are worth."""
+def _left_out(name: str, attributes: str) -> tuple[int, float]:
+    """What a tag and its names say about all inside it (``OUT``: no article text), and what its names are worth."""
     if name in DROPPED:
-        return True, 0.0
-    worth = 0.0
+        return OUT, 0.0
+    worth, says, good = 0.0, PLAIN, False
     if attributes:
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), (a or b or c).lower()
             if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and _HIDDEN.search(value):
-                return True, 0.0
+                return OUT, 0.0
             if key == "role" and value in DROPPED_ROLES:
-                return True, 0.0
-            if key in ("class", "id") and name not in ("html", "body", "article", "main") or name == "article" and key == "class" and "comment" in value:
-                words = set(re.split(r"[^a-z]+", value))
-                if words & DROPPED_NAMES:
-                    return True, 0.0
-                if words & GOOD_NAMES:
-                    worth = 5.0
-    return False, worth
+                return OUT, 0.0
+            if name == "article" and key == "class" and "comment" in value:
+                says = max(says, REMARKS if any(_whole(w) for w in value.split()) else PIECE)
+            elif key in ("class", "id") and name not in ("html", "body", "article", "main"):
+                words = value.split()
+                good = good or not GOOD_NAMES.isdisjoint(words)
+                for word in words:
+                    pieces = _pieces(word)
+                    if pieces & GOOD_NAMES:
+                        worth = 5.0
+                    if _whole(word):
+                        says = max(says, REMARKS if pieces & COMMENT_NAMES else WHOLE)
+                    elif pieces & DROPPED_NAMES:
+                        says = max(says, PIECE)
+    if good:  # class="post comments" is a post
+        return PLAIN, worth
+    return (says, -5.0) if says else (PLAIN, worth)
+
+
+def _pieces(word: str) -> set[str]:
+    return set(filter(None, re.split(r"[^a-z]+", word)))
+
+
+def _whole(word: str) -> bool:
+    """Whether a class or id is nothing but such a name, or several of them."""
+    pieces = _pieces(word)
+    return bool(pieces) and pieces <= DROPPED_NAMES
 
 
 class Tree:
     """Block elements with their blocks of text; inline elements only matter as links."""
 
     def __init__(self, page: str):
-        self.names, self.parents, self.worth = ["#page"], [-1], [0.0]
+        self.names, self.parents, self.worth, self.says = ["#page"], [-1], [0.0], [PLAIN]
         self.blocks: list[tuple[int, str, int]] = []  # (element, text, characters of it in links)
         self._texts: list[str] = []
         self._linked: list[str] = []
         self._read(page)
+        self._leave_out()
 
     def _flush(self, element: int) -> None:
         if self._texts:
@@ -162,8 +188,12 @@ class Tree:
                     if name == "br":
                         self._texts.append(" ")
                     continue
-                dropped, worth = _left_out(name, value)
-                if name in BLOCKS or dropped and name not in ("option", "button", "select", "svg", "math"):
+                says, worth = _left_out(name, value)
+                if says == PIECE and name not in BLOCKS:
+                    says = PLAIN
+                # Parts whose end tag may be missing are read into the tree, which knows where they end.
+                dropped = says == OUT and name not in OPTIONAL_END
+                if name in BLOCKS or (dropped or says) and name not in ("option", "button", "select", "svg", "math"):
                     self._flush(element)
                     self._close_for(stack, name)
                     element = stack[-1][1]
@@ -174,13 +204,14 @@ class Tree:
                         skipped = 1
                         open_names.append(name)
                     continue
-                if name in BLOCKS:
+                links += name == "a"
+                if name in BLOCKS or says:
                     self.names.append(name)
                     self.parents.append(element)
                     self.worth.append(worth)
+                    self.says.append(says)
                     stack.append((name, len(self.names) - 1))
                 else:
-                    links += name == "a"
                     stack.append((name, element))
             else:
                 if name == "br":
@@ -189,12 +220,41 @@ class Tree:
                 at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
                 if not at or name not in BLOCKS and any(n in BLOCKS for n, _ in stack[at + 1 :]):
                     continue
-                if name in BLOCKS:
+                if name in BLOCKS or element != stack[at - 1][1]:
                     self._flush(element)
                 links -= sum(n == "a" for n, _ in stack[at:])
                 del stack[at:]
         self._flush(stack[-1][1])
 
+    def _leave_out(self) -> None:
+        """Takes out the blocks of parts that are no article text by what they say and hold."""
+        if not any(self.says):
+            return
+        count = len(self.names)
+        plain, length, article, out = [0] * count, [0] * count, [False] * count, [False] * count
+        for element, text, in_links in self.blocks:
+            plain[element] += len(text) - in_links
+            length[element] += len(text)
+        for i in range(count - 1, 0, -1):  # parents come before their children
+            up, says = self.parents[i], self.says[i]
+            if says == OUT:
+                continue
+            plain[up] += plain[i]
+            length[up] += length[i]
+            article[up] |= article[i] or self.names[i] in ("article", "main") and not says
+        for i in range(1, count):
+            says = self.says[i]
+            some = 2 * plain[i] < plain[0]
+            little = plain[i] <= LITTLE or 3 * plain[i] <= 2 * length[i]
+            says_out = says == REMARKS or says == WHOLE and some or says == PIECE and some and little
+            out[i] = out[self.parents[i]] or says == OUT or says_out and not article[i]
+        kept = [b for b in self.blocks if not out[b[0]]]
+        if not kept:  # all of the page is in such parts
+            for i in range(1, count):
+                out[i] = out[self.parents[i]] or self.says[i] == OUT
+            kept = [b for b in self.blocks if not out[b[0]]] if plain[0] > LITTLE else []
+        self.blocks = kept
+
     @staticmethod
     def _close_for(stack: list[tuple[str, int]], name: str) -> None:
         """Tags that the start of a block ends: an open paragraph, the item before, the cell before."""
