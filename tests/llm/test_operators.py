@@ -103,6 +103,17 @@ def test_op2_frequent_lines(spark):
     assert line_quality.quality(df.limit(0)).collect() == []
 
 
+def test_op2_texts_without_frequent_lines(spark):
+    rows = [(i, f"own line {'x' * i}\n\nRead more at page {i}!\nlast {'y' * i}\n", "h") for i in range(7)]
+    rows += [(3, rows[3][1], "h"), (8, "Read more at page 1!", "h"), (9, "Read more at page 1!\nz", "other"), (10, None, "h"), (11, "", None), (None, "a\nread more at PAGE\nb", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [(r.doc_id, r.clean_text) for r in line_quality.quality(df, line_limit=5).collect()]
+    often = re.compile("read more at page", re.I)
+    cut = lambda t, host: t if t is None or host != "h" else "\n".join(x for x in t.split("\n") if not often.match(x))
+    assert sorted(got, key=str) == sorted([(i, cut(t, host)) for i, t, host in rows], key=str)
+    assert {r.clean_text for r in line_quality.quality(df, line_limit=50).collect()} == {t for _, t, _ in rows}
+
+
 @pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
 def test_op3(docs, rows, size, percent):
     assert {tuple(r) for r in set_join.jaccard_groups(docs, size=size, percent=percent).collect()} == brute.jaccard(rows, size, percent)

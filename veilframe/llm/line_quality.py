@@ -7,7 +7,7 @@ little is left is rejected. Base rules on word counts and repeats come first.
 
 Counting takes distinct (host, line, text) and then sums per (host, line), both
 partially aggregated, so a host or a line with a third of all rows is spread.
-The join back carries hashes, never texts.
+The join back carries hashes and line numbers; texts are cut by those.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ def _base(rows: DataFrame) -> DataFrame:
     whole = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     rows = rows.withColumn("lines", lines).select(
-        "doc_id", "source", "text_hash", "words", F.size("words").cast("long").alias("n_words"),
+        "doc_id", "source", "text", "text_hash", "words", F.size("words").cast("long").alias("n_words"),
         F.char_length(F.translate(whole, BLANKS, "")).cast("long").alias("word_chars"),
         (F.char_length(whole) - F.char_length(F.translate(whole, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -84,8 +84,9 @@ def frequent_lines(docs: DataFrame, line_limit: int = LINE_LIMIT) -> DataFrame:
 
 def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
             line_limit: int = LINE_LIMIT, most_removed: int = MOST_REMOVED) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed, kept per row.
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, removed_words, base_failed, kept, clean_text per row.
 
+    ``clean_text`` is the text without its frequent lines, the others in order.
     A null text has no words and fails the base rules. Equal texts of a host
     count once towards a line's frequency, so exact copies do not make their
     lines boilerplate. A null host is a host of its own. Repeated rows get the
@@ -99,7 +100,7 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     removed = held.join(often, held["source"].eqNullSafe(often["often_source"]) & (held["line"] == often["often_line"]))
     # Lines of one text are told apart by their number, so a repeated row adds nothing.
     removed = removed.groupBy("doc_id", "text_hash", "number").agg(F.first("words").alias("words"))
-    removed = removed.groupBy("doc_id", "text_hash").agg(F.sum("words").alias("removed"))
+    removed = removed.groupBy("doc_id", "text_hash").agg(F.sum("words").alias("removed"), F.collect_list("number").alias("numbers"))
     return _verdict(_base(rows), removed, most_removed)
 
 
@@ -108,7 +109,10 @@ def _verdict(base: DataFrame, removed: DataFrame, most_removed: int) -> DataFram
     joined = base.join(removed, base["doc_id"].eqNullSafe(removed["r_id"]) & (base["text_hash"] == removed["r_hash"]), "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     joined = joined.withColumn("base_failed", failed).withColumn("removed_words", F.coalesce("removed", F.lit(0)).cast("long"))
+    stay = F.filter(F.split("text", "\n"), lambda line, number: ~F.array_contains("numbers", number))
+    joined = joined.withColumn("clean_text", F.when(F.col("numbers").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n")))
     return joined.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed",
         (~F.col("base_failed") & (100 * F.col("removed_words") <= most_removed * F.col("n_words"))).alias("kept"),
+        "clean_text",
     )
