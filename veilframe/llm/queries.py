@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from veilframe.llm import bfd_packing, chat_template, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, main_content, set_join, weak_pii
+from veilframe.llm import (
+    bfd_packing, chat_template, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, main_content, packed_products, set_join,
+    threshold_search, weak_pii,
+)
 from veilframe.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +89,51 @@ def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+# Whole vectors as integers, shared by the SQL of the two searches. Sums of integers are exact in doubles.
+_INTEGERS = """
+vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+
+@query(
+    "op13_exact_topk_search",
+    f"""
+WITH {_INTEGERS}, scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5""",
+)
+def exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query(
+    "op11_hard_negative_mining",
+    f"""
+WITH {_INTEGERS}, labelled AS (
+  SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM vectors WHERE label IS NOT NULL
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM labelled a JOIN labelled c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 10""",
+)
+def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return packed_products.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
