@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veilframe.llm import (
-    bfd_packing, chat_template, complement_packing, ecoc_language, fm_index, fuzzy_lines, line_quality, main_content, packed_products, set_join,
+    bfd_packing, chat_template, complement_packing, conversation_repair, ecoc_language, fm_index, fuzzy_lines, line_quality, main_content, packed_products, set_join,
     threshold_search, weak_pii,
 )
 from veilframe.llm.common import table
@@ -134,6 +134,11 @@ def hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_products.hard_negatives(rows, F.col("vec_id") % 100 == 0, label=label)
 
 
+@query("op12_conversation_structure_repair")
+def conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")), copies_col="copies")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
