@@ -274,11 +274,13 @@ def pieces(df: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn",
     )
     empty = F.lit("")
     rows = rows.select("conv_id", own(F.col("turn"), F.lit(None)).alias("turn"), own(F.col("role"), empty).alias("role"), own(F.col("text"), empty).alias("text"), "copies")
-    # Equal rows of a turn become one row with a count before anything is sorted.
-    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies")).withColumn("digest", F.sha2("text", 256))
-    said = rows.where("copies > 0").groupBy("conv_id", "role", "digest").agg(
+    # What a conversation says again is told from digests alone: a short table, and of known size before the texts are moved.
+    said = rows.where("copies > 0").groupBy("conv_id", "role", F.unhex(F.sha2("text", 256)).alias("d")).agg(
         F.count("*").alias("n"), F.min("turn").alias("since"), F.max(F.col("turn").isNull()).alias("without")
-    ).where("n > 1").select(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("digest").alias("d"), "since", "without")
+    ).where("n > 1")
+    said = materialize(said.select(F.col("conv_id").alias("c"), F.col("role").alias("r"), "d", "since", "without"), "said")
+    # Equal rows of a turn become one row with a count before anything is sorted.
+    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies")).withColumn("digest", F.unhex(F.sha2("text", 256)))
     rows = rows.join(said, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (F.col("digest") == F.col("d")), "left")
     later = F.col("turn").isNotNull() & (F.col("without") | (F.col("turn") > F.col("since")))
     end = F.right(F.rtrim("text", F.lit(BLANKS)), F.lit(1))
