@@ -51,7 +51,7 @@ _city_src = f"(SELECT lower(city) AS nk, min(city) AS canon FROM {CONTACTS_SQL}
 )
 def city_alloc(spark, sf_dir):
     values = contacts(spark, sf_dir).groupBy(X.normalize(F.col("city")).alias("nk")).agg(F.min("city").alias("canon"))
-    return places.city_fakes(values)
+    return places.city_fakes(values).drop("placed")
 
 
 _street_src = f"(SELECT lower(lastname) AS nk, min(lastname) AS canon FROM {CONTACTS_SQL} GROUP BY 1)"
@@ -63,7 +63,7 @@ _street_src = f"(SELECT lower(lastname) AS nk, min(lastname) AS canon FROM {CONT
 )
 def street_alloc(spark, sf_dir):
     values = contacts(spark, sf_dir).groupBy(X.normalize(F.col("lastname")).alias("nk")).agg(F.min("lastname").alias("canon"))
-    return places.street_fakes(values)
+    return places.street_fakes(values).drop("placed")
 
 
 @query("state_alloc")
@@ -75,7 +75,7 @@ def state_alloc(spark, sf_dir):
         F.element_at(F.array(*[F.lit(c[0]) for c in C.COUNTRIES]), (k % 20 + 1).cast("int")).alias("country"),
     )
     values = rows.groupBy(X.normalize(F.col("canon")).alias("nk")).agg(F.min("canon").alias("canon"), F.min("country").alias("country"))
-    return places.state_fakes(values)
+    return places.state_fakes(values).drop("placed")
 
 
 # --- organisations ------------------------------------------------------------
@@ -112,7 +112,7 @@ def org_alloc(spark, sf_dir):
         table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("company"))
     )
     values = names.groupBy(X.normalize(F.col("company")).alias("nk")).agg(F.min("company").alias("canon"))
-    return orgs.org_fakes(values)
+    return orgs.org_fakes(values).drop("placed")
 
 
 @query("org_code_alloc")
@@ -123,7 +123,7 @@ def org_code_alloc(spark, sf_dir):
 
     code = F.concat_ws("_", F.substring(F.upper("company"), 1, 1), F.upper("firstname"), "city", F.upper("firstname"))
     values = contacts(spark, sf_dir).select(code.alias("canon")).distinct().withColumn("nk", X.normalize(F.col("canon")))
-    return orgs.org_code_fakes(values, em.known_codes(entity_map(spark, sf_dir)))
+    return orgs.org_code_fakes(values, em.known_codes(entity_map(spark, sf_dir))).drop("placed")
 
 
 # --- people ---------------------------------------------------------------------
@@ -257,7 +257,7 @@ SELECT identity, ({_surnames})[x % {_ns} + 1] || ({_given})[one] || ({_given})[t
 def han_names(spark, sf_dir):
     """A different invented Chinese person per identity, in both scripts."""
     identities = table(spark, sf_dir, "customer").select(F.col("c_name").alias("identity"))
-    return chinese.han_identities(identities)
+    return chinese.han_identities(identities).drop("placed")
 
 
 _oh, _ot = Q.array(C.HAN_ORG_HEADS), Q.array(C.HAN_ORG_TAILS)
@@ -273,7 +273,7 @@ SELECT nk, ({_oh})[slot % {_nh} + 1] || ({_ot})[slot // {_nh} % {_nt} + 1] || ({
   || CASE WHEN beyond >= 0 THEN ({_ot})[beyond % {_nt} + 1] ELSE '' END FROM s""",
 )
 def han_orgs(spark, sf_dir):
-    return chinese.han_orgs(table(spark, sf_dir, "customer").select(F.lower("c_name").alias("nk")))
+    return chinese.han_orgs(table(spark, sf_dir, "customer").select(F.lower("c_name").alias("nk"))).drop("placed")
 
 
 @query(

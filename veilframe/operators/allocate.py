@@ -3,8 +3,9 @@
 Nothing here ranks all values in one task. Values are numbered inside hash
 buckets, and ``rank * buckets + bucket`` is a number no other value has. Numbers
 are spelled as words, so a fake is a function of a slot and slots never meet.
-Pairs that exist already are never moved: new values continue behind the ranks
-their bucket has used.
+Pairs that exist already are never moved: *marks* keep, per family of slots and
+bucket, the rank the next value gets, and every later call or run goes on there.
+What a call hands out is told in a column ``placed`` beside its fakes.
 """
 
 from __future__ import annotations
@@ -43,42 +44,101 @@ def dense_ids(df: DataFrame, key: str, start: Column | int = 0, name: str = "id"
     )
 
 
+PLACED = "array<struct<family:string,slot:bigint>>"
+MARKS = "family string, bucket int, next bigint"
+
+
+def nowhere() -> Column:
+    """``placed`` of a fake that used no slot."""
+    return F.array().cast(PLACED)
+
+
+def placed_at(family: Column, slot: Column) -> Column:
+    return F.array(F.struct(family.alias("family"), slot.cast("bigint").alias("slot"))).cast(PLACED)
+
+
+def marks_of(placed: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``family, bucket, next`` behind all slots of a ``placed`` column."""
+    each = placed.select(F.explode("placed").alias("p")).select("p.family", "p.slot")
+    rank = (F.col("slot") - F.pmod("slot", F.lit(buckets))) / buckets
+    return each.groupBy("family", F.pmod("slot", F.lit(buckets)).cast("int").alias("bucket")).agg(
+        (F.max(rank).cast("bigint") + 1).alias("next")
+    )
+
+
+def counted_marks(rows: DataFrame, family: Column, by: list[str], key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Marks behind values of which only the keys are known: no bucket has used more ranks than it has keys."""
+    return rows.groupBy(family.alias("family"), bucket_of(F.concat_ws("|", *by, key), buckets).alias("bucket")).agg(
+        F.count_distinct(key).cast("bigint").alias("next")
+    )
+
+
+def merged_marks(*parts: DataFrame | None) -> DataFrame | None:
+    """The furthest mark of each family and bucket."""
+    known = [p for p in parts if p is not None]
+    if not known:
+        return None
+    out = known[0]
+    for part in known[1:]:
+        out = out.unionByName(part)
+    return out.groupBy("family", "bucket").agg(F.max("next").alias("next")) if len(known) > 1 else out
+
+
 def slots(
-    df: DataFrame, by: list[str], key: str, prior: DataFrame | None = None, buckets: int = BUCKETS
+    df: DataFrame, by: list[str], key: str, marks: DataFrame | None = None, family: Column | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
-    """Add ``slot``, unique per group ``by``. ``prior`` holds ``by`` and ``key`` of earlier values."""
+    """Add ``slot``, unique per group ``by``, and ``placed``.
+
+    ``marks`` (``family, bucket, next``) say where earlier calls ended; ``family``
+    is the name of the row's group there, the values of ``by`` by default.
+    """
     filed = df.withColumn("_b", bucket_of(F.concat_ws("|", *by, key), buckets)).withColumn(
         "_h", F.sha2(F.concat_ws("|", F.lit("slot"), *by, key), 256)
-    )
+    ).withColumn("_family", F.concat_ws("|", *by) if family is None else family)
     rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy("_h", key)) - 1
-    if prior is None:
+    if marks is None:
         used = F.lit(0)
     else:
-        counts = (
-            prior.select(*by, bucket_of(F.concat_ws("|", *by, key), buckets).alias("_b"))
-            .groupBy(*by, "_b")
-            .agg(F.count("*").alias("_used"))
-        )
-        filed = filed.join(counts, [*by, "_b"], "left")
+        before = marks.select(F.col("family").alias("_family"), F.col("bucket").alias("_b"), F.col("next").alias("_used"))
+        filed = filed.join(before, ["_family", "_b"], "left")
         used = F.coalesce(F.col("_used"), F.lit(0))
-    return filed.withColumn("slot", ((rank + used) * buckets + F.col("_b")).cast("bigint")).drop("_b", "_h", "_used")
+    placed = filed.withColumn("slot", ((rank + used) * buckets + F.col("_b")).cast("bigint"))
+    return placed.withColumn("placed", placed_at(F.col("_family"), F.col("slot"))).drop("_b", "_h", "_used", "_family")
+
+
+def _whole(a: Column, size: int) -> Column:
+    """Whole-number quotient of a non-negative number; exact for every long."""
+    return ((a - F.pmod(a, F.lit(size))).cast("decimal(20,0)") / size).cast("bigint")
+
+
+def digits(number: Column, size: int) -> Column:
+    """Bijective digits of a number, least significant first; none below zero.
+
+    There are ``size`` one-digit numbers, then ``size ** 2`` of two digits and so
+    on; the length follows the number, so no long is too large.
+    """
+    start = F.struct(number.cast("bigint").alias("rest"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(state: Column, _: Column) -> Column:
+        rest, out = state["rest"], state["out"]
+        more = rest >= 0
+        return F.struct(
+            F.when(more, _whole(rest, size) - 1).otherwise(rest).alias("rest"),
+            F.when(more, F.array_append(out, F.pmod(rest, F.lit(size)).cast("bigint"))).otherwise(out).alias("out"),
+        )
+
+    most = next(n for n in range(1, 65) if sum(size**i for i in range(1, n + 1)) >= 1 << 63)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step, lambda state: state["out"])
 
 
-def words_of(number: Column, words: Sequence[str], joiner: str, most: int = 6) -> Column:
+def words_of(number: Column, words: Sequence[str], joiner: str) -> Column:
     """Spell a non-negative number with words, least significant first.
 
     Bijective numeration: 0 is the first word, ``n`` words give ``n`` one-word
     spellings, then the two-word ones follow. No two numbers share a spelling.
     """
     pool = literal_array(words)
-    size = len(words)
-    pieces, rest = [], number
-    for at in range(most):
-        word = F.element_at(pool, (F.pmod(rest, F.lit(size)) + 1).cast("int"))
-        pieces.append(word if at == 0 else F.when(rest >= 0, F.concat(F.lit(joiner), word)).otherwise(F.lit("")))
-        # Below zero the number stays below zero, so no later word appears.
-        rest = F.floor(rest / size) - 1
-    return F.concat(*pieces)
+    return F.array_join(F.transform(digits(number, len(words)), lambda d: F.element_at(pool, (d + 1).cast("int"))), joiner)
 
 
 def syllable(number: Column) -> Column:
@@ -105,10 +165,8 @@ def spelled_name(slot: Column, endings: Sequence[str]) -> Column:
         F.substr(F.lit(C.VOWELS), (F.pmod(first, F.lit(5)) + 1).cast("int"), F.lit(1)),
         syllable(F.pmod(F.floor(inner / 80), F.lit(80))),
     ]
-    rest = F.floor(slot / SHORT_NAMES) - 1
-    for _ in range(4):
-        pieces.append(F.when(rest >= 0, syllable(F.pmod(rest, F.lit(80)))).otherwise(F.lit("")))
-        rest = F.floor(rest / 80) - 1
+    beyond = F.transform(digits(_whole(slot, SHORT_NAMES) - 1, 80), syllable)
+    pieces.append(F.when(slot < SHORT_NAMES, F.lit("")).otherwise(F.array_join(beyond, "")))
     pieces.append(F.element_at(literal_array(endings), (F.floor(inner / 6400) + 1).cast("int")))
     return F.concat(*pieces)
 
@@ -168,29 +226,27 @@ def pool_allocate(
     compound: dict[str, str],
     tag: str,
     used: DataFrame | None = None,
-    prior: DataFrame | None = None,
+    marks: DataFrame | None = None,
     joiner: str = "-",
 ) -> DataFrame:
     """Pool words first, then compounds of pool words spelled from slots.
 
     ``compound`` names, per pool, the pool whose words make the compounds; pools
     that share one draw their slots together, so their compounds never meet.
-    Compounds have two words at least, so they cannot meet a single word.
+    Compounds have two words at least, so they cannot meet a single word. Adds
+    ``word`` and ``placed``; ``tag`` also names the families of ``marks``.
     """
     picked = pool_pick(values, pools, tag, used)
     family = literal_map(compound)
     lost = picked.where(F.col("word").isNull()).withColumn("family", F.element_at(family, F.col("pool")))
-    before = None
-    if prior is not None:
-        before = prior.withColumn("family", F.element_at(family, F.col("pool"))).select("family", "nk")
-    placed = slots(lost, ["family"], "nk", before)
+    placed = slots(lost, ["family"], "nk", marks, F.concat(F.lit(f"{tag}|"), "family"))
     spelled = None
     for name in sorted(set(compound.values())):
         # Slot numbers start behind the one-word spellings.
         text = words_of(F.col("slot") + len(pools[name]), pools[name], joiner)
         spelled = F.when(F.col("family") == name, text) if spelled is None else spelled.when(F.col("family") == name, text)
     filled = placed.withColumn("word", spelled).drop("slot", "family")
-    return picked.where(F.col("word").isNotNull()).unionByName(filled)
+    return picked.where(F.col("word").isNotNull()).withColumn("placed", nowhere()).unionByName(filled)
 
 
 def disambiguate(
@@ -199,7 +255,7 @@ def disambiguate(
     key: str,
     tail,
     used: DataFrame | None = None,
-    prior: DataFrame | None = None,
+    marks: DataFrame | None = None,
     hot: bool = True,
 ) -> DataFrame:
     """Make ``candidate`` unique over distinct ``key`` values.
@@ -209,8 +265,8 @@ def disambiguate(
     ``tail(candidate, number)`` with a number unique under that candidate. The
     groups are counted with partial aggregation and numbered inside hash
     buckets, so a candidate shared by very many values is spread over tasks.
-    ``prior`` holds earlier ``(candidate, key)`` pairs that carry a tail; ``hot``
-    is false when there are too few values for any candidate to be frequent.
+    ``marks`` number on behind the tails of earlier calls; ``hot`` is false when
+    there are too few values for any candidate to be frequent. Adds ``placed``.
     """
     digest = F.sha2(F.concat_ws("|", F.lit("claim"), F.col(key)), 256)
     claims = (
@@ -225,15 +281,16 @@ def disambiguate(
     keeps = F.col("_taken").isNull() & (F.col("_owner") == F.col(key))
     kept = marked.where(keeps).drop("_owner", "_taken", "_cf", "_n")
     lost = marked.where(~keeps).drop("_owner", "_taken", "_n")
-    before = None
-    if prior is not None:
-        before = prior.select(F.lower(candidate).alias("_cf"), key)
-    numbered = slots(lost, ["_cf"], key, before)
-    return kept.unionByName(
+    numbered = slots(lost, ["_cf"], key, marks, tail_family(F.col("_cf")))
+    return kept.withColumn("placed", nowhere()).unionByName(
         numbered.withColumn(candidate, tail(F.col(candidate), F.col("slot"))).drop("slot", "_cf")
     )
 
 
+def tail_family(folded: Column) -> Column:
+    return F.concat(F.lit("tail|"), folded)
+
+
 def word_tail(candidate: Column, number: Column) -> Column:
     """Clean, digit-free tail for names of organisations."""
     return F.concat(candidate, F.lit(f" {C.OVERFLOW_WORD} "), words_of(number, C.ORG_HEADS, " "))

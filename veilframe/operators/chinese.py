@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veilframe import config as C
 from veilframe.functions.seeds import literal_array
-from veilframe.operators.allocate import pool_pick, slots
+from veilframe.operators.allocate import _whole, digits, nowhere, pool_pick, slots
 
 PERSON_SPACE = len(C.HAN_SURNAMES) * len(C.HAN_GIVEN) ** 2
 
@@ -16,26 +16,24 @@ def _given(number: Column, column: int) -> Column:
     return F.element_at(literal_array([g[column] for g in C.HAN_GIVEN]), (number + 1).cast("int"))
 
 
-def han_identities(keys: DataFrame, prior: DataFrame | None = None) -> DataFrame:
-    """``identity -> han, given_latin, surname_latin``, a different person per identity.
+def han_identities(keys: DataFrame, marks: DataFrame | None = None) -> DataFrame:
+    """``identity -> han, given_latin, surname_latin, placed``, a different person per identity.
 
     A slot picks surname and two given characters; slots beyond that space add
     given characters, so names stay distinct however many there are.
     """
-    placed = slots(keys.withColumn("_g", F.lit("han")), ["_g"], "identity",
-                   prior.withColumn("_g", F.lit("han")) if prior is not None else None)
+    placed = slots(keys.withColumn("_g", F.lit("han")), ["_g"], "identity", marks)
     slot, size = F.col("slot"), len(C.HAN_GIVEN)
     inner = F.pmod(F.pmod(slot, F.lit(PERSON_SPACE)) * 7919 + 101, F.lit(PERSON_SPACE))
     surname_at = F.pmod(inner, F.lit(len(C.HAN_SURNAMES)))
     rest = F.floor(inner / len(C.HAN_SURNAMES))
     one, two = F.pmod(rest, F.lit(size)), F.floor(rest / size)
-    han, latin = [_given(one, 0), _given(two, 0)], [_given(one, 1), _given(two, 1)]
-    beyond = F.floor(slot / PERSON_SPACE) - 1
-    for _ in range(4):
-        more = F.pmod(beyond, F.lit(size))
-        han.append(F.when(beyond >= 0, _given(more, 0)).otherwise(F.lit("")))
-        latin.append(F.when(beyond >= 0, _given(more, 1)).otherwise(F.lit("")))
-        beyond = F.floor(beyond / size) - 1
+    beyond = digits(_whole(slot, PERSON_SPACE) - 1, size)
+
+    def more(column: int) -> Column:
+        return F.when(slot < PERSON_SPACE, F.lit("")).otherwise(F.array_join(F.transform(beyond, lambda d: _given(d, column)), ""))
+
+    han, latin = [_given(one, 0), _given(two, 0), more(0)], [_given(one, 1), _given(two, 1), more(1)]
     surname = F.element_at(literal_array([s[0] for s in C.HAN_SURNAMES]), (surname_at + 1).cast("int"))
     surname_latin = F.element_at(literal_array([s[1] for s in C.HAN_SURNAMES]), (surname_at + 1).cast("int"))
     joined = F.concat(*latin)
@@ -44,6 +42,7 @@ def han_identities(keys: DataFrame, prior: DataFrame | None = None) -> DataFrame
         F.concat(surname, *han).alias("han"),
         F.concat(F.upper(F.substring(joined, 1, 1)), F.substr(joined, F.lit(2))).alias("given_latin"),
         surname_latin.alias("surname_latin"),
+        "placed",
     )
 
 
@@ -51,12 +50,11 @@ def han_org_words() -> list[str]:
     return [head + tail for head in C.HAN_ORG_HEADS for tail in C.HAN_ORG_TAILS]
 
 
-def han_orgs(values: DataFrame, used: DataFrame | None = None, prior: DataFrame | None = None) -> DataFrame:
-    """``nk -> fake`` company names: head and tail, then head with two or more tails."""
+def han_orgs(values: DataFrame, used: DataFrame | None = None, marks: DataFrame | None = None) -> DataFrame:
+    """``nk -> fake, placed`` company names: head and tail, then head with two or more tails."""
     picked = pool_pick(values.select("nk").withColumn("pool", F.lit("han")), {"han": han_org_words()}, "han-org", used)
     lost = picked.where(F.col("word").isNull())
-    before = prior.select("nk").withColumn("pool", F.lit("han")) if prior is not None else None
-    placed = slots(lost, ["pool"], "nk", before)
+    placed = slots(lost, ["pool"], "nk", marks, F.concat(F.lit("org|"), "pool"))
     slot, heads, tails = F.col("slot"), len(C.HAN_ORG_HEADS), len(C.HAN_ORG_TAILS)
     pool = literal_array(C.HAN_ORG_TAILS)
 
@@ -69,9 +67,7 @@ def han_orgs(values: DataFrame, used: DataFrame | None = None, prior: DataFrame
         tail(rest),
         tail(F.floor(rest / tails)),
     ]
-    beyond = F.floor(rest / tails**2) - 1
-    for _ in range(5):
-        pieces.append(F.when(beyond >= 0, tail(beyond)).otherwise(F.lit("")))
-        beyond = F.floor(beyond / tails) - 1
-    spelled = placed.select("nk", F.concat(*pieces).alias("fake"))
-    return picked.where(F.col("word").isNotNull()).select("nk", F.col("word").alias("fake")).unionByName(spelled)
+    beyond = F.array_join(F.transform(digits(_whole(rest, tails**2) - 1, tails), tail), "")
+    pieces.append(F.when(rest < tails**2, F.lit("")).otherwise(beyond))
+    spelled = placed.select("nk", F.concat(*pieces).alias("fake"), "placed")
+    return picked.where(F.col("word").isNotNull()).select("nk", F.col("word").alias("fake"), nowhere().alias("placed")).unionByName(spelled)

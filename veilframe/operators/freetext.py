@@ -18,8 +18,9 @@ from veilframe.functions import text as X
 from veilframe.operators import dictionary as D
 from veilframe.operators.detector import Detector, detect, keep_span
 from veilframe.operators.generators import fake_birth, fake_id
+from veilframe.operators.ledger import Ledger
 from veilframe.operators.people import HINT_TYPE
-from veilframe.operators.resolve import resolve
+from veilframe.operators.resolve import Resolution, resolve
 from veilframe.operators.rowhints import apply_fragments
 from veilframe.session import materialize
 
@@ -162,29 +163,31 @@ def as_values(rows: DataFrame) -> DataFrame:
     )
 
 
+def text_id(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def collect_mentions(df: DataFrame, texts: list[Column]) -> DataFrame:
+    """``tid, ptype, original, hints, n`` of all texts, written down; equal mentions of a text are united before the shuffle."""
+    cells = df.select(F.explode(F.array(*texts)).alias("text")).where(F.col("text").isNotNull())
+    found = cells.select(text_id(F.col("text")).alias("tid"), F.explode(mentioned(F.col("text"))).alias("v")).select("tid", "v.*")
+    grouped = found.groupBy("tid", "ptype", "original").agg(F.max_by("hints", F.size("hints")).alias("hints"), F.count("*").alias("n"))
+    return materialize(grouped, "mentions")
+
+
 def known_entities(df: DataFrame, people: list[str], emails: list[str], texts: list[str]) -> DataFrame:
     """``ptype, original`` of participants anywhere in a table.
 
     Person and address columns, and names and addresses inside JSON text. Latin
     names need three characters, Han names two; file names are left out.
     """
-    source: list[DataFrame] = []
-
-    def column_values(names: list[str], ptype: str) -> None:
-        for c in names:
-            source.append(df.select(F.lit(ptype).alias("ptype"), F.trim(F.col(c).cast("string")).alias("original")))
-
-    column_values(people, "person")
-    column_values(emails, "email")
-    for c in texts:
-        for pattern, ptype in ((JSON_NAME, "person"), (JSON_ADDRESS, "email")):
-            source.append(
-                df.select(F.lit(ptype).alias("ptype"), F.explode(find_all(F.col(c), pattern, 1)).alias("original"))
-                .withColumn("original", F.trim("original"))
-            )
-    rows = source[0]
-    for part in source[1:]:
-        rows = rows.unionByName(part)
+    def typed(values: Column, ptype: str) -> Column:
+        return F.transform(values, lambda v: F.struct(F.lit(ptype).alias("ptype"), F.trim(v).alias("original")))
+
+    cells = [typed(F.array(F.col(c).cast("string")), ptype) for names, ptype in ((people, "person"), (emails, "email")) for c in names]
+    cells += [typed(find_all(F.col(c), pattern, 1), ptype) for c in texts for pattern, ptype in ((JSON_NAME, "person"), (JSON_ADDRESS, "email"))]
+    none = F.array().cast("array<struct<ptype:string,original:string>>")
+    rows = df.select(F.explode(F.concat(*[F.coalesce(c, none) for c in cells])).alias("v")).select("v.*")
     value = F.col("original")
     is_name = (
         (F.length(value) >= F.when(X.is_han(value), 2).otherwise(3))
@@ -350,23 +353,32 @@ def scrub_texts(
     domain: str = "general",
     make_detector: Callable[[], Detector] | None = None,
     raw_first: bool = False,
-) -> tuple[DataFrame, list[DataFrame]]:
-    """``key, scrubbed`` for distinct texts, and the resolved values that were used.
+    ledger: Ledger | None = None,
+    answered: tuple[DataFrame, Resolution] | None = None,
+) -> tuple[DataFrame, list[Resolution]]:
+    """``key, scrubbed`` for distinct texts, and the calls of ``resolve`` that were made, in order.
+
+    ``answered`` holds the texts' mentions (``collect_mentions``) and the call that
+    resolved them, with written values, when the caller has done that already.
 
     Order: patterns, known entities, row fragments, curated words, detection on
     stripped text (and on the raw text before it with ``raw_first``), Han runs,
     forced words, curated words again, JSON check.
     """
-    resolved: list[DataFrame] = []
+    calls: list[Resolution] = []
     brands = list(config.known_brands) if domain == "resume" else []
     base = texts.select(key, F.col(text).alias("_text"), *([F.col(fragments).alias("_fragments")] if fragments else []))
-    mentions = base.select(key, F.explode(mentioned(F.col("_text"))).alias("v")).select(key, "v.ptype", "v.original", "v.hints")
-    mentions = materialize(mentions, "mentions")
-    answer = resolve(as_values(mentions), entity_map, tokens, config=config)
-    values = materialize(answer.values, "resolved")
-    token_table = answer.tokens if answer.tokens is not None else tokens
-    resolved.append(values)
-    maps = fake_maps(mentions, values, key, answer.weight)
+    if answered is None:
+        mentions = base.select(key, F.explode(mentioned(F.col("_text"))).alias("v")).select(key, "v.ptype", "v.original", "v.hints")
+        mentions = materialize(mentions, "mentions")
+        answer = resolve(as_values(mentions), config=config, ledger=Ledger(entity_map, tokens) if ledger is None else ledger)
+        answer.values = materialize(answer.values, "resolved")
+        calls.append(answer)
+    else:
+        told, answer = answered
+        ids = base.select(key, text_id(F.col("_text")).alias("tid"))
+        mentions = ids.join(told.select("tid", "ptype", "original"), "tid")
+    maps = fake_maps(mentions, answer.values, key, answer.weight)
     joined = base.join(maps, key, "left").withColumn("fakes", F.coalesce("fakes", F.create_map().cast("map<string,string>")))
     precise = F.when(needs_precise_pass(F.col("_text")), precise_pass(F.col("_text"), F.col("fakes"), config)).otherwise(F.col("_text"))
     current = joined.withColumn("pre", precise)
@@ -395,9 +407,10 @@ def scrub_texts(
     if make_detector is not None:
         for stripped in ([False, True] if raw_first else [True]):
             current, used = _detected_pass(
-                current, key, stripped, make_detector, entity_map, token_table, config, brands, domain if raw_first else None
+                current, key, stripped, make_detector, answer, config, brands, domain if raw_first else None
             )
-            resolved += used
+            calls += used
+            answer = used[-1] if used else answer
     done = han_backstop(F.col("out"), F.col("fakes"))
     done = X.apply_forced(done, config.forced_words, config.forced_word_boundary)
     done = curated(done, config, F.col("protect"))
@@ -405,14 +418,14 @@ def scrub_texts(
     result = current.withColumn("scrubbed", done).select(
         key, json_safe(F.col("_text"), F.col("scrubbed"), safe_pre).alias("scrubbed")
     )
-    return result, resolved
+    return result, calls
 
 
 def _detected_pass(
-    current: DataFrame, key: str, stripped: bool, make_detector, entity_map, tokens, config: Config, brands: list[str],
+    current: DataFrame, key: str, stripped: bool, make_detector, before: Resolution, config: Config, brands: list[str],
     raw_domain: str | None,
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Detect on (stripped) text, resolve the spans, write them back as literals."""
+) -> tuple[DataFrame, list[Resolution]]:
+    """Detect on (stripped) text, resolve the spans after all that was answered before, write them back as literals."""
     if stripped and raw_domain == "resume":
         return current, []
     current = materialize(current, "scanned")
@@ -424,11 +437,11 @@ def _detected_pass(
     ).join(current.select(key, "protect"), key).where(~F.array_contains("protect", F.lower("span")))
     good = materialize(good.select(key, F.col("type").alias("ptype"), F.col("span").alias("original")), "spans")
     none = F.array().cast(HINT_TYPE)
-    answer = resolve(as_values(good.withColumn("hints", none)), entity_map, tokens, config=config)
-    values = materialize(answer.values, "spanned")
+    answer = resolve(as_values(good.withColumn("hints", none)), config=config, ledger=before.ledger.settled())
+    answer.values = materialize(answer.values, "spanned")
     from veilframe.operators.joins import lookup
 
-    table = values.groupBy("original", "ptype").agg(F.min("fake").alias("_fake"), F.sum("n").alias("n"))
+    table = answer.values.groupBy("original", "ptype").agg(F.min("fake").alias("_fake"), F.sum("n").alias("n"))
     pairs = lookup(good, table, ["original", "ptype"], weight="n").where(F.col("_fake") != F.col("original"))
     literal = (
         pairs.groupBy(key, F.lower("original").alias("entry_key")).agg(F.min("_fake").alias("fake"))
@@ -436,12 +449,12 @@ def _detected_pass(
     )
     joined = current.join(literal, key, "left")
     out = D.replace_entries(F.col("out"), F.col("entries"), D.LITERAL, F.col("protect"))
-    return joined.withColumn("out", out).drop("entries"), [values]
+    return joined.withColumn("out", out).drop("entries"), [answer]
 
 
 def scrub_columns(
     df: DataFrame, columns: list[str], fragments: str | None = None, **options
-) -> tuple[DataFrame, list[DataFrame]]:
+) -> tuple[DataFrame, list[Resolution]]:
     """Scrub text columns of a table in place; every distinct text is worked on once.
 
     ``fragments`` names a map column with the row's own name words; a text is

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from veilframe.config import DEFAULT, Config
 from veilframe.functions import text as X
 from veilframe.operators.detector import Detector, detect, keep_span
 from veilframe.operators.generators import fake_postal
+from veilframe.operators.ledger import Ledger
 from veilframe.operators.people import HINT_TYPE
-from veilframe.operators.resolve import resolve
+from veilframe.operators.resolve import Resolution, resolve
 from veilframe.operators.spans import leftmost_longest, priority_merge, splice_spans
 from veilframe.session import materialize
 from veilframe.sources.entity_map import clean
@@ -226,28 +228,44 @@ def geo_spans(
     return merged.select(key, "spans")
 
 
-def scrub_composite(
+@dataclass
+class Cells:
+    """Address cells of a column: the distinct ones, and the pieces found in them."""
+
+    texts: DataFrame
+    pieces: DataFrame
+    rid: Column
+
+    def values(self) -> DataFrame:
+        """The pieces in the shape ``resolve`` takes."""
+        wanted = self.pieces.where("ptype <> 'postal_code'")
+        grouped = wanted.groupBy("ptype", "original", "country").agg(F.count("*").alias("n"))
+        role = F.when(F.col("ptype") == "person", "full").otherwise("")
+        return grouped.select("ptype", role.alias("role"), "original", "country", F.array().cast(HINT_TYPE).alias("hints"), "n")
+
+
+def read_composite(
     df: DataFrame,
     column: str,
     places: DataFrame,
-    entity_map: DataFrame | None = None,
-    tokens: DataFrame | None = None,
     config: Config = DEFAULT,
     country: str | None = None,
     make_detector: Callable[[], Detector] | None = None,
     make_geo_detector: Callable[[], Detector] | None = None,
-) -> tuple[DataFrame, list[DataFrame]]:
-    """Address cells that mix places with names, companies, phones and addresses.
+    value: Column | None = None,
+) -> Cells:
+    """What the address cells of a column hold.
 
-    Standard entities win over places; everything is replaced in one splice.
+    Standard entities win over places. A state goes with the country named in
+    its cell, else with the row's. ``value`` stands in for the column.
     """
-    from veilframe.operators.freetext import EMAIL, as_values
-    from veilframe.operators.joins import lookup
+    from veilframe.operators.freetext import EMAIL
 
-    by = [F.col(column).cast("string")] + ([F.col(country).cast("string")] if country else [])
-    keyed = df.withColumn("_rid", F.when(F.col(column).isNotNull(), F.sha2(F.concat_ws("\u0001", *by), 256)))
-    texts = keyed.where(F.col("_rid").isNotNull()).groupBy("_rid").agg(
-        F.any_value(F.col(column).cast("string")).alias("text"), F.count("*").alias("copies"),
+    value = F.col(column).cast("string") if value is None else value
+    by = [value] + ([F.col(country).cast("string")] if country else [])
+    rid = F.when(value.isNotNull(), F.sha2(F.concat_ws("\u0001", *by), 256))
+    texts = df.where(value.isNotNull()).groupBy(rid.alias("_rid")).agg(
+        F.any_value(value).alias("text"), F.count("*").alias("copies"),
         *([F.any_value(F.col(country).cast("string")).alias("_country")] if country else []),
     )
     texts = materialize(texts, "cells")
@@ -266,32 +284,66 @@ def scrub_composite(
         frame = frame.join(grouped, "_rid", "left")
         standard = F.concat(standard, F.coalesce("e", F.array().cast(SPANS)))
     merged = frame.select(
-        "_rid", "text", "copies",
+        "_rid", "text", *(["_country"] if country else []),
         priority_merge([standard, F.coalesce("spans", F.array().cast(SPANS))], F.col("text")).alias("spans"),
     )
-    pieces = merged.select("_rid", F.explode("spans").alias("s"), "text").select(
-        "_rid", "s.start", "s.end", "s.type", F.substr("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("span")
+    # The first country behind a state names its country, else the last one before it, else the row's.
+    named = F.filter("spans", lambda s: s["type"] == "country")
+
+    def within(s: Column) -> Column:
+        behind, ahead = F.filter(named, lambda c: c["start"] >= s["end"]), F.filter(named, lambda c: c["end"] <= s["start"])
+        span = F.coalesce(F.try_element_at(F.array_sort(behind), F.lit(1)), F.try_element_at(F.array_sort(ahead), F.lit(-1)))
+        own = F.substr("text", span["start"] + 1, span["end"] - span["start"])
+        return F.coalesce(own, F.col("_country")) if country else own
+
+    pieces = merged.select("_rid", F.explode("spans").alias("s"), "text", *(["_country"] if country else []), "spans").select(
+        "_rid", "s.start", "s.end", "s.type", F.substr("text", F.col("s.start") + 1, F.col("s.end") - F.col("s.start")).alias("span"),
+        F.when(F.col("s.type") == "state_province", within(F.col("s"))).alias("country"),
     )
     pieces = pieces.withColumn("street", F.when(F.col("type") == "street_address", street_parts(F.col("span"))))
     pieces = pieces.withColumn(
         "ptype",
         F.when(F.col("street").isNotNull(), "street_name").when(F.col("type").isin("street_address", "city"), "location").otherwise(F.col("type")),
     ).withColumn("original", F.when(F.col("street").isNotNull(), F.col("street.name")).otherwise(F.col("span")))
-    pieces = materialize(pieces, "pieces")
-    wanted = pieces.where("ptype <> 'postal_code'").withColumn("hints", F.array().cast(HINT_TYPE))
-    answer = resolve(as_values(wanted), entity_map, tokens, config=config)
-    values = materialize(answer.values, "placed")
-    table = values.groupBy("original", "ptype").agg(F.min("fake").alias("_fake"), F.sum("n").alias("n"))
-    joined = lookup(pieces, table, ["original", "ptype"], weight="n")
+    return Cells(texts, materialize(pieces, "pieces"), rid)
+
+
+def rewrite_composite(df: DataFrame, cells: Cells, values: DataFrame, target: str, config: Config = DEFAULT) -> DataFrame:
+    """``df`` with the scrubbed cells in ``target``; ``values`` holds the resolved pieces."""
+    from veilframe.operators.joins import lookup
+
+    wanted = F.coalesce("country", F.lit(""))
+    table = values.groupBy("original", "ptype", wanted.alias("_within")).agg(F.min("fake").alias("_fake"), F.sum("n").alias("n"))
+    pieces = cells.pieces.withColumn("_within", wanted)
+    joined = lookup(pieces, table, ["original", "ptype", "_within"], weight="n")
     fake = (
         F.when(F.col("ptype") == "postal_code", fake_postal(F.col("span"), config))
         .when(F.col("street").isNotNull(), F.concat("street.head", F.coalesce("_fake", "original"), "street.tail"))
         .otherwise(F.coalesce("_fake", "span"))
     )
     spans = joined.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("start", "end", fake.alias("fake")))).alias("r"))
-    spliced = texts.join(spans, "_rid", "left").select(
+    spliced = cells.texts.join(spans, "_rid", "left").select(
         "_rid", F.when(F.col("r").isNull(), F.col("text")).otherwise(splice_spans(F.col("text"), F.col("r"))).alias("_scrubbed"), "copies"
     )
-    back = lookup(keyed, spliced, ["_rid"], weight="copies")
+    back = lookup(df.withColumn("_rid", cells.rid), spliced, ["_rid"], weight="copies")
     out = X.apply_forced(F.col("_scrubbed"), config.forced_words, config.forced_word_boundary)
-    return back.select(*[out.alias(c) if c == column else F.col(c) for c in df.columns]), [values]
+    return back.withColumn(target, out).drop("_rid", "_scrubbed")
+
+
+def scrub_composite(
+    df: DataFrame,
+    column: str,
+    places: DataFrame,
+    entity_map: DataFrame | None = None,
+    tokens: DataFrame | None = None,
+    config: Config = DEFAULT,
+    country: str | None = None,
+    make_detector: Callable[[], Detector] | None = None,
+    make_geo_detector: Callable[[], Detector] | None = None,
+    ledger: Ledger | None = None,
+) -> tuple[DataFrame, list[Resolution]]:
+    """Address cells that mix places with names, companies, phones and addresses, replaced in one splice."""
+    cells = read_composite(df, column, places, config, country, make_detector, make_geo_detector)
+    answer = resolve(cells.values(), config=config, ledger=Ledger(entity_map, tokens) if ledger is None else ledger)
+    answer.values = materialize(answer.values, "placed")
+    return rewrite_composite(df, cells, answer.values, column, config).select(*df.columns), [answer]

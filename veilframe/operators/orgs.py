@@ -10,7 +10,7 @@ from veilframe.config import DEFAULT, Config
 from veilframe.functions import text as X
 from veilframe.functions.seeds import _byte, _stream, characters, let, pick, seed
 from veilframe.operators import chinese
-from veilframe.operators.allocate import disambiguate, word_tail
+from veilframe.operators.allocate import disambiguate, nowhere, word_tail
 from veilframe.operators.generators import fake_acronym
 
 RUN = "\\p{L}+"
@@ -89,12 +89,12 @@ def org_candidate(value: Column, config: Config = DEFAULT) -> Column:
 def org_fakes(
     values: DataFrame,
     used: DataFrame | None = None,
-    prior: DataFrame | None = None,
+    marks: DataFrame | None = None,
     config: Config = DEFAULT,
     with_han: bool = True,
     hot: bool = True,
 ) -> DataFrame:
-    """``nk -> fake`` for distinct organisations ``nk, canon``.
+    """``nk -> fake, placed`` for distinct organisations ``nk, canon``.
 
     Han names draw from their own pool, acronyms go through a bijection, all
     others are rebuilt run by run and then made unique. ``with_han`` is false
@@ -103,14 +103,14 @@ def org_fakes(
     trimmed = values.withColumn("canon", F.trim("canon"))
     han = trimmed.where(X.is_han(F.col("canon")))
     rest = trimmed.where(~X.is_han(F.col("canon"))).withColumn("_acronym", is_acronym(F.col("canon"), config))
-    acronyms = rest.where("_acronym").select("nk", fake_acronym(F.col("canon"), config).alias("fake"))
+    acronyms = rest.where("_acronym").select("nk", fake_acronym(F.col("canon"), config).alias("fake"), nowhere().alias("placed"))
     drafted = rest.where(~F.col("_acronym")).select("nk", "canon", org_candidate(F.col("canon"), config).alias("fake"))
     # Names made of kept words only have nothing to hide and stay as they are.
     moved = F.lower("fake") != F.lower("canon")
-    plain = disambiguate(drafted.where(moved).select("nk", "fake"), "fake", "nk", word_tail, used, hot=hot)
-    kept = drafted.where(~moved).select("nk", "fake")
+    plain = disambiguate(drafted.where(moved).select("nk", "fake"), "fake", "nk", word_tail, used, marks, hot)
+    kept = drafted.where(~moved).select("nk", "fake", nowhere().alias("placed"))
     out = acronyms.unionByName(plain).unionByName(kept)
-    return out.unionByName(chinese.han_orgs(han, used, prior)) if with_han else out
+    return out.unionByName(chinese.han_orgs(han, used, marks)) if with_han else out
 
 
 def segment_fake(word: Column, config: Config = DEFAULT) -> Column:
@@ -146,9 +146,9 @@ def match_code_prefix(words: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def org_code_fakes(
-    values: DataFrame, codes: DataFrame | None, used: DataFrame | None = None, config: Config = DEFAULT
+    values: DataFrame, codes: DataFrame | None, used: DataFrame | None = None, config: Config = DEFAULT, marks: DataFrame | None = None
 ) -> DataFrame:
-    """``nk -> fake`` for coded values with several letter runs.
+    """``nk -> fake, placed`` for coded values with several letter runs.
 
     A repeated word gets the same fake wherever it stands, and a known code at
     the start of an all-caps word keeps its fake.
@@ -178,7 +178,7 @@ def org_code_fakes(
             "",
         ).alias("fake"),
     )
-    return disambiguate(drafted, "fake", "nk", word_tail, used)
+    return disambiguate(drafted, "fake", "nk", word_tail, used, marks)
 
 
 def is_coded(value: Column) -> Column:

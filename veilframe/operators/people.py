@@ -15,8 +15,10 @@ from veilframe.config import DEFAULT, Config
 from veilframe.functions import text as X
 from veilframe.operators import chinese
 from veilframe.operators.allocate import (
+    counted_marks,
     disambiguate,
     email_tail,
+    nowhere,
     pool_pick,
     slots,
     spelled_name,
@@ -72,27 +74,31 @@ def allocate_tokens(
     known: DataFrame | None = None,
     used: DataFrame | None = None,
     config: Config = DEFAULT,
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """One fake per ``(role, nk)``.
+    """One fake per ``(role, nk)``, with ``placed``.
 
     ``tokens`` has distinct ``role, nk`` and the count ``n``; ``known`` holds
     ``role, nk, fake`` pairs that win. New tokens try their ethnic pool, all
-    others are spelled from slots behind those the known tokens occupy.
+    others are spelled from slots behind the ``marks``; without marks, behind those
+    the known tokens may occupy.
     """
     if known is None:
         fresh, reused = tokens, None
     else:
         pairs = known.select("role", "nk", "fake")
-        reused = tokens.join(pairs, ["role", "nk"], "inner").select("role", "nk", "n", "fake")
+        reused = tokens.join(pairs, ["role", "nk"], "inner").select("role", "nk", "n", "fake", nowhere().alias("placed"))
         fresh = tokens.join(pairs, ["role", "nk"], "left_anti")
     keyed = fresh.withColumn("pool", token_pool_key(F.col("role"), F.col("nk")))
     ethnic = keyed.where(F.col("pool").isNotNull())
     picked = pool_pick(ethnic, token_pools(), f"{config.salt}:token", used)
-    chosen = picked.where(F.col("word").isNotNull()).select("role", "nk", "n", F.col("word").alias("fake"))
+    chosen = picked.where(F.col("word").isNotNull()).select("role", "nk", "n", F.col("word").alias("fake"), nowhere().alias("placed"))
     plain = keyed.where(F.col("pool").isNull()).drop("pool")
     plain = plain.unionByName(picked.where(F.col("word").isNull()).drop("pool", "word"))
-    prior = known.select("role", "nk") if known is not None else None
-    placed = slots(plain, ["role"], "nk", prior)
+    family = F.concat(F.lit("token|"), "role")
+    if marks is None and known is not None:
+        marks = counted_marks(known, family, ["role"], "nk")
+    placed = slots(plain, ["role"], "nk", marks, family)
     slot = F.col("slot")
 
     def name_at(number: Column) -> Column:
@@ -106,6 +112,7 @@ def allocate_tokens(
         "nk",
         "n",
         X.let(name_at(slot), lambda f: F.when(F.lower(f) == F.col("nk"), name_at(slot + (1 << 40))).otherwise(f)).alias("fake"),
+        "placed",
     )
     out = chosen.unionByName(spelled)
     return out if reused is None else reused.unionByName(out)
@@ -299,8 +306,9 @@ def assemble_emails(
     keys: list[str],
     config: Config = DEFAULT,
     weight: str | None = "n",
+    marks: DataFrame | None = None,
 ) -> DataFrame:
-    """Fake addresses, unique over all originals; adds ``fake``.
+    """Fake addresses, unique over all originals; adds ``fake`` and ``placed``.
 
     ``wholes`` holds ``role, nk, fake`` of one-word person values, which win
     over the token table for hints that are a whole column value.
@@ -321,7 +329,7 @@ def assemble_emails(
         "fakes", F.coalesce("fakes", F.create_map().cast("map<string,string>"))
     )
     drafted = back.withColumn("fake", email_candidate(F.col("fakes"), config)).drop("fakes")
-    return disambiguate(drafted, "fake", keys[-1], email_tail, used, hot=weight is not None)
+    return disambiguate(drafted, "fake", keys[-1], email_tail, used, marks, weight is not None)
 
 
 def bilingual_fakes(people: DataFrame, names: DataFrame, config: Config = DEFAULT) -> DataFrame:

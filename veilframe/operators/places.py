@@ -8,19 +8,13 @@ from pyspark.sql import functions as F
 from veilframe import config as C
 from veilframe.config import DEFAULT, Config
 from veilframe.functions import text as X
-from veilframe.operators.allocate import pool_allocate
-
-
-def _allocate(values: DataFrame, pools: dict, compound: dict, tag: str, used, prior, config: Config) -> DataFrame:
-    """Words for ``nk, pool``; prior pairs keep their slots."""
-    out = pool_allocate(values, pools, compound, f"{config.salt}:{tag}", used, prior)
-    return out
+from veilframe.operators.allocate import nowhere, pool_allocate
 
 
 def city_fakes(
-    values: DataFrame, used: DataFrame | None = None, prior: DataFrame | None = None, config: Config = DEFAULT
+    values: DataFrame, used: DataFrame | None = None, marks: DataFrame | None = None, config: Config = DEFAULT
 ) -> DataFrame:
-    """``nk -> fake``. Han lists are faked element by element, work-mode words stay."""
+    """``nk -> fake, placed``. Han lists are faked element by element, work-mode words stay."""
     pools = {"han": C.HAN_CITIES, "latin": C.CITIES}
     compound = {"han": "han", "latin": "latin"}
     parted = values.select("nk", "canon", _elements(F.col("canon")).alias("parts"))
@@ -31,17 +25,15 @@ def city_fakes(
         .agg(F.min("part").alias("part"), F.count("*").alias("n"))
         .withColumn("pool", F.when(X.is_han(F.col("part")), "han").otherwise("latin"))
     )
-    before = None
-    if prior is not None:
-        before = prior.select("nk").withColumn("pool", F.when(X.is_han(F.col("nk")), "han").otherwise("latin"))
-    placed = _allocate(cities.select("nk", "pool"), pools, compound, "city", used, before, config)
-    table = placed.select(F.col("nk").alias("cnk"), "word")
+    placed = pool_allocate(cities.select("nk", "pool"), pools, compound, f"{config.salt}:city", used, marks)
+    table = placed.select(F.col("nk").alias("cnk"), "word", "placed")
     joined = pieces.withColumn("cnk", X.normalize(F.col("part"))).join(table, "cnk", "left")
     faked = joined.select(
-        "nk", "pos", F.coalesce(X.case_like(F.col("part"), F.col("word")), F.col("part")).alias("fake")
+        "nk", "pos", F.coalesce(X.case_like(F.col("part"), F.col("word")), F.col("part")).alias("fake"), F.coalesce("placed", nowhere()).alias("placed")
     )
     return faked.groupBy("nk").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "fake"))), lambda s: s["fake"]), ",").alias("fake")
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "fake"))), lambda s: s["fake"]), ",").alias("fake"),
+        F.flatten(F.collect_list("placed")).alias("placed"),
     )
 
 
@@ -51,13 +43,12 @@ def _elements(value: Column) -> Column:
 
 
 def street_fakes(
-    values: DataFrame, used: DataFrame | None = None, prior: DataFrame | None = None, config: Config = DEFAULT
+    values: DataFrame, used: DataFrame | None = None, marks: DataFrame | None = None, config: Config = DEFAULT
 ) -> DataFrame:
-    """``nk -> fake`` street names from a small curated pool."""
+    """``nk -> fake, placed`` street names from a small curated pool."""
     keyed = values.select("nk", "canon").withColumn("pool", F.lit("street"))
-    before = prior.select("nk").withColumn("pool", F.lit("street")) if prior is not None else None
-    placed = _allocate(keyed.select("nk", "pool"), {"street": C.STREET_NAMES}, {"street": "street"}, "street", used, before, config)
-    return keyed.join(placed, ["nk", "pool"]).select("nk", X.case_like(F.trim("canon"), F.col("word")).alias("fake"))
+    placed = pool_allocate(keyed.select("nk", "pool"), {"street": C.STREET_NAMES}, {"street": "street"}, f"{config.salt}:street", used, marks)
+    return keyed.join(placed, ["nk", "pool"]).select("nk", X.case_like(F.trim("canon"), F.col("word")).alias("fake"), "placed")
 
 
 def subdivision_pools(subdivisions: dict | None = None) -> tuple[dict, dict]:
@@ -79,8 +70,8 @@ def subdivision_pools(subdivisions: dict | None = None) -> tuple[dict, dict]:
         names += own_names
     pools["code:"] = tuple(dict.fromkeys(codes))
     pools["name:"] = tuple(dict.fromkeys(names))
-    compound = {key: key[:5] for key in pools}
-    return pools, compound
+    # Compounds stay within the country too.
+    return pools, {key: key for key in pools}
 
 
 def country_alpha2(value: Column) -> Column:
@@ -92,25 +83,22 @@ def country_alpha2(value: Column) -> Column:
 def state_fakes(
     values: DataFrame,
     used: DataFrame | None = None,
-    prior: DataFrame | None = None,
+    marks: DataFrame | None = None,
     config: Config = DEFAULT,
     subdivisions: dict | None = None,
 ) -> DataFrame:
-    """``nk -> fake``: code for code, name for name, of the faked country when it is given.
+    """``nk, country -> fake, placed``: code for code, name for name, of the faked country when it is given.
 
-    ``values`` has ``nk, canon`` and optionally ``country``, the fake country.
+    ``values`` has ``nk, canon`` and optionally ``country``, the fake country. A
+    subdivision is handed out once, so two states of a country never share one;
+    when a country's own run out, two of them are joined, never another's taken.
     """
     pools, compound = subdivision_pools(subdivisions)
     known = F.array(*[F.lit(k) for k in sorted(pools)])
-    country = country_alpha2(F.col("country")) if "country" in values.columns else F.lit(None).cast("string")
-
-    def keyed(frame: DataFrame, text: str, where: Column) -> DataFrame:
-        letters = F.regexp_replace(text, "[^A-Za-z]", "")
-        form = F.when(F.length(letters) == 2, F.lit("code:")).otherwise(F.lit("name:"))
-        wanted = F.concat(form, F.coalesce(where, F.lit("")))
-        return frame.withColumn("pool", F.when(F.array_contains(known, wanted), wanted).otherwise(form))
-
-    rows = keyed(values, "canon", country)
-    before = keyed(prior.select("nk"), "nk", F.lit(None).cast("string")) if prior is not None else None
-    placed = _allocate(rows.select("nk", "pool"), pools, compound, "state", used, before, config)
-    return rows.join(placed, ["nk", "pool"]).select("nk", X.case_like(F.trim("canon"), F.col("word")).alias("fake"))
+    rows = values if "country" in values.columns else values.withColumn("country", F.lit(None).cast("string"))
+    letters = F.regexp_replace("canon", "[^A-Za-z]", "")
+    form = F.when(F.length(letters) == 2, F.lit("code:")).otherwise(F.lit("name:"))
+    wanted = F.concat(form, F.coalesce(country_alpha2(F.col("country")), F.lit("")))
+    rows = rows.withColumn("pool", F.when(F.array_contains(known, wanted), wanted).otherwise(form))
+    placed = pool_allocate(rows.select("nk", "pool").distinct(), pools, compound, f"{config.salt}:state", used, marks)
+    return rows.join(placed, ["nk", "pool"]).select("nk", "country", X.case_like(F.trim("canon"), F.col("word")).alias("fake"), "placed")
