@@ -10,6 +10,7 @@ import os
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,6 +75,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/veilframe/{name}-{uuid.uuid4().hex}"
 
 
+@cache
+def _writers() -> ThreadPoolExecutor:
+    """Threads that are kept: each has a connection to the JVM, which is slow to close."""
+    return ThreadPoolExecutor(max_workers=PARALLEL_JOBS, thread_name_prefix="veilframe-writer")
+
+
 def materialize(parts: DataFrame | list[DataFrame], name: str) -> DataFrame:
     """Write an intermediate table to the shared checkpoint folder and read it back.
 
@@ -86,8 +93,10 @@ def materialize(parts: DataFrame | list[DataFrame], name: str) -> DataFrame:
     spark, schema = parts[0].sparkSession, parts[0].schema
     path = scratch_path(spark, name)
     paths = [f"{path}/{i}" for i in range(len(parts))]
-    # Independent jobs, so the cluster may run them side by side.
-    with ThreadPoolExecutor(max_workers=min(len(parts), PARALLEL_JOBS)) as pool:
-        for done in [pool.submit(part.write.parquet, at) for part, at in zip(parts, paths)]:
+    if len(parts) == 1:
+        parts[0].write.parquet(paths[0])
+    else:
+        # Independent jobs, so the cluster may run them side by side.
+        for done in [_writers().submit(part.write.parquet, at) for part, at in zip(parts, paths)]:
             done.result()
     return spark.read.schema(schema).parquet(*paths)
