@@ -274,7 +274,9 @@ def disambiguate(
         .agg(F.min_by(F.col(key), digest).alias("_owner"), F.count("*").alias("_n"))
     )
     if used is not None:
-        claims = claims.join(used.select(F.col("fake_cf").alias("_cf"), F.lit(True).alias("_taken")), "_cf", "left")
+        # Few candidates are held against many fakes in use: those are only read, the hits are joined.
+        hits = used.select(F.col("fake_cf").alias("_cf")).join(claims.select("_cf"), "_cf", "left_semi").distinct()
+        claims = claims.join(hits.withColumn("_taken", F.lit(True)), "_cf", "left")
     else:
         claims = claims.withColumn("_taken", F.lit(None).cast("boolean"))
     marked = lookup(df.withColumn("_cf", F.lower(candidate)), claims, ["_cf"], weight="_n" if hot else None)

@@ -16,14 +16,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe import config as C
 from veilframe.config import DEFAULT, Config
 from veilframe.functions import text as X
 from veilframe.operators import people, places
-from veilframe.operators.allocate import BUCKETS, MARKS, marks_of, merged_marks, tail_family
+from veilframe.operators.allocate import BUCKETS, counted_marks, marks_of, merged_marks, tail_family
 from veilframe.operators.joins import bucket_of
 from veilframe.session import materialize
 from veilframe.sources import entity_map as em
@@ -81,8 +81,8 @@ class Ledger:
     marks: DataFrame | None = None
     answers: DataFrame | None = None
 
-    def owners(self) -> DataFrame | None:
-        """``fake_cf, low, high``: fakes in use, and the least and greatest key that has each."""
+    def used(self) -> DataFrame | None:
+        """``fake_cf, nk``: fakes in use and the keys that have them."""
         parts = []
         if self.entity_map is not None:
             parts.append(em.clean(self.entity_map).select("fake_cf", "nk"))
@@ -90,18 +90,37 @@ class Ledger:
             parts.append(self.answers.select(F.lower(F.trim("fake")).alias("fake_cf"), "nk"))
         if not parts:
             return None
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        return rows.groupBy("fake_cf").agg(F.min("nk").alias("low"), F.max("nk").alias("high"))
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def owners(self, fakes: DataFrame) -> DataFrame | None:
+        """``_cf, low, high``: of these fakes (``_cf``) the ones in use, with the least and greatest key that has each."""
+        used = self.used()
+        if used is None:
+            return None
+        hits = used.withColumnRenamed("fake_cf", "_cf").join(fakes.select("_cf"), "_cf", "left_semi")
+        return hits.groupBy("_cf").agg(F.min("nk").alias("low"), F.max("nk").alias("high"))
 
     def ready(self, config: Config = DEFAULT, subdivisions: dict | None = None) -> Ledger:
-        """The same with marks, counted from the map where none were kept."""
-        if self.marks is not None or self.entity_map is None:
+        """The same with marks, counted from the map and the tokens where none were kept."""
+        if self.marks is not None or (self.entity_map is None and self.tokens is None):
             return self
-        return replace(self, marks=materialize(map_marks(self.entity_map, config, subdivisions), "marks"))
+        names = [] if self.tokens is None else [self.tokens.select("role", "nk")]
+        counted = None
+        if self.entity_map is not None:
+            counted = map_marks(self.entity_map, config, subdivisions)
+            names.append(em.learned_tokens(self.entity_map).select("role", "nk"))
+        rows = names[0] if len(names) == 1 else names[0].unionByName(names[1])
+        tokens = counted_marks(rows, F.concat(F.lit("token|"), "role"), ["role"], "nk")
+        return replace(self, marks=materialize(merged_marks(counted, tokens), "marks"))
 
     def after(self, pairs: DataFrame, answers: DataFrame, placed: DataFrame, tokens: DataFrame | None) -> Ledger:
         """With a call's new pairs (``ptype, original, fake``), answers, slots and name tokens."""
         known = em.empty_map(pairs.sparkSession) if self.entity_map is None else self.entity_map
+        rows = em.new_rows(pairs, known)
+        if "nk" in known.columns:
+            known = known.unionByName(em.clean(rows))
+        else:
+            known = em.append(known, rows)
         known_tokens = self.tokens
         if tokens is not None:
             fresh = tokens.select("role", "nk", "fake")
@@ -113,7 +132,7 @@ class Ledger:
         if self.answers is not None:
             given = self.answers.unionByName(given.join(self.answers, KEYS, "left_anti"))
         return Ledger(
-            em.append(known, em.new_rows(pairs, known)), known_tokens, merged_marks(self.marks, marks_of(placed)), given
+            known, known_tokens, merged_marks(self.marks, marks_of(placed)), given
         )
 
     def settled(self) -> Ledger:
@@ -121,6 +140,3 @@ class Ledger:
         parts = {n: getattr(self, n) for n in ("entity_map", "tokens", "marks", "answers")}
         return Ledger(**{n: None if df is None else materialize(df, n) for n, df in parts.items()})
 
-
-def no_marks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], MARKS)

@@ -61,6 +61,10 @@ class Resolution:
         fresh = self.values.where(F.col("outcome") == "NEW")
         return fresh.select(F.col("etype").alias("ptype"), F.col("target").alias("original"), F.col("target_fake").alias("fake"))
 
+    def new_marks(self) -> DataFrame:
+        """Marks behind the slots this call handed out."""
+        return marks_of(self.placed)
+
     @cached_property
     def ledger(self) -> Ledger:
         """The ledger a later call goes on with."""
@@ -217,7 +221,7 @@ def _states(keys: DataFrame, ctx: Context) -> DataFrame:
     where = keys.where("country <> ''").select(F.col("country").alias("canon")).distinct()
     named = where.withColumn("ptype", F.lit("country")).withColumn("nk", X.normalize(F.col("canon")))
     if ctx.entity_map is not None:
-        named = em.lookup_pairs(named, ctx.entity_map, ctx.config.strict_labels)
+        named = em.lookup_pairs(named, em.relevant(ctx.entity_map, named), ctx.config.strict_labels)
     else:
         named = named.withColumn("map_fake", F.lit(None).cast("string"))
     within = named.select(
@@ -291,7 +295,7 @@ def _people(
         known = learned if known is None else known.select("role", "nk", "fake").unionByName(
             learned.join(known.select("role", "nk"), ["role", "nk"], "left_anti")
         )
-    tokens = materialize(people.allocate_tokens(wanted, known, ctx.used, ctx.config, ctx.marks if ctx.extra.get("kept_marks") else None), "tokens")
+    tokens = materialize(people.allocate_tokens(wanted, known, ctx.used, ctx.config, ctx.marks), "tokens")
     if present.get("person"):
         made.append(
             people.assemble(plain, rows, tokens, "body", KEYS, weight).select(*KEYS, F.concat("title", "fake").alias("fake"), nowhere().alias("placed"))
@@ -329,14 +333,14 @@ def _followers(todo: DataFrame, present: dict[str, bool]) -> DataFrame | None:
 
 def _apart(fresh: DataFrame, ledger: Ledger, marks: DataFrame | None) -> DataFrame:
     """Fresh names that another original has, of any type, get a tail; repeated until none has."""
-    owners, name = ledger.owners(), F.lower(F.trim("fake"))
+    name = F.lower(F.trim("fake"))
     while True:
         rows = fresh.where(~F.col("etype").isin(*SHAPED)).withColumn("_cf", name)
         order = F.struct(_rank(F.col("etype")), F.sha2(F.concat_ws("|", F.lit("claim"), "nk"), 256), F.col("nk"))
         claims = rows.groupBy("_cf").agg(F.min("nk").alias("a"), F.max("nk").alias("b"), F.min_by("nk", order).alias("_owner"))
-        taken = F.lit(False)
+        taken, owners = F.lit(False), ledger.owners(claims)
         if owners is not None:
-            claims = claims.join(owners.withColumnRenamed("fake_cf", "_cf"), "_cf", "left")
+            claims = claims.join(owners, "_cf", "left")
             taken = F.coalesce((F.col("low") != F.col("a")) | (F.col("high") != F.col("b")), F.lit(False))
         shared = claims.where((F.col("a") != F.col("b")) | taken).select("_cf", F.when(~taken, F.col("_owner")).alias("_owner"))
         shared = materialize(shared, "shared")
@@ -373,12 +377,17 @@ def resolve(
     generators read each of them.
     """
     ledger = Ledger(entity_map, tokens) if ledger is None else ledger
-    kept_marks, ledger = ledger.marks is not None, ledger.ready(config, subdivisions)
+    ledger = ledger.ready(config, subdivisions)
     entity_map, tokens = ledger.entity_map, ledger.tokens
-    owners = ledger.owners()
-    used = None if owners is None else owners.select("fake_cf")
-    ctx = Context(config, entity_map, used, ledger.marks, subdivisions, {"region_pool": region_pool, "tokens": tokens, "kept_marks": kept_marks})
-    guarded = people.read_person(guard(values, entity_map, config)).withColumn(
+    used = ledger.used()
+    ctx = Context(config, entity_map, used, ledger.marks, subdivisions, {"region_pool": region_pool, "tokens": tokens})
+    pairs = entity_map
+    if entity_map is not None:
+        # Both spellings a value is looked up under; the views are made of these rows alone.
+        stem = X.file_parts(F.col("original"))["stem"]
+        asked = values.select(F.explode(F.array(stem, X.first_last(stem))).alias("text")).select(X.normalize(F.col("text")).alias("nk"))
+        pairs = materialize(em.relevant(entity_map, asked), "pairs")
+    guarded = people.read_person(guard(values, pairs, config)).withColumn(
         "shape", F.when(F.col("etype") == "person", F.col("shape"))
     )
     guarded = materialize(guarded, "guarded")
@@ -436,7 +445,8 @@ def resolve(
     )
     if entity_map is not None:
         keyed = keys.withColumns({"ptype": F.col("etype"), "_key": F.col("nk"), "nk": X.normalize(F.col("canon"))})
-        looked = em.lookup_pairs(keyed, entity_map, config.strict_labels).withColumn("nk", F.col("_key")).drop("ptype", "_key")
+        # The halves of annotated names are looked up as well, so the whole map is needed then.
+        looked = em.lookup_pairs(keyed, entity_map if noted else pairs, config.strict_labels).withColumn("nk", F.col("_key")).drop("ptype", "_key")
     else:
         looked = keys.withColumn("map_fake", F.lit(None).cast("string")).withColumn("map_id", F.lit(None).cast("bigint"))
     reuse = F.col("map_fake").isNotNull()

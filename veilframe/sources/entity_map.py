@@ -23,7 +23,9 @@ def empty_map(spark: SparkSession) -> DataFrame:
 
 
 def clean(entity_map: DataFrame) -> DataFrame:
-    """Usable rows with their reuse key, folded label and folded fake."""
+    """Usable rows with their reuse key, folded label and folded fake; kept as they are if they have them already."""
+    if "nk" in entity_map.columns:
+        return entity_map
     return (
         entity_map.where(
             F.col("original").isNotNull()
@@ -38,6 +40,15 @@ def clean(entity_map: DataFrame) -> DataFrame:
     )
 
 
+def relevant(entity_map: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose reuse key is among ``keys`` (``nk``).
+
+    A map is read once for that and neither shuffled nor grouped when the keys
+    are few enough to be broadcast; views of the rest need not be made at all.
+    """
+    return clean(entity_map).join(keys.select("nk").distinct(), "nk", "left_semi")
+
+
 def typed_view(entity_map: DataFrame) -> DataFrame:
     """``label_cf, nk -> fake``; the last row by id wins."""
     rows = clean(entity_map).where(~F.col("excluded") & (F.col("label_cf") != ""))
