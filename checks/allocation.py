@@ -223,11 +223,11 @@ def mail_values(spark, sf_dir):
     from veilframe.operators.freetext import EMAIL, find_all
 
     docs = table(spark, sf_dir, "documents").select(F.explode(find_all(F.col("text"), EMAIL)).alias("original"))
-    own = contacts(spark, sf_dir).where("c_custkey % 3 > 0").select(F.col("email").alias("original"))
+    own = contacts(spark, sf_dir).select(F.col("email").alias("original"))
     return docs.unionByName(own)
 
 
-_all_mails = f"{DOC_MAILS} UNION ALL SELECT c.email FROM {CONTACTS_SQL} c WHERE c_custkey % 3 > 0"
+_all_mails = f"{DOC_MAILS} UNION ALL SELECT c.email FROM {CONTACTS_SQL} c"
 
 
 @query("email_alloc", f"WITH {mail_fakes(_all_mails)} SELECT DISTINCT mails.e AS original, mf.fake AS fake FROM mails JOIN mf USING (nk)")

@@ -216,23 +216,30 @@ def email_hints(spark, sf_dir):
     return united.select("email", F.explode("hints").alias("h")).select("email", "h.role", "h.token", "h.whole")
 
 
+def _cased(word: str, fake: str) -> str:
+    return f"CASE WHEN upper({word}) = {word} THEN upper({fake}) WHEN lower({word}) = {word} THEN lower({fake}) ELSE {fake} END"
+
+
+# A name of one letter, a stop word or a name that is its own fake is left alone; any other stands for itself wherever it is a
+# whole word, also as a word of the sentence or as the last name.
+_used = f"length(firstname) >= 2 AND lower(firstname) NOT IN ({_stop}) AND firstname <> w"
+_piece = f"CASE WHEN {_used} AND lower(p) = lower(firstname) THEN {_cased('p', 'w')} ELSE p END"
+
+
 @query(
     "row_fragments",
-    f"""SELECT c_custkey, 'File ' || w || ' of ' || upper(w) || ' and ' || lastname || 'x' AS text
-FROM (SELECT *, CASE WHEN lower(firstname) IN ({_stop}) THEN firstname ELSE string_split(company, ' ')[1] END AS w FROM {CONTACTS_SQL}) WHERE firstname <> lastname AND firstname NOT IN ('Of', 'And', 'File') AND length(firstname) = 4
-AND lower(firstname) <> 'file' AND firstname <> string_split(company, ' ')[1]""",
+    f"""SELECT c_custkey, string_agg({_piece}, ' ' ORDER BY i) AS text FROM (
+  SELECT *, string_split(company, ' ')[1] AS w, unnest(['File', firstname, 'of', upper(firstname), 'and', lastname, lastname || 'x']) AS p, unnest(range(7)) AS i FROM {CONTACTS_SQL})
+GROUP BY c_custkey""",
 )
 def row_fragments(spark, sf_dir):
     """Words of the row's own names replaced in its text, whole words only."""
-    rows = contacts(spark, sf_dir).where(
-        (F.col("firstname") != F.col("lastname")) & (F.lower("firstname") != "file") & (F.col("firstname") != F.split("company", " ")[0])
-    )
+    rows = contacts(spark, sf_dir)
     fragments = rowhints.name_fragments([(F.col("firstname"), F.split("company", " ")[0])])
-    text = F.concat(F.lit("File "), F.col("firstname"), F.lit(" of "), F.upper("firstname"), F.lit(" and "), F.col("lastname"), F.lit("x"))
+    text = F.concat_ws(" ", F.lit("File"), "firstname", F.lit("of"), F.upper("firstname"), F.lit("and"), "lastname", F.concat("lastname", F.lit("x")))
     return rows.select("c_custkey", rowhints.apply_fragments(text, fragments).alias("text"))
 
 
-
 @query("resolve_outcomes", None)
 def resolve_outcomes(spark, sf_dir):
     """Audit of a resolve run against the map: which value got what, and why."""

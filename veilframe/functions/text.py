@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Sequence
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -269,13 +270,14 @@ def is_pronoun(span: Column) -> Column:
     return F.lower(F.trim(span)).isin(*C.PRONOUNS)
 
 
-def is_harvest_stop(value: Column) -> Column:
-    """A lone generic token, a numbered one, or an exact system label."""
+def is_harvest_stop(value: Column, labels: Sequence[str] = ()) -> Column:
+    """A lone generic token, a numbered one, or one of the ``labels`` as a whole."""
     nk = normalize(value)
     bare = F.regexp_replace(nk, "[0-9]+$", "")
     lone = ~F.contains(F.trim(value), F.lit(" "))
     token = nk.isin(*C.HARVEST_STOP) | bare.isin(*C.HARVEST_STOP) | F.trim(value).isin(*C.HAN_HARVEST_STOP)
-    return nk.isin(*C.SYSTEM_LABELS) | (lone & token)
+    whole = nk.isin(*[" ".join(label.lower().split()) for label in labels]) if labels else F.lit(False)
+    return whole | (lone & token)
 
 
 def quote_pattern(literal: Column) -> Column:

@@ -3,8 +3,8 @@
 Which entries a text contains is found by an equi-join on n-grams of words. The
 n-grams pass a fixed-size bitmap of the dictionary's keys before they leave the
 map side, so what is shuffled is about as much as there is to find. The texts
-are then rewritten with one small regular expression each, made of the entries
-found in that very text; no expression over the whole dictionary ever exists.
+are then rewritten by ``matching``, with a trie over words; maps of a few entries,
+such as those of one text or of the configuration, are applied as expressions.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.functions import text as X
+from veilframe.session import materialize
 
 MAX_WORDS = 6
 # The bitmap grows with the dictionary up to four million bits, then it only gets less selective.
@@ -256,20 +257,24 @@ def scrub_with_map(
 ) -> DataFrame:
     """Replace every dictionary entry in a text column; adds ``replacements`` and ``skipped``.
 
-    Each distinct text is searched and rewritten once. A text that would
+    Each distinct text is searched and rewritten once a round, in one pass. A text that would
     outgrow the column stays as it is and is marked ``skipped``. More ``rounds``
     catch entries that only appear in the rewritten text.
     """
-    prepared = prepare(dictionary, match)
+    from veilframe.operators.matching import is_bounded, rewritten
+
+    prepared = materialize(prepare(dictionary, match), "prepared")
     out = df.withColumn("_rid", F.sha2(F.col(column), 256))
-    texts = out.where(F.col(column).isNotNull()).groupBy("_rid").agg(F.min(column).alias("_text"))
-    total = F.lit(0)
-    current = texts.withColumn("_new", F.col("_text")).withColumn("_count", total)
-    for _ in range(rounds):
-        maps = entry_map(found_entries(current, "_rid", "_new", prepared, match), "_rid")
-        current = current.join(maps, "_rid", "left")
-        done = current.withColumn("_r", rewrite_entries(F.col("_new"), F.col("entries"), match))
-        current = done.select("_rid", "_text", F.col("_r.text").alias("_new"), (F.col("_count") + F.col("_r.count")).alias("_count"))
+    texts = out.where(F.col(column).isNotNull()).groupBy("_rid").agg(F.min(column).alias("_new")).withColumn("_count", F.lit(0))
+    current = materialize(texts, "texts") if rounds > 1 or not is_bounded(prepared) else texts
+    for turn in range(rounds):
+        done = rewritten(current, "_rid", "_new", prepared, match).select("_rid", F.col("text").alias("_new"), F.col("count").alias("_more"))
+        if turn == 0:
+            current = done.withColumnRenamed("_more", "_count")
+        else:
+            current = done.join(current.select("_rid", "_count"), "_rid").select("_rid", "_new", (F.col("_count") + F.col("_more")).alias("_count"))
+        if turn + 1 < rounds:
+            current = materialize(current, "round")
     changed = current.where("_count > 0").select("_rid", "_new", "_count")
     joined = out.join(changed, "_rid", "left")
     fits = F.lit(True) if width is None else F.length("_new") <= width

@@ -19,6 +19,7 @@ from veilframe.operators import dictionary as D
 from veilframe.operators.detector import Detector, detect, keep_span
 from veilframe.operators.generators import fake_birth, fake_id
 from veilframe.operators.ledger import Ledger
+from veilframe.operators.matching import rewritten
 from veilframe.operators.people import HINT_TYPE
 from veilframe.operators.resolve import Resolution, resolve
 from veilframe.operators.rowhints import apply_fragments
@@ -388,13 +389,12 @@ def scrub_texts(
         F.array_distinct(F.concat(protect, F.transform(F.filter(protect, lambda f: F.contains(f, F.lit("@"))), lambda f: F.split(f, "@")[0]))),
     )
     if known is not None:
-        entries = D.prepare(sweep_dictionary(known, config, brands), D.KNOWN)
+        entries = materialize(D.prepare(sweep_dictionary(known, config, brands), D.KNOWN), "known")
         current = materialize(current, "precise")
-        hits = D.entry_map(D.found_entries(current, key, "pre", entries, D.KNOWN), key)
-        current = current.join(hits, key, "left")
-        current = current.withColumn("pre", D.replace_entries(F.col("pre"), F.col("entries"), D.KNOWN, F.col("protect")))
-        swept = F.transform(F.map_values(F.coalesce("entries", F.create_map().cast("map<string,string>"))), F.lower)
-        current = current.withColumn("protect", F.array_distinct(F.concat("protect", swept))).drop("entries")
+        swept = rewritten(current, key, "pre", entries, D.KNOWN, "protect").select(key, F.col("text").alias("_swept"), "used")
+        current = current.join(swept, key).withColumn("pre", F.col("_swept"))
+        put = F.transform("used", F.lower)
+        current = current.withColumn("protect", F.array_distinct(F.concat("protect", put))).drop("_swept", "used")
     if fragments:
         current = current.withColumn("pre", apply_fragments(F.col("pre"), F.col("_fragments")))
         own = F.transform(F.map_values(F.coalesce("_fragments", F.create_map().cast("map<string,string>"))), F.lower)

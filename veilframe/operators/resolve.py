@@ -150,7 +150,7 @@ def guard(values: DataFrame, entity_map: DataFrame | None = None, config: Config
     short = is_short(stem)
     same_label = em.lookup_label(F.col("ptype")) == F.col("_rlabel")
     reserved = is_reserved(stem, config)
-    stop = F.col("ptype").isin("person", "org", "org_code") & X.is_harvest_stop(stem)
+    stop = F.col("ptype").isin("person", "org", "org_code") & X.is_harvest_stop(stem, config.system_labels)
     settled = (
         F.when(short, F.struct(stem.alias("fake"), F.lit("KEPT-SHORT").alias("outcome")))
         .when(
@@ -425,7 +425,7 @@ def resolve(
                 )
             ).alias("v")
         ).select("v.etype", "v.role", X.first_last(F.col("v.canon")).alias("canon"))
-        extra = extra.where((F.length(F.trim("canon")) > 1) & ~X.is_harvest_stop(F.col("canon")))
+        extra = extra.where((F.length(F.trim("canon")) > 1) & ~X.is_harvest_stop(F.col("canon"), config.system_labels))
         wanted = wanted.unionByName(
             extra.select(
                 "etype", "role", "canon", X.normalize(F.col("canon")).alias("nk"),
