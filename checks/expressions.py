@@ -220,8 +220,7 @@ k AS (SELECT d.country, d.code FROM d JOIN m USING (country) WHERE m.top <= 1 OR
 @query("region_pool", f"{_pool_rows} SELECT country, code FROM k")
 def region_pool(spark, sf_dir):
     """Observed codes per country without misfiled ones."""
-    pool = G.region_pool(_observed(spark, sf_dir), "country", "code")
-    return pool.select("country", F.explode("regions").alias("code"))
+    return G.region_pool(_observed(spark, sf_dir), ("country", "code")).select("country", "code")
 
 
 _rdraw = Q.seed(Q.text("veil"), Q.text("region"), "country", Q.normalize("code"))
@@ -235,10 +234,8 @@ SELECT country, code, CASE WHEN len(others) > 0 THEN others[{_rdraw} % len(other
 )
 def region_swap(spark, sf_dir):
     observed = _observed(spark, sf_dir)
-    pool = G.region_pool(observed, "country", "code")
-    return observed.distinct().join(pool, "country").select(
-        "country", "code", G.fake_region(F.col("code"), F.col("regions"), F.col("country")).alias("fake")
-    )
+    values = observed.distinct().withColumnRenamed("code", "canon")
+    return G.region_fakes(values, G.region_pool(observed, ("country", "code"))).withColumnRenamed("canon", "code")
 
 
 FORCED = {"ation": "yzzor", "ou": "ix"}

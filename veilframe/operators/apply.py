@@ -224,11 +224,8 @@ def anonymize(
     def text_of(p: ColumnPlan) -> Column:
         return F.when(filter_condition(p, df.columns), F.col(f"`{p.column}`").cast("string"))
 
-    pool = None
-    for p in direct:
-        if p.type == "region" and p.country_column:
-            observed = region_pool(df, p.country_column, p.column)
-            pool = observed if pool is None else pool.unionByName(observed)
+    observed = [(p.country_column, p.column) for p in direct if p.type == "region" and p.country_column]
+    pool = materialize(region_pool(df, *observed), "regions") if observed else None
 
     tuples = read_tuples(df, direct, entity_map, config) if direct else None
     parts = [] if tuples is None or tuples.empty else [tuples.values()]

@@ -7,7 +7,7 @@ postal codes and amounts are many-to-one by design.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,35 +242,50 @@ def fake_amount(value: Column, dtype: T.DataType, *key, config: Config = DEFAULT
     return F.coalesce(F.round(moved).try_cast(dtype), value)
 
 
-def fake_region(value: Column, pool: Column, country: Column, config: Config = DEFAULT) -> Column:
-    """Another observed code of the same country; unchanged when there is none."""
-    nk = X.normalize(value)
-    others = F.filter(pool, lambda code: X.normalize(code) != nk)
-    at = (F.pmod(seed(config.salt, "region", country, nk), F.size(others)) + 1).cast("int")
-    return F.when(F.coalesce(F.size(others), F.lit(0)) > 0, F.element_at(others, at)).otherwise(value)
+def region_pool(df: DataFrame, *columns: tuple[str, str]) -> DataFrame:
+    """``country, rank, code, size``: observed codes without the ones filed under the wrong country.
+
+    ``columns`` are pairs of a country and a region column. Codes whose leading
+    part is not the country's most common one are dropped when that part occurs
+    more than once; ties go to the smallest part. Ranks count from 0 in the order
+    of the codes.
+    """
+    kept = None
+    for country, region in columns:
+        pairs = (
+            df.select(F.col(country).cast("string").alias("country"), F.col(region).cast("string").alias("code"))
+            .where(F.col("country").isNotNull() & F.col("code").isNotNull())
+            .distinct()
+            .withColumn("prefix", F.split("code", "-")[0])
+        )
+        counted = pairs.groupBy("country", "prefix").agg(F.count("*").alias("n"))
+        best = counted.groupBy("country").agg(F.max("n").alias("top"), F.min_by("prefix", F.struct(-F.col("n"), F.col("prefix"))).alias("best"))
+        good = pairs.join(best, "country").where((F.col("top") <= 1) | (F.col("prefix") == F.col("best"))).select("country", "code")
+        kept = good if kept is None else kept.unionByName(good)
+    kept = kept.distinct() if len(columns) > 1 else kept
+    rank = F.row_number().over(Window.partitionBy("country").orderBy("code")) - 1
+    sizes = kept.groupBy("country").agg(F.count("*").alias("size"))
+    return kept.withColumn("rank", rank).join(sizes, "country").select("country", "rank", "code", "size")
 
 
-def region_pool(df: DataFrame, country: str, region: str) -> DataFrame:
-    """``country, regions``: observed codes without the ones filed under the wrong country.
+def region_fakes(values: DataFrame, pool: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """``values`` (``canon``, ``country``) with ``fake``: another observed code of the country, itself when there is none.
 
-    Codes whose leading part is not the country's most common one are dropped
-    when that part occurs more than once; ties go to the smallest part.
+    A value draws the rank of its fake among the country's other codes, and the
+    code of that rank is looked up; a country's codes are never put in one row.
     """
-    pairs = (
-        df.select(F.col(country).cast("string").alias("country"), F.col(region).cast("string").alias("region"))
-        .where(F.col("country").isNotNull() & F.col("region").isNotNull())
-        .distinct()
-        .withColumn("prefix", F.split("region", "-")[0])
-    )
-    counted = pairs.groupBy("country", "prefix").agg(
-        F.count("*").alias("n"), F.array_sort(F.collect_list("region")).alias("codes")
-    )
-    per_country = counted.groupBy("country").agg(
-        F.min_by("codes", F.struct(-F.col("n"), F.col("prefix"))).alias("majority"),
-        F.max("n").alias("top"),
-        F.array_sort(F.flatten(F.collect_list("codes"))).alias("everything"),
-    )
-    return per_country.select(
-        "country",
-        F.when(F.col("top") > 1, F.col("majority")).otherwise(F.col("everything")).alias("regions"),
-    )
+    nk = X.normalize(F.col("canon"))
+    # Spellings of one code are one value, so none is drawn for another.
+    own = pool.select(F.col("country").alias("_c"), X.normalize(F.col("code")).alias("_nk"), "rank")
+    own = own.groupBy("_c", "_nk").agg(F.array_sort(F.collect_list("rank")).alias("_own"))  # the spellings of one code
+    sizes = pool.groupBy(F.col("country").alias("_s")).agg(F.max("size").alias("_size"))
+    rows = values.join(sizes, F.col("country") == F.col("_s"), "left").join(own, (F.col("country") == F.col("_c")) & (nk == F.col("_nk")), "left")
+    skipped = F.coalesce("_own", F.array().cast("array<int>"))
+    left = F.col("_size") - F.size(skipped)
+    draw = F.pmod(seed(config.salt, "region", F.col("country"), nk), left)
+    # The draw counts the other codes only, so it moves up past each own rank at or below it.
+    at = F.aggregate(skipped, draw, lambda place, mine: F.when(mine <= place, place + 1).otherwise(place))
+    drawn = rows.withColumn("_at", F.when(left > 0, at.cast("int")))
+    codes = pool.select(F.col("country").alias("_d"), F.col("rank").alias("_rank"), F.col("code").alias("_code"))
+    found = drawn.join(codes, (F.col("country") == F.col("_d")) & (F.col("_at") == F.col("_rank")), "left")
+    return found.select(*values.columns, F.coalesce("_code", "canon").alias("fake"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+import unicodedata
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +20,7 @@ from veilframe.operators.generators import fake_postal
 from veilframe.operators.ledger import Ledger
 from veilframe.operators.people import HINT_TYPE
 from veilframe.operators.resolve import Resolution, resolve
-from veilframe.operators.spans import leftmost_longest, priority_merge, splice_spans
+from veilframe.operators.spans import priority_merge, splice_spans
 from veilframe.session import materialize
 from veilframe.sources.entity_map import clean
 
@@ -24,7 +28,6 @@ POSTAL_US = "(?<![0-9\\-])[0-9]{5}-[0-9]{4}(?![0-9\\-])|(?<![0-9\\-])[0-9]{5}(?!
 POSTAL_UK = "\\b[A-Za-z]{1,2}[0-9][A-Za-z0-9]?\\s?[0-9][A-Za-z]{2}\\b"
 POSTAL_SIX = "(?<![0-9\\-])[0-9]{6}(?:-[0-9]{3})?(?![0-9\\-])"
 WORD = "[A-Za-z][A-Za-z'.\\-]*"
-MAX_RUN = 4
 MAP_TYPES = {"country": "country", "location": "city", "region": "state_province", "address": "city"}
 SPANS = "array<struct<start:int,end:int,type:string>>"
 
@@ -109,29 +112,112 @@ def short_code_ok(text: Column, start: Column, end: Column, tokens: Column) -> C
     return (tokens == 1) | alone | before.rlike(",\\s?$") | after.rlike("^\\s?[0-9]{4,6}\\b")
 
 
+# The largest gazetteer that every task holds.
+MOST_PLACES = 200_000
+_FOUND = pa.schema([("start", pa.int32()), ("end", pa.int32()), ("type", pa.string()), ("ambiguous", pa.bool_())])
+
+
+@lru_cache(maxsize=1 << 16)
+def _plain(char: str) -> str:
+    """One character for one: without accent, lower case, any white space a space."""
+    if char.isspace():
+        return " "
+    bare = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)).lower()
+    return bare if len(bare) == 1 else char
+
+
+class PlaceFinder:
+    """Places in a trie over their words, as long as they are; ``found`` reads a text once."""
+
+    def __init__(self, places: Iterable[tuple[str, str, bool]]):
+        self.words, self.number = re.compile(WORD), re.compile(r"\s?[0-9]{4,6}(?!\w)")
+        self.root: dict = {}
+        for nk, ptype, ambiguous in places:
+            spans = [m.span() for m in self.words.finditer(nk)]
+            if spans and spans[0][0] == 0 and spans[-1][1] == len(nk):
+                node = self.root
+                for a, b in spans:
+                    node = node.setdefault(nk[a:b], {})
+                node.setdefault(None, {})[nk] = (ptype, ambiguous)
+
+    def _trusted(self, text: str, start: int, end: int, lone: bool) -> bool:
+        """Short codes count only where ``short_code_ok`` says so."""
+        span = text[start:end]
+        if len(span) > 3 or " " in span or lone or self.number.match(text, end):
+            return True
+        before, after = start, end
+        if text[start - 1 : start] == "," or start > 1 and text[start - 1].isspace() and text[start - 2] == ",":
+            return True
+        while before and text[before - 1] in " \t\r":
+            before -= 1
+        while after < len(text) and text[after] in " \t\r":
+            after += 1
+        return (before == 0 or text[before - 1] == "\n") and (after == len(text) or text[after] == "\n")
+
+    def found(self, text: str) -> list[tuple[int, int, str, bool]]:
+        """``start, end, type, ambiguous``: the longest place from the left, then on behind it."""
+        folded = "".join(map(_plain, text))
+        spans = [m.span() for m in self.words.finditer(folded)]
+        lone, out, done = len(spans) == 1, [], 0
+        for at, (start, _) in enumerate(spans):
+            if start < done:
+                continue
+            node, best, i = self.root, None, at
+            while i < len(spans):
+                a, end = spans[i]
+                node = node.get(folded[a:end])
+                if node is None:
+                    break
+                here = node.get(None)
+                if here and (hit := here.get(" ".join(folded[start:end].split()))) and self._trusted(text, start, end, lone):
+                    best = (start, end, *hit)
+                i += 1
+            if best:
+                out.append(best)
+                done = best[1]
+        return out
+
+
 def gazetteer_spans(texts: DataFrame, key: str, text: str, places: DataFrame) -> DataFrame:
-    """``key, start, end, type, ambiguous``: runs of up to four words that are known places.
+    """``key, start, end, type, ambiguous``: runs of words that are known places; longest runs from the left win.
 
-    Runs are looked up with one equi-join; longest runs from the left win.
+    A run may have as many words as a place of the gazetteer has. A gazetteer of
+    bounded size goes to every task; of a larger one each text first gets the
+    places whose first two words it holds, by an equi-join of slim rows.
     """
-    words = texts.select(key, F.col(text).alias("_t"), match_spans(F.col(text), WORD, "word").alias("w")).where(F.size("w") > 0)
-    starts = words.select(key, "_t", "w", F.posexplode("w").alias("i", "first"))
-    runs = starts.select(
-        key, "_t", "w", F.col("first.start").alias("start"),
-        F.explode(F.slice("w", F.col("i") + 1, F.lit(MAX_RUN))).alias("last"),
-    ).select(key, "_t", F.size("w").alias("tokens"), "start", F.col("last.end").alias("end"))
-    named = runs.withColumn("_span", F.substr("_t", F.col("start") + 1, F.col("end") - F.col("start"))).withColumn(
-        "nk", X.normalize(F.col("_span"))
-    )
-    hits = named.join(places, "nk")
-    trusted = hits.where(
-        (F.length("_span") > 3) | F.contains("_span", F.lit(" ")) | short_code_ok(F.col("_t"), F.col("start"), F.col("end"), F.col("tokens"))
-    )
-    grouped = trusted.groupBy(key).agg(
-        F.collect_list(F.struct("start", "end", F.col("ptype").alias("type"), "ambiguous")).alias("s")
-    )
-    chosen = grouped.select(key, F.explode(leftmost_longest(F.col("s"))).alias("s"))
-    return chosen.select(key, "s.start", "s.end", "s.type", "s.ambiguous")
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = texts.schema[key].dataType
+    schema = pa.schema([(key, to_arrow_type(kind)), *_FOUND])
+    rows = texts.select(key, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    known = places.select("nk", "ptype", "ambiguous")
+    shared = None
+    if known.limit(MOST_PLACES + 1).count() <= MOST_PLACES:
+        shared = texts.sparkSession.sparkContext.broadcast([tuple(r) for r in known.collect()])  # of proven size
+    else:
+        known = known.withColumn("gram", F.array_join(F.slice(F.regexp_extract_all("nk", F.lit(WORD), F.lit(0)), 1, 2), " "))
+        words = F.regexp_extract_all(X.normalize(F.col("_text")), F.lit(WORD), F.lit(0))
+        pairs = F.zip_with(words, F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+        grams = rows.select(key, F.explode(F.array_distinct(F.concat(words, pairs))).alias("gram"))
+        held = grams.join(known, "gram").groupBy(key).agg(F.collect_set(F.struct("nk", "ptype", "ambiguous")).alias("_places"))
+        rows = rows.join(held, key)
+
+    def run(batches):
+        finder, out = PlaceFinder(shared.value) if shared is not None else None, []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                use = finder
+                if use is None:
+                    use = PlaceFinder([(p["nk"], p["ptype"], p["ambiguous"]) for p in batch.column("_places")[i].as_py()])
+                own = batch.column(key)[i].as_py()
+                out += [(own, *hit) for hit in use.found(batch.column("_text")[i].as_py())]
+                if len(out) >= 8192:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+                    out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return rows.mapInArrow(run, f"{key} {kind.simpleString()}, start int, end int, type string, ambiguous boolean")
 
 
 def resolve_ambiguous(spans: Column, text: Column, ambiguous: Column, column: str | None, country: Column | None) -> Column:
@@ -140,8 +226,6 @@ def resolve_ambiguous(spans: Column, text: Column, ambiguous: Column, column: st
     A country right behind it, a country in the row, or a state-like column name
     make it a subdivision; otherwise it is a country. Other spans keep their type.
     """
-    import re
-
     state_column = bool(column and re.search(C.HINTS["state"], column, re.I))
 
     def typed(s: Column) -> Column:

@@ -238,9 +238,7 @@ def _regions(keys: DataFrame, ctx: Context) -> DataFrame:
     pool = ctx.extra.get("region_pool")
     if pool is None:
         return keys.select("etype", "role", "nk", "country", F.col("canon").alias("fake"))
-    joined = keys.join(pool, "country", "left")
-    fake = generators.fake_region(F.col("canon"), F.col("regions"), F.col("country"), ctx.config)
-    return joined.select("etype", "role", "nk", "country", fake.alias("fake"))
+    return generators.region_fakes(keys, pool, ctx.config).select(*KEYS, "fake")
 
 
 GENERATORS: dict[str, Generator] = {
