@@ -242,6 +242,27 @@ def key_choice(spark, sf_dir):
     return orders.select("o_orderkey", F.count("*").over(Window.partitionBy(*key)).alias("n"))
 
 
+_sources = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"],
+    "conversations": ["role", "turn", "conv_id"],
+}
+_pairs = [(t, a, b, i) for t, c in _sources.items() for i, (a, b) in enumerate((a, b) for n, a in enumerate(c) for b in c[n + 1 :])]
+_pair_sql = " UNION ALL ".join(
+    f"SELECT '{t}' AS t, '{a},{b}' AS key, {i} AS i, count(*) AS rows, count(DISTINCT (coalesce({a}::VARCHAR, '-'), coalesce({b}::VARCHAR, '-'))) AS d FROM {t}" for t, a, b, i in _pairs
+)
+
+
+@query("key_search", f"SELECT t, arg_min(key, i) AS key, min(rows) AS rows FROM ({_pair_sql}) WHERE rows = d GROUP BY t")
+def key_search(spark, sf_dir):
+    """The first smallest set of columns that identifies the rows, found among all columns and proven."""
+    frames = []
+    for name, columns in _sources.items():
+        rows = table(spark, sf_dir, name).select(*columns)
+        key = K.find_key(rows)
+        frames.append(K.key_uniqueness(rows, key).where("is_unique").select(F.lit(name).alias("t"), F.lit(",".join(key)).alias("key"), "rows"))
+    return frames[0].unionByName(frames[1])
+
+
 @query("scan_sample", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 500")
 def scan_sample(spark, sf_dir):
     """A stable sample of a scan: projection, order and row budget."""

@@ -201,6 +201,20 @@ def test_keys_and_csv_exchange(spark, tmp_path):
     assert S.row_budget("full") is None and S.row_budget("7") == 7
 
 
+def test_keys_of_wide_tables(spark):
+    """A key may lie behind any number of columns, and holds no column it does not need."""
+    few = [F.lit(i).alias(f"c{i}") for i in range(13)]
+    wide = spark.range(500).select(*few, "id")
+    assert K.choose_key(wide) == ["id"]
+    two = spark.range(900).select(*few, (F.col("id") % 30).alias("a"), F.floor(F.col("id") / 30).alias("b"), F.when(F.col("id") % 7 > 0, F.col("id") % 9).alias("x"))
+    assert K.choose_key(two) == ["a", "b"]
+    three = spark.range(1000).select(*few, (F.col("id") % 10).alias("a"), (F.floor(F.col("id") / 10) % 10).alias("b"), F.lit(None).cast("int").alias("n"), F.floor(F.col("id") / 100).alias("c"))
+    assert K.choose_key(three) == ["a", "b", "c"]
+    with pytest.raises(K.KeyNotUnique):
+        K.choose_key(three.unionByName(three))
+    assert K.find_key(wide.limit(0)) == ["c0"] and K.order_columns(wide) == wide.columns
+
+
 def test_plan_tools(spark):
     df = spark.createDataFrame([("Zzyzx Qwerty", "a@b.co", "Gold", 1.0)], "fullname string, work string, stepname string, totalamount double")
     plan = PR.analyze(df)
