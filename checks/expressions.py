@@ -258,13 +258,25 @@ def forced_words(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.apply_forced(F.col("text"), FORCED, False).alias("text"))
 
 
+# Forms of other scripts, their plain letters, and their key: one for each document in turn.
+_FORMS = (
+    ("ΆΈΉ Σίσυφος", "ΑΕΗ Σισυφος", "αεη σισυφοσ"), ("ﬁne ﬂow", "fine flow", "fine flow"), ("ｶﾞｷﾞ ﾃﾚﾋﾞ", "カキ テレヒ", "カキ テレヒ"), ("５㎏ Ⅳ½", "5kg IV1⁄2", "5kg iv1⁄2"),
+    ("İz ẞen Weiß", "Iz ẞen Weiß", "iz ssen weiss"), ("Ёлка Й", "Елка И", "елка и"), ("𝐁𝐨𝐥𝐝 ⑩", "Bold 10", "bold 10"),
+)
+
+
+def _form(at: int) -> str:
+    return f"({Q.array([f[at] for f in _FORMS])})[doc_id % {len(_FORMS)} + 1]"
+
+
 @query(
     "normalize_text",
-    f"SELECT doc_id, {Q.normalize('text')} AS nk, strip_accents(text) AS plain, regexp_matches(text, '[一-龥]') AS han FROM documents",
+    f"SELECT doc_id, trim({Q.normalize('text')} || ' ' || {_form(2)}) AS nk, strip_accents(text) || ' ' || {_form(1)} AS plain, regexp_matches(text, '[一-龥]') AS han FROM documents",
 )
 def normalize_text(spark, sf_dir):
-    """Normal form and plain letters of whole texts."""
-    t = F.col("text")
+    """Normal form and plain letters of whole texts, with forms of many scripts."""
+    form = F.element_at(F.array(*[F.lit(f[0]) for f in _FORMS]), (F.col("doc_id") % len(_FORMS) + 1).cast("int"))
+    t = F.concat_ws(" ", "text", form)
     return table(spark, sf_dir, "documents").select(
         "doc_id", X.normalize(t).alias("nk"), X.strip_diacritics(t).alias("plain"), X.is_han(t).alias("han")
     )

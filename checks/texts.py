@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from checks import fragments as Q
@@ -11,6 +13,7 @@ from checks.tables import CUSTOMER_PLAN
 from veilframe.functions import text as X
 from veilframe.operators import detector, dictionary as D, freetext as FT, geo, spans as S, verify as V
 from veilframe.session import scratch_path
+from veilframe.functions.seeds import literal_array
 from veilframe.streaming.incremental import IncrementalAnonymizer
 
 
@@ -24,16 +27,23 @@ def text_windows(spark, sf_dir):
     return S.explode_windows(table(spark, sf_dir, "documents"), ["doc_id"], "text")
 
 
-_unescaped = "replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&apos;', ''''), '&#39;', ''''), '&amp;', '&')"
+# The names of HTML as a table, and references that pages rarely have, one for each page in turn.
+_names = ", ".join(f"({Q.text('&' + n)}, {Q.text(c)})" for n, c in sorted(html5.items()) if n.endswith(";"))
+_rare = ("&eacute;&Omega; caf&eacute;", "&#233;&#xE9;", "&hearts;&#128640;", "&NotEqualTilde; &fjlig;", "&unknown; &#8364;", "&#x20AC;&lt;b&gt;")
+_number = "CASE WHEN p LIKE '&#x%' THEN ('0x' || regexp_extract(p, '[0-9A-Fa-f]+', 0))::INT ELSE regexp_extract(p, '[0-9]+', 0)::INT END"
 
 
 @query(
     "html_strip",
-    f"""SELECT page_id, trim(regexp_replace({_unescaped}, '\\s+', ' ', 'g')) AS text FROM (
-  SELECT page_id, regexp_replace(regexp_replace(html, '(?i)&nbsp;|&#160;', ' ', 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages)""",
+    f"""WITH names(name, char) AS (VALUES {_names}), t AS (SELECT page_id, regexp_replace(regexp_replace(html || ({Q.array(_rare)})[page_id % {len(_rare)} + 1], '(?i)&nbsp;|&#160;', ' ', 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages),
+piece AS (SELECT page_id, unnest(regexp_extract_all(t, '&#?[A-Za-z0-9]+;|[^&]+|&')) AS p, unnest(range(len(regexp_extract_all(t, '&#?[A-Za-z0-9]+;|[^&]+|&')))) AS i FROM t)
+SELECT page_id, trim(regexp_replace(string_agg(CASE WHEN p LIKE '&#%;' THEN chr({_number}) ELSE coalesce(char, p) END, '' ORDER BY i), '\s+', ' ', 'g')) AS text
+FROM piece LEFT JOIN names ON p = name GROUP BY page_id""",
 )
 def html_strip(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", X.strip_html(F.col("html")).alias("text"))
+    """Visible text of pages, every kind of character reference decoded."""
+    rare = F.element_at(literal_array(_rare), (F.col("page_id") % len(_rare) + 1).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", X.strip_html(F.concat("html", rare)).alias("text"))
 
 
 @query("json_escape", "SELECT doc_id, substr(to_json(text)::VARCHAR, 2, length(to_json(text)::VARCHAR) - 2) AS escaped FROM documents")

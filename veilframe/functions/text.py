@@ -9,6 +9,7 @@ import json
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,34 +34,74 @@ BILINGUAL = (
 )
 HTML_TAG = "<[^>]+>"
 
-# Named entities that survive tag removal in practice; numeric ones are decoded by rule.
-NAMED_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"))
+# White space of any script, as one class.
+SPACES = "[\\s\\x1c-\\x1f\\x85\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 
 
 @lru_cache(maxsize=1)
-def _folding() -> tuple[str, str]:
-    """Accented Latin letters and full-width forms next to their plain form."""
-    source, target = [], []
-    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Characters and what is left of them by compatibility decomposition without combining marks.
+
+    The first two strings pair single characters, marks to be dropped stand behind
+    the last pair; the table holds those that become several. Hangul syllables
+    stay whole: taken apart, they would only be told apart in the same way.
+    """
+    source, target, dropped, many = [], [], [], {}
+    for code in range(0x80, 0x30000):
+        if 0xD800 <= code < 0xE000 or 0xAC00 <= code < 0xD7A4:
+            continue
         char = chr(code)
         plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if len(plain) == 1 and plain != char:
+        if plain == char:
+            continue
+        if code > 0xFFFF or len(plain) > 1 or plain and ord(plain) > 0xFFFF:
+            many[char] = plain
+        elif plain:
             source.append(char)
             target.append(plain)
-    return "".join(source), "".join(target)
+        else:
+            dropped.append(char)
+    return "".join(source + dropped), "".join(target), many
+
+
+@lru_cache(maxsize=1)
+def _case_folding() -> tuple[str, str, dict[str, str]]:
+    """Characters whose folded case is not their lower case."""
+    odd = {c: c.casefold() for c in map(chr, range(0x80, 0xD800)) if c.casefold() != c.lower() and c.lower() == c}
+    single = {c: f for c, f in odd.items() if len(f) == 1}
+    return "".join(single), "".join(single.values()), {c: f for c, f in odd.items() if len(f) > 1}
+
+
+def _class(chars: Sequence[str]) -> str:
+    """Character class of ranges; a class of single characters is tried one by one."""
+    ranges: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if ranges and code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges) + "]"
+
+
+def _spelled_out(value: Column, table: dict[str, str]) -> Column:
+    """Each of the table's characters replaced by its text; other values are not even cut up."""
+    some = _class(table)
+    known = literal_map(table)
+    return F.when(value.rlike(some), splice(value, some, lambda c: F.try_element_at(known, c))).otherwise(value)
 
 
 def strip_diacritics(value: Column) -> Column:
-    """Drop accents; text that is ASCII already skips the table."""
-    source, target = _folding()
-    folded = F.regexp_replace(F.translate(value, source, target), "\\p{Mn}+", "")
+    """Compatibility forms and accents dropped, in every script; text that is ASCII already skips the tables."""
+    source, target, many = _folding()
+    folded = F.translate(_spelled_out(value, many), source, target)
     return F.when(value.rlike("[^\\x00-\\x7F]"), folded).otherwise(value)
 
 
 def normalize(value: Column) -> Column:
-    """Reuse key of a value: accents, case and white space do not matter."""
-    plain = F.regexp_replace(strip_diacritics(value), "[\\s\\u00a0\\u2000-\\u200a\\u3000]+", " ")
-    return F.replace(F.lower(F.trim(plain)), F.lit("ß"), F.lit("ss"))
+    """Reuse key of a value: accents, forms, case and white space do not matter."""
+    source, target, many = _case_folding()
+    low = F.lower(F.trim(F.regexp_replace(strip_diacritics(value), SPACES, " ")))
+    return F.when(value.rlike("[^\\x00-\\x7F]"), F.translate(_spelled_out(low, many), source, target)).otherwise(low)
 
 
 def is_han(value: Column) -> Column:
@@ -218,14 +259,57 @@ def fit_width(value: Column, width: Column | int | None) -> Column:
     return F.when((limit > 0) & (F.length(value) > limit), clamped).otherwise(value)
 
 
+ENTITY = "&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\\t\\n\\f <&#;]{1,32};?)"
+
+
+def _character(reference: Column) -> Column:
+    """The character a numeric reference names, by the rules for HTML."""
+    digits = F.regexp_extract(reference, "([0-9a-fA-F]+);?$", 1)
+    base = F.when(reference.rlike("^&#[xX]"), 16).otherwise(10)
+    # Windows characters take the place of control characters.
+    moved = {0: "\ufffd", 13: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+    moved_to = literal_map({str(n): c for n, c in moved.items()})
+
+    def named(code: Column) -> Column:
+        beyond = (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+        low = F.pmod(code, F.lit(0x10000))
+        nothing = code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127) | code.between(0xFDD0, 0xFDEF) | (low >= 0xFFFE)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.coalesce(
+            F.try_element_at(moved_to, code.cast("string")), F.when(beyond, F.lit("\ufffd")).when(nothing, F.lit("")).otherwise(char)
+        )
+
+    def number(p: Column) -> Column:
+        short = F.regexp_replace(p["digits"], "^0+(?=.)", "")
+        both = F.when(p["base"] == 16, F.conv(short, 16, 10)).otherwise(F.conv(short, 10, 10))
+        # Longer numbers are beyond every character, whatever they are.
+        return F.when(F.length(short) > 8, F.lit(0x110000)).otherwise(both.cast("bigint")).cast("bigint")
+
+    return let(let(F.struct(digits.alias("digits"), base.alias("base")), number), named)
+
+
+def unescape(value: Column) -> Column:
+    """Character references decoded: all names of HTML, also the old ones without a semicolon, and numbers."""
+    names = literal_map(html5)
+    oldest = max(len(n) for n in html5 if not n.endswith(";"))
+
+    def one(reference: Column) -> Column:
+        body = F.substr(reference, F.lit(2))
+        found = [F.try_element_at(names, body)]
+        for n in range(oldest, 1, -1):
+            head = F.try_element_at(names, F.substr(body, F.lit(1), F.lit(n)))
+            found.append(F.when(F.length(body) > n, F.concat(head, F.substr(body, F.lit(n + 1)))))
+        return F.when(F.startswith(body, F.lit("#")), _character(reference)).otherwise(F.coalesce(*found, reference))
+
+    return F.when(F.contains(value, F.lit("&")), splice(value, ENTITY, one)).otherwise(value)
+
+
 def strip_html(value: Column) -> Column:
     """Visible text of a cell, for detection only; text without markup is kept as it is."""
     text = F.regexp_replace(value, "(?i)&nbsp;|&#160;", " ")
     text = F.regexp_replace(text, HTML_TAG, " ")
-    for entity, char in NAMED_ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    text = F.replace(text, F.lit("&amp;"), F.lit("&"))
-    text = F.trim(F.regexp_replace(text, "\\s+", " "))
+    text = unescape(text)
+    text = F.trim(F.regexp_replace(text, SPACES, " "))
     return F.when(F.contains(value, F.lit("<")), text).otherwise(value)
 
 
