@@ -38,13 +38,14 @@ HTML_TAG = "<[^>]+>"
 SPACES = "[\\s\\x1c-\\x1f\\x85\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 
 
-@lru_cache(maxsize=1)
-def _folding() -> tuple[str, str, dict[str, str]]:
+@lru_cache(maxsize=2)
+def _folding(caseless: bool) -> tuple[str, str, dict[str, str]]:
     """Characters and what is left of them by compatibility decomposition without combining marks.
 
     The first two strings pair single characters, marks to be dropped stand behind
     the last pair; the table holds those that become several. Hangul syllables
     stay whole: taken apart, they would only be told apart in the same way.
+    ``caseless`` folds the case as well.
     """
     source, target, dropped, many = [], [], [], {}
     for code in range(0x80, 0x30000):
@@ -52,6 +53,7 @@ def _folding() -> tuple[str, str, dict[str, str]]:
             continue
         char = chr(code)
         plain = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        plain = plain.casefold() if caseless else plain
         if plain == char:
             continue
         if code > 0xFFFF or len(plain) > 1 or plain and ord(plain) > 0xFFFF:
@@ -64,14 +66,6 @@ def _folding() -> tuple[str, str, dict[str, str]]:
     return "".join(source + dropped), "".join(target), many
 
 
-@lru_cache(maxsize=1)
-def _case_folding() -> tuple[str, str, dict[str, str]]:
-    """Characters whose folded case is not their lower case."""
-    odd = {c: c.casefold() for c in map(chr, range(0x80, 0xD800)) if c.casefold() != c.lower() and c.lower() == c}
-    single = {c: f for c, f in odd.items() if len(f) == 1}
-    return "".join(single), "".join(single.values()), {c: f for c, f in odd.items() if len(f) > 1}
-
-
 def _class(chars: Sequence[str]) -> str:
     """Character class of ranges; a class of single characters is tried one by one."""
     ranges: list[list[int]] = []
@@ -90,18 +84,23 @@ def _spelled_out(value: Column, table: dict[str, str]) -> Column:
     return F.when(value.rlike(some), splice(value, some, lambda c: F.try_element_at(known, c))).otherwise(value)
 
 
+NOT_ASCII = "[^\\x00-\\x7F]"
+
+
+def _folded(value: Column, caseless: bool) -> Column:
+    source, target, many = _folding(caseless)
+    return let(value, lambda v: F.translate(_spelled_out(v, many), source, target))
+
+
 def strip_diacritics(value: Column) -> Column:
     """Compatibility forms and accents dropped, in every script; text that is ASCII already skips the tables."""
-    source, target, many = _folding()
-    folded = F.translate(_spelled_out(value, many), source, target)
-    return F.when(value.rlike("[^\\x00-\\x7F]"), folded).otherwise(value)
+    return F.when(value.rlike(NOT_ASCII), _folded(value, False)).otherwise(value)
 
 
 def normalize(value: Column) -> Column:
     """Reuse key of a value: accents, forms, case and white space do not matter."""
-    source, target, many = _case_folding()
-    low = F.lower(F.trim(F.regexp_replace(strip_diacritics(value), SPACES, " ")))
-    return F.when(value.rlike("[^\\x00-\\x7F]"), F.translate(_spelled_out(low, many), source, target)).otherwise(low)
+    plain = F.when(value.rlike(NOT_ASCII), _folded(value, True)).otherwise(value)
+    return F.lower(F.trim(F.regexp_replace(plain, SPACES, " ")))
 
 
 def is_han(value: Column) -> Column:
