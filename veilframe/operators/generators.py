@@ -164,27 +164,29 @@ def fake_country(value: Column, config: Config = DEFAULT) -> Column:
     names = literal_array([c[0] for c in C.COUNTRIES])
     two = literal_array([c[1] for c in C.COUNTRIES])
     three = literal_array([c[2] for c in C.COUNTRIES])
-    nk = X.normalize(value)
     count = len(C.COUNTRIES)
-    letters = F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
 
-    def form(at: Column) -> Column:
-        return (
-            F.when(letters == 2, F.element_at(two, at))
-            .when(letters == 3, F.element_at(three, at))
-            .otherwise(F.element_at(names, at))
-        )
+    def choose(nk: Column) -> Column:
+        letters = F.length(F.regexp_replace(value, "[^A-Za-z]", ""))
 
-    def choose(first: Column) -> Column:
-        itself = nk.isNotNull() & (
-            (F.lower(F.element_at(names, first)) == nk)
-            | (F.lower(F.element_at(two, first)) == nk)
-            | (F.lower(F.element_at(three, first)) == nk)
-        )
-        return F.when(itself, form(F.pmod(first, F.lit(count)) + 1)).otherwise(form(first))
+        def form(at: Column) -> Column:
+            return (
+                F.when(letters == 2, F.element_at(two, at))
+                .when(letters == 3, F.element_at(three, at))
+                .otherwise(F.element_at(names, at))
+            )
+
+        def other(first: Column) -> Column:
+            itself = nk.isNotNull() & (
+                (F.lower(F.element_at(names, first)) == nk)
+                | (F.lower(F.element_at(two, first)) == nk)
+                | (F.lower(F.element_at(three, first)) == nk)
+            )
+            return F.when(itself, form(F.pmod(first, F.lit(count)) + 1)).otherwise(form(first))
+
+        return let((F.pmod(seed(config.salt, "country", nk), F.lit(count)) + 1).cast("int"), other)
 
-    start = (F.pmod(seed(config.salt, "country", nk), F.lit(count)) + 1).cast("int")
-    return X.case_like(F.trim(value), let(start, choose))
+    return X.case_like(F.trim(value), let(X.normalize(value), choose))
 
 
 def fake_birth(value: Column, config: Config = DEFAULT) -> Column:

@@ -58,11 +58,11 @@ def _brand(run: Column, draw: Column) -> Column:
 
 def org_candidate(value: Column, config: Config = DEFAULT) -> Column:
     """Structure-preserving fake of a Latin organisation name; not unique yet."""
-    nk = X.normalize(value)
     forced = {k.lower(): v for k, v in config.forced_words.items()}
     table = X.literal_map(forced) if forced else None
 
-    def build(runs: Column) -> Column:
+    def build(p: Column) -> Column:
+        runs, nk = p["runs"], p["nk"]
         single = F.size(runs) <= 1
 
         def one(run: Column, at: Column) -> Column:
@@ -83,7 +83,8 @@ def org_candidate(value: Column, config: Config = DEFAULT) -> Column:
         pieces = F.zip_with(F.split(value, RUN, -1), fakes, lambda g, r: F.concat(g, F.coalesce(r, F.lit(""))))
         return F.array_join(pieces, "")
 
-    return let(F.regexp_extract_all(value, F.lit(RUN), F.lit(0)), build)
+    # Bound once: the key is part of every draw.
+    return let(F.struct(F.regexp_extract_all(value, F.lit(RUN), F.lit(0)).alias("runs"), X.normalize(value).alias("nk")), build)
 
 
 def org_fakes(
@@ -115,18 +116,22 @@ def org_fakes(
 
 def segment_fake(word: Column, config: Config = DEFAULT) -> Column:
     """Fake of one word of a coded value, seeded on the word, so it repeats with it."""
-    low = F.lower(word)
-    draw = seed(config.salt, "segment", X.normalize(word))
-    out = (
-        F.when(_kept_word(low), word)
-        .when(word.rlike("^[A-Z]{1,4}$"), _caps_code(word, F.lit(config.salt), F.lit("segment"), X.normalize(word)))
-        .otherwise(X.case_like(word, _brand(word, draw)))
-    )
     forced = {k.lower(): v for k, v in config.forced_words.items()}
-    if not forced:
-        return out
-    table = X.literal_map(forced)
-    return F.when(F.map_contains_key(table, low), X.case_like(word, F.try_element_at(table, low))).otherwise(out)
+    table = X.literal_map(forced) if forced else None
+
+    def build(p: Column) -> Column:
+        run, nk, low = p["word"], p["nk"], F.lower(p["word"])
+        draw = seed(config.salt, "segment", nk)
+        out = (
+            F.when(_kept_word(low), run)
+            .when(run.rlike("^[A-Z]{1,4}$"), _caps_code(run, F.lit(config.salt), F.lit("segment"), nk))
+            .otherwise(X.case_like(run, _brand(run, draw)))
+        )
+        if table is None:
+            return out
+        return F.when(F.map_contains_key(table, low), X.case_like(run, F.try_element_at(table, low))).otherwise(out)
+
+    return let(F.struct(word.alias("word"), X.normalize(word).alias("nk")), build)
 
 
 def match_code_prefix(words: DataFrame, codes: DataFrame) -> DataFrame:

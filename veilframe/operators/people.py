@@ -236,17 +236,18 @@ def email_tokens(emails: DataFrame, keys: list[str]) -> DataFrame:
 def email_candidate(fakes: Column, config: Config = DEFAULT) -> Column:
     """Fake address from ``local, domain, parts, hints`` and ``fakes``: map ``role|nk -> fake``."""
 
-    def fake_of(role: str, token: Column, default: str) -> Column:
-        found = F.try_element_at(fakes, F.concat(F.lit(f"{role}|"), X.normalize(token)))
-        cleaned = local_clean(F.coalesce(found, F.lit("")))
-        return F.when(cleaned == "", F.lit(default)).otherwise(cleaned)
+    def fake_of(role: Column | str, token: Column, default: str) -> Column:
+        role = F.lit(role) if isinstance(role, str) else role
+        found = F.try_element_at(fakes, F.concat(role, F.lit("|"), X.normalize(token)))
+        cleaned = F.nullif(local_clean(F.coalesce(found, F.lit(""))), F.lit(""))
+        return F.coalesce(cleaned, F.lit(default))
 
     parts, local = F.col("parts"), F.col("local")
     separator = (
         F.when(F.contains(local, F.lit(".")), ".").when(F.contains(local, F.lit("_")), "_").otherwise("")
     )
-    first = fake_of("first", F.element_at(parts, 1), "user")
-    first = F.when(F.length(F.element_at(parts, 1)) == 1, F.substring(first, 1, 1)).otherwise(first)
+    only = F.length(F.element_at(parts, 1)) == 1
+    first = X.let(fake_of("first", F.element_at(parts, 1), "user"), lambda f: F.when(only, F.substring(f, 1, 1)).otherwise(f))
     plain = (
         F.when(F.size(parts) >= 2, F.concat(first, separator, fake_of("last", F.element_at(parts, -1), "x")))
         .when(F.size(parts) == 1, fake_of("first", F.element_at(parts, 1), "user"))
@@ -260,9 +261,7 @@ def email_candidate(fakes: Column, config: Config = DEFAULT) -> Column:
             lambda h: F.struct(
                 F.length(local_clean(h["token"])).alias("size"),
                 local_clean(h["token"]).alias("key"),
-                F.when(h["role"] == "last", fake_of("last", h["token"], "x"))
-                .otherwise(fake_of("first", h["token"], "x"))
-                .alias("fake"),
+                fake_of(F.when(h["role"] == "last", "last").otherwise("first"), h["token"], "x").alias("fake"),
                 # Surnames are tried before given names.
                 F.when(h["role"] == "last", 0).otherwise(1).alias("order"),
             ),
