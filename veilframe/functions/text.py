@@ -56,7 +56,7 @@ def _folding(caseless: bool) -> tuple[str, str, dict[str, str]]:
         plain = plain.casefold() if caseless else plain
         if plain == char:
             continue
-        if code > 0xFFFF or len(plain) > 1 or plain and ord(plain) > 0xFFFF:
+        if len(plain) > 1:
             many[char] = plain
         elif plain:
             source.append(char)
@@ -66,11 +66,11 @@ def _folding(caseless: bool) -> tuple[str, str, dict[str, str]]:
     return "".join(source + dropped), "".join(target), many
 
 
-def _class(chars: Sequence[str]) -> str:
-    """Character class of ranges; a class of single characters is tried one by one."""
+def _class(chars: Sequence[str], gap: int = 48) -> str:
+    """Character class of few wide ranges that holds these characters, and some between them; plans hold it several times."""
     ranges: list[list[int]] = []
     for code in sorted(map(ord, chars)):
-        if ranges and code == ranges[-1][1] + 1:
+        if ranges and code <= ranges[-1][1] + gap:
             ranges[-1][1] = code
         else:
             ranges.append([code, code])
@@ -81,7 +81,7 @@ def _spelled_out(value: Column, table: dict[str, str]) -> Column:
     """Each of the table's characters replaced by its text; other values are not even cut up."""
     some = _class(table)
     known = literal_map(table)
-    return F.when(value.rlike(some), splice(value, some, lambda c: F.try_element_at(known, c))).otherwise(value)
+    return F.when(value.rlike(some), splice(value, some, lambda c: F.coalesce(F.try_element_at(known, c), c))).otherwise(value)
 
 
 NOT_ASCII = "[^\\x00-\\x7F]"
