@@ -77,16 +77,18 @@ def simhash(word_hashes):
 
 
 def line_dedup(rows, hash_of, distance_bits=3, similarity=0.9, min_words=5):
+    """With ``distance_bits`` None lines are linked by edit similarity alone, however far apart their SimHashes are."""
     places = [(k, j, tuple(alnum_words(re.sub("[0-9]", "0", line)))) for k, t in rows if t is not None for j, line in enumerate(t.split("\n"))]
     places = [p for p in places if len(p[2]) >= min_words]
     forms = sorted({f for *_, f in places})
     hashes = [simhash([hash_of(w) for w in f]) for f in forms]
-    groups = Groups(range(len(forms)))
+    groups, bags = Groups(range(len(forms))), [set(f) for f in forms]
     for i, a in enumerate(forms):
         for j in range(i + 1, len(forms)):
-            if (hashes[i] ^ hashes[j]).bit_count() <= distance_bits:
+            if distance_bits is None or (hashes[i] ^ hashes[j]).bit_count() <= distance_bits:
                 most = int((1 - similarity) * max(len(a), len(forms[j])) + 1e-9)
-                if distance(a, forms[j]) <= most:
+                # Words that only one of them has each cost an edit, so most pairs need no table.
+                if abs(len(a) - len(forms[j])) <= most and len(bags[i] - bags[j]) <= most and distance(a, forms[j]) <= most:
                     groups.link(i, j)
     index, first, gone = {f: i for i, f in enumerate(forms)}, {}, set()
     for k, j, f in sorted(places):

@@ -20,7 +20,7 @@ def test_stages(spark):
         kept[name] = {r.doc_id: r.text for r in docs.collect()}
         assert all(r.n_chars == len(r.text) for r in docs.collect())
     assert len(kept["language_id"]) >= 0.98 * len(kept["documents"])
-    lines = brute.line_dedup(list(kept["language_id"].items()), _hash)
+    lines = brute.line_dedup(list(kept["language_id"].items()), _hash, distance_bits=None)
     assert kept["line_dedup"] == {k: t for k, t in lines.items() if t.strip()}
     groups = brute.jaccard(list(kept["line_dedup"].items()), 5, 80)
     assert set(kept["near_duplicates"]) == {k for k, _, first in groups if k == first}
