@@ -66,7 +66,21 @@ def street_alloc(spark, sf_dir):
     return places.street_fakes(values).drop("placed")
 
 
-@query("state_alloc")
+_states, _ = places.subdivision_pools()
+_alpha = " ".join(f"WHEN {Q.text(c[0])} THEN {Q.text(c[1])}" for c in C.COUNTRIES)
+_state_word = " ".join(f"WHEN {Q.text(p)} THEN {Q.words_of(f'(slot + {len(w)})', w, '-', 7)}" for p, w in sorted(_states.items()))
+
+
+@query(
+    "state_alloc",
+    f"""WITH r AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN upper(substr(city, 1, 2)) ELSE city END AS canon, ({Q.array([c[0] for c in C.COUNTRIES])})[c_custkey % 20 + 1] AS country FROM {CONTACTS_SQL}),
+v AS (SELECT *, CASE WHEN length(regexp_replace(canon, '[^A-Za-z]', '', 'g')) = 2 THEN 'code:' ELSE 'name:' END AS form FROM (SELECT lower(canon) AS nk, min(canon) AS canon, country FROM r GROUP BY lower(canon), country)),
+p AS (SELECT *, CASE WHEN form || CASE country {_alpha} END IN ({', '.join(Q.text(p) for p in _states)}) THEN form || CASE country {_alpha} END ELSE form END AS pool FROM v),
+base AS (SELECT DISTINCT nk, pool FROM p), won AS ({Q.pool_pick('base', _states, 'veil:state')}),
+lost AS (SELECT nk, pool AS family FROM base WHERE (nk, pool) NOT IN (SELECT (nk, pool) FROM won)),
+filled AS (SELECT nk, pool, word FROM won UNION ALL SELECT nk, family, CASE family {_state_word} END FROM ({Q.slots('lost', 'family', 'nk')}))
+SELECT nk, country, {Q.case_like('trim(canon)', 'word')} AS fake FROM p JOIN filled USING (nk, pool)""",
+)
 def state_alloc(spark, sf_dir):
     """Codes for codes, names for names, of the faked country where it is known."""
     k = F.col("c_custkey")
@@ -74,7 +88,7 @@ def state_alloc(spark, sf_dir):
         F.when(k % 2 == 0, F.upper(F.substring("city", 1, 2))).otherwise(F.col("city")).alias("canon"),
         F.element_at(F.array(*[F.lit(c[0]) for c in C.COUNTRIES]), (k % 20 + 1).cast("int")).alias("country"),
     )
-    values = rows.groupBy(X.normalize(F.col("canon")).alias("nk")).agg(F.min("canon").alias("canon"), F.min("country").alias("country"))
+    values = rows.groupBy(X.normalize(F.col("canon")).alias("nk"), "country").agg(F.min("canon").alias("canon"))
     return places.state_fakes(values).drop("placed")
 
 

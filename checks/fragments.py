@@ -126,15 +126,14 @@ def spelled_name(slot: str, endings) -> str:
     return f"(upper(substr({spelled}, 1, 1)) || substr({spelled}, 2))"
 
 
-def words_of(number: str, words, joiner: str) -> str:
-    """Spellings of up to three words."""
-    size, a = len(words), array(words)
-    r1 = f"(({number}) // {size} - 1)"
-    r2 = f"({r1} // {size} - 1)"
-    one = f"({a})[({number}) % {size} + 1]"
-    two = f"CASE WHEN ({number}) >= {size} THEN {text(joiner)} || ({a})[{r1} % {size} + 1] ELSE '' END"
-    three = f"CASE WHEN ({number}) >= {size} AND {r1} >= {size} THEN {text(joiner)} || ({a})[{r2} % {size} + 1] ELSE '' END"
-    return f"({one} || {two} || {three})"
+def words_of(number: str, words, joiner: str, most: int = 3) -> str:
+    """Spellings of up to ``most`` words."""
+    a, rest = array(words), f"({number})"
+    pieces = [f"({a})[{rest} % {len(words)} + 1]"]
+    for _ in range(most - 1):
+        rest = f"({rest} // {len(words)} - 1)"
+        pieces.append(f"CASE WHEN {rest} >= 0 THEN {text(joiner)} || ({a})[{rest} % {len(words)} + 1] ELSE '' END")
+    return "(" + " || ".join(pieces) + ")"
 
 
 def pool_pick(source: str, pools: dict[str, tuple[str, ...]], tag: str, choices: int = 4) -> str:
