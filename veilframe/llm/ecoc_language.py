@@ -153,6 +153,9 @@ def _reliability(model: Model):
     return run
 
 
+SHARES = 1 << 62  # fine enough that a share of any number of rows is not nothing
+
+
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from the rows with an id, a letter in the text and a language that are not held out.
 
@@ -172,7 +175,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang
     take = F.lit(False)
     for r in totals:
         share = min(1.0, sample_rows / r.n)
-        take = take | ((F.col("lang") == r.lang) & (F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20))))
+        take = take | ((F.col("lang") == r.lang) & (F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(SHARES)) < int(share * SHARES)))
     sample = rows.where(take).select("text", "lang")
     counted = sample.mapInArrow(_count_grams, "lang string, bucket long, share double").groupBy("lang", "bucket").agg(F.sum("share").alias("share")).toPandas()
     shares = np.zeros((len(languages), BUCKETS))
