@@ -179,22 +179,28 @@ _literals = {"nav": "Harbor", "the": "Onyx", "que": "sable", "body": "TITAN", "a
 _lit_case = "CASE lower(w) " + " ".join(f"WHEN {Q.text(k)} THEN {Q.text(v)}" for k, v in _literals.items()) + " END"
 
 
-@query(
-    "literal_map_tag_safe",
-    f"""WITH s AS (SELECT page_id, unnest(regexp_extract_all(html, '<[^>]+>|[^<]+|<')) AS seg, unnest(range(1, len(regexp_extract_all(html, '<[^>]+>|[^<]+|<')) + 1)) AS i FROM pages),
+def _literal_sql(fake: str, shown: str) -> str:
+    """Pages with words outside of tags and away from an @ replaced; ``fake`` is null for the others, ``shown`` what is put in."""
+    return f"""WITH s AS (SELECT page_id, unnest(regexp_extract_all(html, '<[^>]+>|[^<]+|<')) AS seg, unnest(range(1, len(regexp_extract_all(html, '<[^>]+>|[^<]+|<')) + 1)) AS i FROM pages),
 w AS (SELECT page_id, i, seg, unnest(CASE WHEN regexp_matches(seg, '^<[^>]+>$') THEN [seg] ELSE regexp_extract_all(seg, '[A-Za-z0-9]+|[^A-Za-z0-9]+') END) AS w,
   unnest(range(1, len(CASE WHEN regexp_matches(seg, '^<[^>]+>$') THEN [seg] ELSE regexp_extract_all(seg, '[A-Za-z0-9]+|[^A-Za-z0-9]+') END) + 1)) AS j FROM s),
-n AS (SELECT *, lag(w) OVER (PARTITION BY page_id ORDER BY i, j) AS before, lead(w) OVER (PARTITION BY page_id ORDER BY i, j) AS after, {_lit_case} AS f FROM w)
+n AS (SELECT *, lag(w) OVER (PARTITION BY page_id ORDER BY i, j) AS before, lead(w) OVER (PARTITION BY page_id ORDER BY i, j) AS after, {fake} AS f FROM w)
 SELECT page_id, string_agg(CASE WHEN f IS NOT NULL AND NOT coalesce(ends_with(before, '@'), false) AND NOT coalesce(starts_with(after, '@'), false)
-  THEN {Q.case_like('w', 'f')} ELSE w END, '' ORDER BY i, j) AS html FROM n GROUP BY page_id""",
-)
+  THEN {shown} ELSE w END, '' ORDER BY i, j) AS html FROM n GROUP BY page_id"""
+
+
+@query("literal_map_tag_safe", _literal_sql(_lit_case, Q.case_like("w", "f")))
 def literal_map_tag_safe(spark, sf_dir):
     """Words replaced in the prose of pages; markup stays byte for byte."""
     entries = X.literal_map(_literals)
     return table(spark, sf_dir, "pages").select("page_id", D.replace_entries(F.col("html"), entries, D.LITERAL).alias("html"))
 
 
-@query("curated_companies")
+# Codes are put in as they are, companies in the case of the word.
+_curated = "CASE lower(w) WHEN 'article' THEN 'Vertex Labs' WHEN 'est' THEN 'C_TKH' END"
+
+
+@query("curated_companies", _literal_sql(_curated, f"CASE WHEN lower(w) = 'est' THEN f ELSE {Q.case_like('w', 'f')} END"))
 def curated_companies(spark, sf_dir):
     """Company and exact-code dictionaries applied to pages before and after detection."""
     from veilframe.config import Config
