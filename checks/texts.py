@@ -37,7 +37,7 @@ _number = "CASE WHEN p LIKE '&#x%' THEN ('0x' || regexp_extract(p, '[0-9A-Fa-f]+
     "html_strip",
     f"""WITH names(name, char) AS (VALUES {_names}), t AS (SELECT page_id, regexp_replace(regexp_replace(html || ({Q.array(_rare)})[page_id % {len(_rare)} + 1], '(?i)&nbsp;|&#160;', ' ', 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages),
 piece AS (SELECT page_id, unnest(regexp_extract_all(t, '&#?[A-Za-z0-9]+;|[^&]+|&')) AS p, unnest(range(len(regexp_extract_all(t, '&#?[A-Za-z0-9]+;|[^&]+|&')))) AS i FROM t)
-SELECT page_id, trim(regexp_replace(string_agg(CASE WHEN p LIKE '&#%;' THEN chr({_number}) ELSE coalesce(char, p) END, '' ORDER BY i), '\s+', ' ', 'g')) AS text
+SELECT page_id, trim(regexp_replace(string_agg(CASE WHEN p LIKE '&#%;' THEN chr({_number}) ELSE coalesce(char, p) END, '' ORDER BY i), '\\s+', ' ', 'g')) AS text
 FROM piece LEFT JOIN names ON p = name GROUP BY page_id""",
 )
 def html_strip(spark, sf_dir):
