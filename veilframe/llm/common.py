@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veilframe.session import materialize
 
 EDGES = 1 << 17  # that a task links at once, about
+EARLIER = 4  # keys that a posting remembers of its set
 FILTER_BITS = 1 << 23  # one megabyte, whatever the input; more keys only let more rows through
 
 
@@ -106,11 +107,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         )
-    current = current.distinct()
-    roots = current.select(F.col("b").alias("node")).distinct()
-    return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        roots.select("node", F.col("node").alias("component"))
-    )
+    led = current.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    roots = current.select(F.col("b").alias("node"), F.col("b").alias("component"))
+    return materialize(led.unionByName(roots).distinct(), f"{name}-found")  # plans that use it several times stay small
 
 
 def _stars(edges: DataFrame) -> bool:
@@ -131,4 +130,18 @@ def merged(groups: DataFrame, links: DataFrame, name: str = "components") -> Dat
     roots = components(ends.select(F.coalesce("ga", "a").alias("a"), F.coalesce("gb", "b").alias("b")), name)
     new = roots.join(groups, "node", "left_anti")
     joined = groups.join(roots.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
-    return joined.select("node", F.coalesce("root", "component").alias("component")).unionByName(new)
+    return materialize(joined.select("node", F.coalesce("root", "component").alias("component")).unionByName(new), f"{name}-merged")
+
+
+def with_earlier(rows: DataFrame, key: str, order: str, *owner: str) -> DataFrame:
+    """``rows`` with ``earlier``: the keys of the ``EARLIER`` rows before, in an order of keys that all owners share."""
+    before = Window.partitionBy(*owner).orderBy(order)
+    return rows.withColumn("earlier", F.array(*[F.lag(key, i).over(before) for i in range(1, EARLIER + 1)]))
+
+
+def met_before(left: str, right: str) -> Column:
+    """Whether two rows of one key are known to share an earlier key, which gives the pair as well.
+
+    The first key that two owners share has none before it, so each pair is still given.
+    """
+    return F.coalesce(F.arrays_overlap(left, right), F.lit(False))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm import textbytes as tb
-from veilframe.llm.common import KeyFilter, components, is_empty
+from veilframe.llm.common import KeyFilter, components, is_empty, met_before, with_earlier
 from veilframe.session import materialize
 
 FREQUENT_TOKENS = 1 << 16  # at most so many tokens are ordered last; half a megabyte goes to each task
@@ -264,12 +264,12 @@ def _posting_batch(held, schema) -> pa.RecordBatch:
 
 def _scan(percent: int):
     """Postings in (token, n, same, node) order: pairs within the window, and every posting of a longer list."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int32()), ("nb", pa.int32()), ("long", pa.bool_())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int32()), ("nb", pa.int32()), ("same", pa.int64()), ("long", pa.bool_())])
     names = ("token", "node", "n", "pos", "same")
     reach = WINDOW + 1
 
     def batch_of(columns, long):
-        kinds = (np.int64, np.int64, np.int32, np.int32)
+        kinds = (np.int64, np.int64, np.int32, np.int32, np.int64)
         return pa.RecordBatch.from_arrays(
             [pa.array(c.astype(k)) for c, k in zip(columns, kinds)] + [pa.array(np.full(len(columns[0]), long))], schema=schema
         )
@@ -302,7 +302,7 @@ def _scan(percent: int):
                 ok &= ((100 + percent) * room >= percent * (n[i] + n[j])) & (node[i] != node[j])
                 i, j = i[ok], j[ok]
                 i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
-                pairs.append((node[i], node[j], n[i], n[j]))
+                pairs.append((node[i], node[j], n[i], n[j], np.zeros(len(i))))
             if pairs:
                 yield batch_of([np.concatenate(x) for x in zip(*pairs)], False)
             begin = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
@@ -315,7 +315,7 @@ def _scan(percent: int):
                 start = over[place[over] == reach]
                 before = (start[:, None] - np.arange(1, reach + 1)[None, :]).ravel()
                 at = np.concatenate([before, over])
-                yield batch_of((token[at], node[at], n[at], pos[at]), True)
+                yield batch_of((token[at], node[at], n[at], pos[at], row["same"][at]), True)
             length = int(place[-1]) + 1
             carry = {k: v[max(int(begin[-1]), total - reach) :] for k, v in row.items()}
 
@@ -389,15 +389,16 @@ def _long_pairs(postings: DataFrame, groups: DataFrame, signed: DataFrame, perce
 
     Blocks grow by the threshold's ratio, so linked sizes fall into the same or
     neighbouring blocks. Position and a folded parity sketch are part of the
-    join condition.
+    join condition. Two sets meet in every list of a token they share; a list
+    leaves out those known to meet in an earlier one, in the common order.
     """
     folded = signed.select(F.col("id").alias("node"), "s0", "s1", "s2", "s3").dropDuplicates(["node"])
     rows = postings.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component")
     open_lists = rows.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("token")
     open_lists = materialize(open_lists, "open-lists")
     block = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
-    rows = rows.join(open_lists, "token", "left_semi").join(folded, "node").withColumn("block", block)
-    side = lambda p: [F.col(c).alias(f"{p}{c}") for c in ("node", "n", "pos", "g", "s0", "s1", "s2", "s3")]
+    rows = with_earlier(rows.join(open_lists, "token", "left_semi"), "token", "pos", "node", "same").join(folded, "node").withColumn("block", block)
+    side = lambda p: [F.col(c).alias(f"{p}{c}") for c in ("node", "n", "pos", "g", "s0", "s1", "s2", "s3", "earlier")]
     left = rows.select("token", "block", *side("l_"))
     right = rows.withColumn("block", F.explode(F.array(F.col("block"), F.col("block") - 1))).select("token", "block", *side("r_"))
     size = F.col("l_n") + F.col("r_n")
@@ -406,6 +407,7 @@ def _long_pairs(postings: DataFrame, groups: DataFrame, signed: DataFrame, perce
     fits = (
         (F.col("l_g") != F.col("r_g")) & (100 * F.least("l_n", "r_n") >= percent * F.greatest("l_n", "r_n"))
         & ((100 + percent) * room >= percent * size) & ((100 + percent) * (size - apart) >= 2 * percent * size)
+        & ~met_before("l_earlier", "r_earlier")
     )
     joined = left.join(right, ["token", "block"]).where(fits)
     return joined.select(F.least("l_node", "r_node").alias("a"), F.greatest("l_node", "r_node").alias("b")).distinct()
@@ -439,7 +441,7 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     frequent = np.sort(frequent.view(np.uint64))
     postings = texts.mapInArrow(_post(size, percent, frequent), "token long, node long, n int, pos int, same long")
     ordered = postings.repartition(width, "token").sortWithinPartitions("token", "n", "same", "node")
-    scanned = materialize(ordered.mapInArrow(_scan(percent), "a long, b long, na int, nb int, long boolean"), "scanned")
+    scanned = materialize(ordered.mapInArrow(_scan(percent), "a long, b long, na int, nb int, same long, long boolean"), "scanned")
 
     fresh = _across(scanned.where("not long").select("a", "b").distinct(), groups)
     pairs = materialize(_bounded(fresh, usable, percent), "pairs")
@@ -454,7 +456,7 @@ def jaccard_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     if not is_empty(rest):
         edges = edges.unionByName(materialize(_verified(texts, rest, size, percent), "edges"))
         groups = components(edges)
-    long = scanned.where("long").select(F.col("a").alias("token"), F.col("b").alias("node"), F.col("na").alias("n"), F.col("nb").alias("pos")).distinct()
+    long = scanned.where("long").select(F.col("a").alias("token"), F.col("b").alias("node"), F.col("na").alias("n"), F.col("nb").alias("pos"), "same").distinct()
     if not is_empty(long):
         rest = _long_pairs(long, groups, usable, percent)
         rest = rest.join(pairs.select("a", "b").distinct(), ["a", "b"], "left_anti")
