@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm import textbytes as tb
-from veilframe.llm.common import KeyFilter, components, is_empty, merged
+from veilframe.llm.common import KeyFilter, components, is_empty, merged, met_before, with_earlier
 from veilframe.session import materialize
 
 MIN_WORDS = 5
@@ -40,6 +40,7 @@ DISTANCE = 3
 SIMILARITY = 0.9
 NEIGHBOURS = 4  # next ones of a run that a node is paired with at once
 WINDOW = 64  # next ones of a run that are looked at for further candidates
+WIDE = 64  # words from which 64 parities are too few to tell lines apart
 SLOT_BITS = 18  # word counts are kept per slot of their hashes, one megabyte whatever the input
 _LANE = 1 << 15
 
@@ -110,10 +111,13 @@ def _lines(part: pa.RecordBatch):
     return doc, number, node.view(np.int64), hashes, bounds, starts, edges[1:], np.diff(bounds), data
 
 
-_OCCURRENCES = pa.schema([("id", pa.int64()), ("line", pa.int64()), ("node", pa.int64()), ("sim", pa.int64()), ("size", pa.int64())])
+_PARITIES = [f"s{i}" for i in range(4)]
+_OCCURRENCES = pa.schema([(n, pa.int64()) for n in ("id", "line", "node", "sim", "size", *_PARITIES)])
+
 
+def _occurrences(min_words: int, sketch, wide: int):
+    """A row per line; lines of ``wide`` words or more have a sketch too."""
 
-def _occurrences(min_words: int, sketch):
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
@@ -121,9 +125,11 @@ def _occurrences(min_words: int, sketch):
                 sim = sketch(hashes, bounds)
                 use = np.flatnonzero(np.diff(bounds) >= min_words)
                 ids = part.column("id").take(pa.array(doc[use]))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(number[use]), pa.array(node[use]), pa.array(sim[use].view(np.int64)), pa.array(size[use])], schema=_OCCURRENCES
-                )
+                short = size[use] < wide
+                odd = np.zeros((len(use), 4), np.int64)
+                odd[~short] = sketches(hashes, bounds, use[~short])
+                columns = [ids, pa.array(number[use]), pa.array(node[use]), pa.array(sim[use].view(np.int64)), pa.array(size[use])]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(odd[:, j], mask=short) for j in range(4)]], schema=_OCCURRENCES)
 
     return run
 
@@ -423,32 +429,23 @@ def sketches(hashes: np.ndarray, bounds: np.ndarray, use: np.ndarray) -> np.ndar
     return out
 
 
-_PARITIES = [f"s{i}" for i in range(4)]
-
-
-def _wanted_lines(docs: KeyFilter, forms: KeyFilter | None, parities: KeyFilter | None, min_words: int):
-    """(node, normal form, sketch) of the nodes that may be wanted, each once per task; only chosen documents are cut into words."""
-    schema = pa.schema([("node", pa.int64()), ("form", pa.string()), *[(n, pa.int64()) for n in _PARITIES]])
+def _wanted_lines(docs: KeyFilter, wanted: KeyFilter, min_words: int):
+    """(node, normal form) of the nodes that may be wanted, each once per task; only chosen documents are cut into words."""
+    schema = pa.schema([("node", pa.int64()), ("form", pa.string())])
 
     def run(batches):
         seen = set()
         for batch in batches:
             batch = batch.filter(pa.array(docs.holds(batch.column("id").to_numpy())))
             for part in tb.slices(batch, "text"):
-                _, _, node, hashes, bounds, starts, ends, _, data = _lines(part)
-                readable = forms.holds(node) if forms else np.zeros(len(node), bool)
-                compared = parities.holds(node) if parities else np.zeros(len(node), bool)
+                _, _, node, _, bounds, starts, ends, _, data = _lines(part)
                 use = []
-                for i in np.flatnonzero((np.diff(bounds) >= min_words) & (readable | compared)).tolist():
+                for i in np.flatnonzero((np.diff(bounds) >= min_words) & wanted.holds(node)).tolist():
                     if (n := int(node[i])) not in seen:
                         seen.add(n)
                         use.append(i)
-                use = np.array(use, np.int64)
-                texts = [normal_form(data[starts[i] : ends[i]].tobytes()) if readable[i] else None for i in use.tolist()]
-                odd = sketches(hashes, bounds, use)
-                none = ~compared[use]
-                columns = [pa.array(node[use]), pa.array(texts, pa.string()), *[pa.array(odd[:, j], mask=none) for j in range(4)]]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                texts = [normal_form(data[starts[i] : ends[i]].tobytes()) for i in use]
+                yield pa.RecordBatch.from_arrays([pa.array(node[np.array(use, np.int64)]), pa.array(texts, pa.string())], schema=schema)
 
     return run
 
@@ -467,17 +464,28 @@ def _verify(similarity: float):
     return run
 
 
-def _read_lines(texts: DataFrame, nodes: DataFrame, forms: DataFrame | None, parities: DataFrame | None, min_words: int) -> DataFrame:
-    """(node, form, sketch): forms of the nodes of one table, sketches of those of the other.
+def _read_lines(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
+    """(node, form) of the wanted nodes.
 
     Only documents that are the first of a wanted node are cut into words again.
     """
-    wanted = [w for w in (forms, parities) if w is not None]
-    wanted = wanted[0].unionByName(wanted[1]) if len(wanted) > 1 else wanted[0]
     docs = KeyFilter.of(nodes.join(wanted, "node", "left_semi"), "id")
-    keep = [None if w is None else KeyFilter.of(w, "node") for w in (forms, parities)]
-    found = texts.mapInArrow(_wanted_lines(docs, *keep, min_words), "node long, form string, " + ", ".join(f"{n} long" for n in _PARITIES))
-    return materialize(found.groupBy("node").agg(F.min("form").alias("form"), *[F.min(n).alias(n) for n in _PARITIES]), "forms")
+    found = texts.mapInArrow(_wanted_lines(docs, KeyFilter.of(wanted, "node"), min_words), "node long, form string")
+    return materialize(found.groupBy("node").agg(F.min("form").alias("form")), "forms")
+
+
+def _apart(left: str, right: str):
+    """Parities in which two sketches differ; null if a line has none."""
+    return sum(F.bit_count(F.col(f"{left}{n}").bitwiseXOR(F.col(f"{right}{n}"))) for n in _PARITIES)
+
+
+def _in_reach(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs whose sketches differ in at most twice the edits allowed; short lines have none and stay."""
+    side = lambda p, end: nodes.where("s0 is not null").select(F.col("node").alias(end), *[F.col(c).alias(f"{p}{c}") for c in ("size", *_PARITIES)])
+    both = pairs.join(side("l_", "a"), "a", "left").join(side("r_", "b"), "b", "left")
+    most = F.floor((1 - similarity) * F.greatest("l_size", "r_size") + 1e-9)
+    both = both.where(F.coalesce(_apart("l_", "r_") <= 2 * most, F.lit(True)))
+    return both.select("a", "b", F.coalesce(_apart("l_", "r_").cast("long"), "apart").alias("apart"))
 
 
 def _verified(forms: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
@@ -494,7 +502,7 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, similarity: float, min_words: int) -> DataFrame:
-    """(node, component) of those ``nodes`` (node, sim, size, id of a text that has it) that link to another.
+    """(node, component) of those ``nodes`` (node, sim, size, sketch, id of a text that has it) that link to another.
 
     Each node is verified against its closest candidate and one at random first.
     That joins most groups, and only candidates between different groups are
@@ -509,10 +517,11 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
         dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
     found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
     found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, size long, long boolean"), "candidates")
-    pairs = materialize(found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart")), "pairs")
+    pairs = found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart"))
+    pairs = materialize(_in_reach(pairs, nodes, similarity), "pairs")
     long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), F.col("apart").alias("sim"), "size").distinct()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    forms = _read_lines(texts, nodes, ends, long.select("node"), min_words)
+    forms = _read_lines(texts, nodes, ends, min_words)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
     any_one = F.struct(F.xxhash64("a", "b").alias("hash"), "b")
     best = both.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("near"), F.min(any_one).alias("any"))
@@ -524,9 +533,9 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
     if not is_empty(rest):
         groups = merged(groups, _verified(forms, rest, similarity), "line-groups")
     if not is_empty(long):
-        rest = materialize(_long_pairs(long, forms, groups, distance, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
+        rest = materialize(_long_pairs(long, nodes, groups, distance, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
         if not is_empty(rest):
-            forms = _read_lines(texts, nodes, rest.select(F.explode(F.array("a", "b")).alias("node")), None, min_words)
+            forms = _read_lines(texts, nodes, rest.select(F.explode(F.array("a", "b")).alias("node")), min_words)
             groups = merged(groups, _verified(forms, rest, similarity), "line-groups")
     return groups
 
@@ -534,20 +543,23 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
 def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distance: int | None, similarity: float) -> DataFrame:
     """Exact rest of runs: pairs between groups beyond the next neighbours, joined per band of sizes.
 
-    Sketches that differ in more than twice the edits allowed rule a pair out.
+    Sketches that differ in more than twice the edits allowed rule a pair out. Two
+    nodes meet in every run they share; a run leaves out those known to meet in
+    an earlier one.
     """
     rows = materialize(long.join(groups, "node", "left").withColumn("g", F.coalesce("component", "node")).drop("component"), "runs")
     open_runs = materialize(rows.groupBy("run").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("run"), "open-runs")
     band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / float(np.log(1 / similarity)) + 1e-9).cast("int")
-    rows = rows.join(open_runs, "run", "left_semi").withColumn("band", band).join(sketched.select("node", *_PARITIES), "node")
-    kept = ("node", "sim", "size", "g", *_PARITIES)
+    rows = with_earlier(rows.join(open_runs, "run", "left_semi"), "run", "run", "node").withColumn("band", band)
+    rows = rows.join(sketched.select("node", *_PARITIES), "node")
+    kept = ("node", "sim", "size", "g", "earlier", *_PARITIES)
     left = rows.select("run", "band", *[F.col(c).alias(f"l_{c}") for c in kept])
     right = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     right = right.select("run", "band", *[F.col(c).alias(f"r_{c}") for c in kept])
     most = F.floor((1 - similarity) * F.greatest("l_size", "r_size") + 1e-9)
     near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= (2 * most if distance is None else distance)
     near &= (F.abs(F.col("l_size") - F.col("r_size")) <= most) & (F.col("l_g") != F.col("r_g")) & (F.col("l_node") < F.col("r_node"))
-    near &= sum(F.bit_count(F.col(f"l_{n}").bitwiseXOR(F.col(f"r_{n}"))) for n in _PARITIES) <= 2 * most
+    near &= F.coalesce(_apart("l_", "r_") <= 2 * most, F.lit(True)) & ~met_before("l_earlier", "r_earlier")
     joined = left.join(right, ["run", "band"]).where(near)
     return joined.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()
 
@@ -581,8 +593,9 @@ def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     if distance is not None and not 1 <= distance <= 7:
         raise ValueError("distance must be between 1 and 7 bits")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    occurrences = materialize(texts.mapInArrow(_occurrences(min_words, parities if distance is None else simhash), "id long, line long, node long, sim long, size long"), "occurrences")
-    nodes = occurrences.groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"))
+    read = _occurrences(min_words, parities, WIDE) if distance is None else _occurrences(min_words, simhash, min_words)
+    occurrences = materialize(texts.mapInArrow(read, ", ".join(f"{n} long" for n in _OCCURRENCES.names)), "occurrences")
+    nodes = occurrences.groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"), *[F.max(n).alias(n) for n in _PARITIES])
     nodes = materialize(nodes, "nodes")
     groups = line_groups(texts, nodes.where(F.col("size") >= least_size(similarity)).drop("held"), distance, similarity, min_words)
     alone = nodes.where("held > 1").join(groups, "node", "left_anti").select("node", F.col("node").alias("component"), F.col("id").alias("first"))
