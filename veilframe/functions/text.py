@@ -77,19 +77,24 @@ def _class(chars: Sequence[str], gap: int = 48) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}" + (f"-\\x{{{b:x}}}" if b > a else "") for a, b in ranges) + "]"
 
 
-def _spelled_out(value: Column, table: dict[str, str]) -> Column:
-    """Each of the table's characters replaced by its text; other values are not even cut up."""
-    some = _class(table)
-    known = literal_map(table)
-    return F.when(value.rlike(some), splice(value, some, lambda c: F.coalesce(F.try_element_at(known, c), c))).otherwise(value)
-
-
 NOT_ASCII = "[^\\x00-\\x7F]"
 
 
 def _folded(value: Column, caseless: bool) -> Column:
+    """Each character beyond ASCII replaced by what is left of it, which holds no character that is replaced.
+
+    The tables are searched once for each different character of a value, not at each place.
+    """
     source, target, many = _folding(caseless)
-    return let(value, lambda v: F.translate(_spelled_out(v, many), source, target))
+    some, known = _class(many), literal_map(many)
+
+    def plain(c: Column) -> Column:
+        return F.translate(F.when(c.rlike(some), F.coalesce(F.try_element_at(known, c), c)).otherwise(c), source, target)
+
+    def put(text: Column, c: Column) -> Column:
+        return let(plain(c), lambda p: F.when(p == c, text).otherwise(F.replace(text, c, p)))
+
+    return let(value, lambda v: F.aggregate(F.array_distinct(F.regexp_extract_all(v, F.lit(NOT_ASCII), F.lit(0))), v, put))
 
 
 def strip_diacritics(value: Column) -> Column:
