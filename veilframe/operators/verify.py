@@ -110,17 +110,17 @@ def word_residue(df: DataFrame, words: list[str], columns: list[str] | None = No
 
 
 def text_cells(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct texts of several columns with the number of cells that hold each."""
+    """``rid, text, copies``: distinct texts of several columns, dealt by their digest, with the number of cells that hold each."""
     cells = df.select(F.explode(F.array(*[F.col(c).cast("string") for c in columns])).alias("text"))
-    return cells.where(F.col("text").isNotNull()).groupBy("text").agg(F.count("*").alias("copies"))
+    keyed = cells.where(F.col("text").isNotNull()).withColumn("rid", F.sha2("text", 256))
+    return keyed.groupBy("rid").agg(F.min("text").alias("text"), F.count("*").alias("copies"))
 
 
 def occurrences(cells: DataFrame, dictionary: DataFrame, match: D.Match = D.MAP_SCRUB) -> DataFrame:
     """``kind, occurrences`` of dictionary entries: whole cells and embedded ones."""
     prepared = D.prepare(dictionary, match)
-    keyed = cells.withColumn("rid", F.sha2("text", 256))
-    maps = D.entry_map(D.found_entries(keyed, "rid", "text", prepared, match), "rid")
-    hits = keyed.join(maps, "rid")
+    maps = D.entry_map(D.found_entries(cells, "rid", "text", prepared, match), "rid")
+    hits = cells.join(maps, "rid")  # the cells lie by rid already and are not moved again
     whole = F.map_contains_key("entries", D.fold(F.trim("text"), match))
     counted = hits.select(
         F.when(whole, "whole_cell").otherwise("embedded").alias("kind"),
