@@ -54,6 +54,25 @@ def test_far_long_lines_are_not_compared(spark, monkeypatch):
     assert sum(asked) < 200
 
 
+def test_far_long_lines_are_not_written(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(2000)]
+    rows = [(i, " ".join(rng.choices(words, k=150))) for i in range(200)]
+    rows += [(1000 + i, " ".join(w if rng.random() > 0.02 else "other" for w in rows[i][1].split())) for i in range(20)]
+    written, materialize = [], fuzzy_lines.materialize
+
+    def counted(df, name):
+        out = materialize(df, name)
+        if name == "candidates":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzy_lines, "materialize", counted)
+    got = fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), distance=None).where("text = ''").collect()
+    assert {r.doc_id for r in got} == {1000 + i for i in range(20)}
+    assert sum(written) < 20 * 16 + 50  # a pair at most once a key that it shares
+
+
 def test_groups_are_tables(spark):
     """What the stages use several times is read, not planned again each time."""
     links = spark.createDataFrame([(1, 2), (2, 3), (7, 9)], "a long, b long")

@@ -10,7 +10,8 @@ the first (document, line) stays. Candidates come from one of two indexes:
   apart have all but k words in common, so of each node only its k + 1 rarest
   words (with their number of occurrence in the line) are indexed: any two that
   link share one of them. How rare a word is decides the cost, never the result.
-  Pairs are left early by length and word parities, true lower bounds of the edits.
+  Pairs are left early by length and 128 word parities, true lower bounds of the
+  edits; the parities travel with the index, so far pairs are never written.
 * *SimHash* (``distance`` bits). Only nodes whose 64-bit SimHashes are that close
   are compared at all, so pairs that the edit similarity would accept are lost.
   Such nodes agree on at least one of ``distance + 1`` blocks (pigeonhole), and
@@ -40,7 +41,8 @@ DISTANCE = 3
 SIMILARITY = 0.9
 NEIGHBOURS = 4  # next ones of a run that a node is paired with at once
 WINDOW = 64  # next ones of a run that are looked at for further candidates
-WIDE = 64  # words from which 64 parities are too few to tell lines apart
+REACH = 1024  # the same in a run of a word, where only nodes of like size are looked at
+WIDE = 224  # words from which 128 parities are too few to tell lines apart
 SLOT_BITS = 18  # word counts are kept per slot of their hashes, one megabyte whatever the input
 _LANE = 1 << 15
 
@@ -84,10 +86,14 @@ def simhash(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Per line (words ``bounds[i]`` to ``bounds[i + 1]``) of which of 64 classes of words it has an odd number; an edit changes at most two."""
-    sums = np.append(np.uint64(0), np.bitwise_xor.accumulate(np.uint64(1) << (hashes >> np.uint64(58))))
-    return sums[bounds[1:]] ^ sums[bounds[:-1]]
+def parities(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per line (words ``bounds[i]`` to ``bounds[i + 1]``) of which of 128 classes of words it has an odd number, in two longs; an edit changes at most two."""
+    half, slot = hashes >> np.uint64(57) & np.uint64(1), np.uint64(1) << (hashes >> np.uint64(58))
+    out = []
+    for which in (0, 1):
+        sums = np.append(np.uint64(0), np.bitwise_xor.accumulate(np.where(half == which, slot, np.uint64(0))))
+        out.append(sums[bounds[1:]] ^ sums[bounds[:-1]])
+    return out[0], out[1]
 
 
 def _lines(part: pa.RecordBatch):
@@ -116,13 +122,13 @@ _OCCURRENCES = pa.schema([(n, pa.int64()) for n in ("id", "line", "node", "sim",
 
 
 def _occurrences(min_words: int, sketch, wide: int):
-    """A row per line; lines of ``wide`` words or more have a sketch too."""
+    """A row per line, with its SimHash if ``sketch`` makes one; lines of ``wide`` words or more have a sketch of parities too."""
 
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 doc, number, node, hashes, bounds, _, _, size, _ = _lines(part)
-                sim = sketch(hashes, bounds)
+                sim = sketch(hashes, bounds) if sketch else np.zeros(len(node), np.uint64)
                 use = np.flatnonzero(np.diff(bounds) >= min_words)
                 ids = part.column("id").take(pa.array(doc[use]))
                 short = size[use] < wide
@@ -189,19 +195,22 @@ def rarest(hashes: np.ndarray, counts: np.ndarray, held: np.ndarray, similarity:
 
     A word's second occurrence in a line is another word than its first.
     """
-    owner = np.repeat(np.arange(len(counts)), counts)
-    order = np.lexsort((hashes, owner))
-    words, owner = hashes[order], owner[order]
+    # A narrow owner and a narrow count are sorted by their digits, in one pass over the words each.
+    owner = np.repeat(np.arange(len(counts), dtype=np.uint16 if len(counts) < 1 << 16 else np.int64), counts)
+    order = np.argsort(hashes)
+    order = order[np.argsort(owner[order], kind="stable")]
+    words = hashes[order]  # owners stay as they are: each has its words in the same places
     fresh = np.append(True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1]))[: len(words)]
     nth = np.arange(len(words)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(words) else np.zeros(0, np.int64)
-    keys = tb.mix(words + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    order = np.lexsort((keys, held[(words >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], owner))
+    # One order of words for all lines: how often, then the hash, then which occurrence.
+    order = np.argsort(held[(words >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
+    order = order[np.argsort(owner[order], kind="stable")]
     rank = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
-    chosen = order[rank <= allowed(counts, similarity)[owner]]
-    return owner[chosen], keys[chosen]
+    chosen = order[rank <= np.repeat(allowed(counts, similarity), counts)]
+    return owner[chosen].astype(np.int64), tb.mix(words[chosen] + nth[chosen].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-_DEALT = pa.schema([("bucket", pa.int64()), ("node", pa.int64()), ("sim", pa.int64()), ("size", pa.int64())])
+_DEALT = pa.schema([(n, pa.int64()) for n in ("bucket", "node", "sim", "odd", "size")])
 
 
 def _deal_rarest(held: np.ndarray, similarity: float, min_words: int):
@@ -222,19 +231,19 @@ def _deal_rarest(held: np.ndarray, similarity: float, min_words: int):
                 counts = size[use]
                 inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
                 line, keys = rarest(hashes[np.repeat(bounds[use], counts) + inner], counts, held, similarity)
-                sim = parities(hashes, bounds)[use]
-                columns = [keys.view(np.int64), node[use][line], sim.view(np.int64)[line], counts[line]]
+                even, odd = (x[use].view(np.int64)[line] for x in parities(hashes, bounds))
+                columns = [keys.view(np.int64), node[use][line], even, odd, counts[line]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_DEALT)
 
     return run
 
 
-# A pair (a, b, bits apart), or with ``long`` a node with candidates further on in its run: (run, node, simhash, size).
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("apart", pa.int64()), ("size", pa.int64()), ("long", pa.bool_())])
+# A pair (a, b, bits apart), or with ``long`` a node with candidates further on in its run: (run, node, simhash or parities, more parities, size).
+_PAIRS = pa.schema([*[(n, pa.int64()) for n in ("a", "b", "apart", "odd", "size")], ("long", pa.bool_())])
 
 
-def _rows(a, b, apart, size, long: bool) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a, b, apart, size)] + [pa.array(np.full(len(a), long))], schema=_PAIRS)
+def _rows(a, b, apart, odd, size, long: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (a, b, apart, odd, size)] + [pa.array(np.full(len(a), long))], schema=_PAIRS)
 
 
 def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Iterator[pa.RecordBatch]:
@@ -274,64 +283,66 @@ def _compare(bucket, node, sim, size, distance: int, similarity: float) -> Itera
             ok = (apart <= distance) & (z[at + d] - z[at] <= most) & (most >= 1)
             at, apart = at[ok], apart[ok]
             if d <= NEIGHBOURS:
-                a, b = n[at], n[at + d]
-                yield _rows(np.minimum(a, b), np.maximum(a, b), apart, np.zeros(len(at)), False)
+                a, b, none = n[at], n[at + d], np.zeros(len(at))
+                yield _rows(np.minimum(a, b), np.maximum(a, b), apart, none, none, False)
             else:
                 far[at] = far[at + d] = True
         far |= _beyond(k, z, similarity)
         if far.any():
-            yield _rows(k[far].view(np.int64), n[far], s[far].view(np.int64), z[far], True)
+            yield _rows(k[far].view(np.int64), n[far], s[far].view(np.int64), np.zeros(far.sum()), z[far], True)
 
 
-def _compare_rarest(bucket, node, sim, size, similarity: float) -> Iterator[pa.RecordBatch]:
+def _compare_rarest(bucket, node, even, odd, size, similarity: float) -> Iterator[pa.RecordBatch]:
     """Pairs of neighbours that may be similar, and nodes with candidates further on: sort by size, look ahead.
 
     Forms whose lengths differ by more than the edits allowed cannot be similar;
     different forms need at least one edit, and an edit changes two parities.
     """
     order = np.lexsort((node, size, bucket))
-    k, n, s, z = bucket[order], node[order], sim[order], size[order]
+    k, n, z = bucket[order], node[order], size[order]
     once = np.append(True, (k[1:] != k[:-1]) | (n[1:] != n[:-1]))  # tasks may have dealt the same node
-    k, n, s, z = k[once], n[once], s[once], z[once]
-    together = k[1:] == k[:-1]
+    together = k[once][1:] == k[once][:-1]
     paired = np.append(together, False) | np.append(False, together)  # alone in a list: no pair
-    k, n, s, z = k[paired], n[paired], s[paired], z[paired]
-    if not len(k):
+    order = order[once][paired]
+    if not len(order):
         return
+    k, n, s, o, z = bucket[order], node[order], even[order], odd[order], size[order]
+    edits = allowed(z, similarity)
     far = np.zeros(len(k), bool)
     same = np.arange(len(k))
-    for d in range(1, min(WINDOW, len(k) - 1) + 1):
+    for d in range(1, min(REACH, len(k) - 1) + 1):
         same = same[: np.searchsorted(same, len(k) - d)]
-        same = at = same[k[same + d] == k[same]]
+        # A node that the size rules out rules out all after it.
+        same = at = same[(k[same + d] == k[same]) & (z[same + d] - z[same] <= edits[same + d])]
         if not len(at):
             break
-        apart = np.bitwise_count(s[at] ^ s[at + d])
-        most = allowed(z[at + d], similarity)
-        ok = (apart <= 2 * most) & (z[at + d] - z[at] <= most) & (most >= 1)
+        apart = np.bitwise_count(s[at] ^ s[at + d]) + np.bitwise_count(o[at] ^ o[at + d])
+        ok = (apart <= 2 * edits[at + d]) & (edits[at + d] >= 1)
         at, apart = at[ok], apart[ok]
         if d <= NEIGHBOURS:
-            a, b = n[at], n[at + d]
-            yield _rows(np.minimum(a, b), np.maximum(a, b), apart, np.zeros(len(at)), False)
+            a, b, none = n[at], n[at + d], np.zeros(len(at))
+            yield _rows(np.minimum(a, b), np.maximum(a, b), apart, none, none, False)
         else:
             far[at] = far[at + d] = True
-    far |= _beyond(k, z, similarity)
+    far |= _beyond(k, z, similarity, REACH)
     if far.any():
-        yield _rows(k[far], n[far], s[far].view(np.int64), z[far], True)
+        yield _rows(k[far], n[far], s[far].view(np.int64), o[far].view(np.int64), z[far], True)
 
 
-def _beyond(run, size, similarity: float) -> np.ndarray:
-    """Nodes, sorted by run and size, whose sizes let them pair with one more than ``WINDOW`` places away."""
+def _beyond(run, size, similarity: float, window: int | None = None) -> np.ndarray:
+    """Nodes, sorted by run and size, whose sizes let them pair with one more than ``window`` (``WINDOW``) places away."""
+    window = window or WINDOW
     out = np.zeros(len(run) + 1, np.int64)
     first = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
     last = np.append(first[1:], len(run))
-    wide = last - first > WINDOW + 1
+    wide = last - first > window + 1
     for i, j in zip(first[wide].tolist(), last[wide].tolist()):
         # Nodes up to this place are short enough to reach; sizes less their edits never fall.
         reach = i + np.searchsorted(size[i:j] - allowed(size[i:j], similarity), size[i:j], "right")
-        here = np.flatnonzero(reach > np.arange(i, j) + WINDOW + 1) + i
+        here = np.flatnonzero(reach > np.arange(i, j) + window + 1) + i
         out[here] += 1
         out[here + 1] -= 1
-        np.add.at(out, here + WINDOW + 1, 1)
+        np.add.at(out, here + window + 1, 1)
         np.add.at(out, reach[here - i], -1)
     return np.cumsum(out)[:-1] > 0
 
@@ -351,12 +362,13 @@ def least_size(similarity: float) -> int:
 
 def _buckets(distance: int | None, similarity: float, most: int = 1 << 16):
     """Rows sorted by bucket, handed on as whole buckets, many small ones at once."""
-    names = ("bucket", "node", "sim", "size")
+    names = tuple(_DEALT.names) if distance is None else ("bucket", "node", "sim", "size")
 
     def compare(columns):
-        bucket, node, sim, size = columns
         if distance is None:
-            return _compare_rarest(bucket, node, sim.view(np.uint64), size, similarity)
+            bucket, node, even, odd, size = columns
+            return _compare_rarest(bucket, node, even.view(np.uint64), odd.view(np.uint64), size, similarity)
+        bucket, node, sim, size = columns
         return _compare(bucket, node, sim.view(np.uint64), size, distance, similarity)
 
     def run(batches):
@@ -512,14 +524,14 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     if distance is None:
         least = max(min_words, least_size(similarity))
-        dealt = texts.mapInArrow(_deal_rarest(word_counts(texts, least), similarity, least), "bucket long, node long, sim long, size long")
+        dealt = texts.mapInArrow(_deal_rarest(word_counts(texts, least), similarity, least), "bucket long, node long, sim long, odd long, size long")
     else:
         dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
     found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
-    found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, size long, long boolean"), "candidates")
+    found = materialize(found.mapInArrow(_buckets(distance, similarity), "a long, b long, apart long, odd long, size long, long boolean"), "candidates")
     pairs = found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart"))
     pairs = materialize(_in_reach(pairs, nodes, similarity), "pairs")
-    long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), F.col("apart").alias("sim"), "size").distinct()
+    long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), F.col("apart").alias("sim"), "odd", "size").distinct()
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     forms = _read_lines(texts, nodes, ends, min_words)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
@@ -551,13 +563,14 @@ def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distanc
     open_runs = materialize(rows.groupBy("run").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high").select("run"), "open-runs")
     band = F.floor(F.log(F.greatest("size", F.lit(1)).cast("double")) / float(np.log(1 / similarity)) + 1e-9).cast("int")
     rows = with_earlier(rows.join(open_runs, "run", "left_semi"), "run", "run", "node").withColumn("band", band)
-    rows = rows.join(sketched.select("node", *_PARITIES), "node")
-    kept = ("node", "sim", "size", "g", "earlier", *_PARITIES)
+    rows = rows.join(sketched.where("s0 is not null").select("node", *_PARITIES), "node", "left")
+    kept = ("node", "sim", "odd", "size", "g", "earlier", *_PARITIES)
     left = rows.select("run", "band", *[F.col(c).alias(f"l_{c}") for c in kept])
     right = rows.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     right = right.select("run", "band", *[F.col(c).alias(f"r_{c}") for c in kept])
     most = F.floor((1 - similarity) * F.greatest("l_size", "r_size") + 1e-9)
-    near = F.bit_count(F.col("l_sim").bitwiseXOR(F.col("r_sim"))) <= (2 * most if distance is None else distance)
+    bits = [F.bit_count(F.col(f"l_{n}").bitwiseXOR(F.col(f"r_{n}"))) for n in ("sim", "odd")]
+    near = bits[0] + bits[1] <= (2 * most if distance is None else distance)
     near &= (F.abs(F.col("l_size") - F.col("r_size")) <= most) & (F.col("l_g") != F.col("r_g")) & (F.col("l_node") < F.col("r_node"))
     near &= F.coalesce(_apart("l_", "r_") <= 2 * most, F.lit(True)) & ~met_before("l_earlier", "r_earlier")
     joined = left.join(right, ["run", "band"]).where(near)
@@ -593,7 +606,7 @@ def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     if distance is not None and not 1 <= distance <= 7:
         raise ValueError("distance must be between 1 and 7 bits")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    read = _occurrences(min_words, parities, WIDE) if distance is None else _occurrences(min_words, simhash, min_words)
+    read = _occurrences(min_words, None, WIDE) if distance is None else _occurrences(min_words, simhash, min_words)
     occurrences = materialize(texts.mapInArrow(read, ", ".join(f"{n} long" for n in _OCCURRENCES.names)), "occurrences")
     nodes = occurrences.groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"), *[F.max(n).alias(n) for n in _PARITIES])
     nodes = materialize(nodes, "nodes")
