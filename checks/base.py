@@ -28,8 +28,8 @@ def query(name: str, sql: str | None = None):
 SMALL = ("region", "nation", "supplier", "benchmark", "labels")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan(spark, f"{sf_dir}/{name}.parquet", spread=name not in SMALL)
+def table(spark: SparkSession, sf_dir: str, name: str, tasks_per_split: int = 1) -> DataFrame:
+    return scan(spark, f"{sf_dir}/{name}.parquet", spread=name not in SMALL, tasks_per_split=tasks_per_split)
 
 
 # Invented names spelled from a key: the same expression in both dialects.

@@ -449,7 +449,7 @@ def compound_ids(spark, sf_dir):
     """Compound ids that embed another id of the row keep that id's fake."""
     from veilframe.operators.rowhints import atomic_ids, compound_id
 
-    rows = table(spark, sf_dir, "orders").select(
+    rows = table(spark, sf_dir, "orders", tasks_per_split=8).select(
         "o_orderkey", F.concat(F.lit("CU"), F.lpad(F.col("o_custkey").cast("string"), 6, "0")).alias("customer")
     ).withColumn("number", F.concat_ws("_", "customer", F.concat(F.lit("PO"), F.col("o_orderkey").cast("string"))))
     faked = rows.withColumn("customer_fake", G.fake_id(F.col("customer")))

@@ -254,3 +254,18 @@ def test_incremental_copy_survives_a_repeated_batch(spark, tmp_path):
     job.process(second, 1)
     assert {r["id"]: (r["fullname"], r["company"]) for r in spark.read.parquet(job.output()).collect()} == once
     assert job.entity_map().count() == 6
+
+
+def test_splits_of_heavy_rows_are_cut_finer(spark, tmp_path):
+    from checks.expressions import compound_ids
+
+    rows = spark.range(600).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"))
+    path = str(tmp_path / "orders.parquet")
+    rows.repartition(24).write.parquet(path)
+    splits, cores = spark.read.parquet(path).rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    assert splits >= cores  # enough of them that the plain scan leaves them as they are
+    assert S.scan(spark, path, spread=True).rdd.getNumPartitions() == splits
+    assert S.scan(spark, path, spread=True, tasks_per_split=3).rdd.getNumPartitions() == 3 * splits
+    found = compound_ids(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() >= 8 * splits
+    assert {r.o_orderkey for r in found.collect()} == set(range(600)) and found.count() == 600

@@ -18,13 +18,16 @@ def scan(
     order_by: list[str] | None = None,
     fmt: str = "parquet",
     spread: bool = False,
+    tasks_per_split: int = 1,
     **options,
 ) -> DataFrame:
     """Table scan with projection and an optional row budget.
 
     ``spread`` redistributes the rows when the files give fewer splits than
     there are cores, which is what CPU-heavy work on a small table needs. A
-    table with enough splits is never shuffled.
+    table with enough splits is never shuffled, unless ``tasks_per_split`` cuts
+    each finer: a split may hold millions of rows, which is too much for one task
+    where a row costs much.
 
     ``limit`` may be a number, or ``all``/``complete``/``full``/None for no
     budget. With ``order_by`` the budget takes the same rows every time, as a
@@ -35,8 +38,9 @@ def scan(
         df = df.select(*columns)
     if spread:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
+        splits = df.rdd.getNumPartitions()
+        if splits < cores or tasks_per_split > 1:
+            df = df.repartition(max(cores, splits * tasks_per_split))
     return take(df, limit, order_by)
 
 
