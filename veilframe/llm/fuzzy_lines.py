@@ -26,6 +26,7 @@ partial aggregation, so a line that a third of all documents hold is no problem.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ WINDOW = 64  # next ones of a run that are looked at for further candidates
 REACH = 1024  # the same in a run of a word, where only nodes of like size are looked at
 WIDE = 224  # words from which 128 parities are too few to tell lines apart
 SLOT_BITS = 18  # word counts are kept per slot of their hashes, one megabyte whatever the input
+PIECE = 1 << 12  # slots whose counts travel in one row
 _LANE = 1 << 15
 
 FOLDED = tb.LOWER.copy()
@@ -102,8 +104,10 @@ def _lines(part: pa.RecordBatch):
     The size is the number of words.
     """
     data, offsets = tb.flat(part.column("text"))
-    breaks = np.flatnonzero(data == 10) + 1
-    starts = np.union1d(offsets[:-1][np.diff(offsets) > 0], breaks[np.isin(breaks, offsets, invert=True)])
+    begins = np.append(False, data == 10)
+    begins[offsets] = False
+    begins[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begins)
     # A text that ends in a line break has one more, empty line; it never counts as a line with words.
     edges = np.append(starts, len(data))
     doc = np.searchsorted(offsets, starts, "right") - 1
@@ -118,13 +122,18 @@ def _lines(part: pa.RecordBatch):
 
 
 _PARITIES = [f"s{i}" for i in range(4)]
-_OCCURRENCES = pa.schema([(n, pa.int64()) for n in ("id", "line", "node", "sim", "size", *_PARITIES)])
+_OCCURRENCES = pa.schema([*[(n, pa.int64()) for n in ("id", "line", "node", "sim", "size", *_PARITIES)], ("counts", pa.binary())])
 
 
-def _occurrences(min_words: int, sketch, wide: int):
-    """A row per line, with its SimHash if ``sketch`` makes one; lines of ``wide`` words or more have a sketch of parities too."""
+def _occurrences(min_words: int, sketch, wide: int, least: int | None = None):
+    """A row per line, with its SimHash if ``sketch`` makes one; lines of ``wide`` words or more have a sketch of parities too.
+
+    With ``least``, rows without a node follow: how many words of lines of so many
+    words or more fell into the slots of piece ``line``.
+    """
 
     def run(batches):
+        total = np.zeros(1 << SLOT_BITS if least is not None else 0, np.int64)
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 doc, number, node, hashes, bounds, _, _, size, _ = _lines(part)
@@ -135,7 +144,14 @@ def _occurrences(min_words: int, sketch, wide: int):
                 odd = np.zeros((len(use), 4), np.int64)
                 odd[~short] = sketches(hashes, bounds, use[~short])
                 columns = [ids, pa.array(number[use]), pa.array(node[use]), pa.array(sim[use].view(np.int64)), pa.array(size[use])]
-                yield pa.RecordBatch.from_arrays([*columns, *[pa.array(odd[:, j], mask=short) for j in range(4)]], schema=_OCCURRENCES)
+                columns += [*[pa.array(odd[:, j], mask=short) for j in range(4)], pa.nulls(len(use), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=_OCCURRENCES)
+                if least is not None:
+                    counted = hashes[np.repeat(size >= least, size)]
+                    total += np.bincount((counted >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(total))
+        pieces = [(i, x.astype(np.min_scalar_type(x.max())).tobytes()) for i, x in enumerate(total.reshape(-1, PIECE)) if x.any()]
+        columns = {"line": pa.array([i for i, _ in pieces], pa.int64()), "counts": pa.array([x for _, x in pieces], pa.binary())}
+        yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(pieces), f.type)) for f in _OCCURRENCES], schema=_OCCURRENCES)
 
     return run
 
@@ -165,28 +181,21 @@ def _deal(distance: int):
     return run
 
 
-def _count_words(min_words: int):
-    """(slot of the hash, words) of the lines that may be near others."""
-    schema = pa.schema([("slot", pa.int64()), ("words", pa.int64())])
+def _add_up(batches):
+    """(piece, counts) of whole pieces, each piece's counts in one row."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for piece, counts in zip(batch.column("line").to_pylist(), batch.column("counts").to_pylist()):
+            total[piece] = total.get(piece, 0) + np.frombuffer(counts, f"u{len(counts) // PIECE}").astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["line", "counts"])
 
-    def run(batches):
-        total = np.zeros(1 << SLOT_BITS, np.int64)
-        for batch in batches:
-            for part in tb.slices(batch, "text"):
-                _, _, _, hashes, bounds, *_ = _lines(part)
-                use = np.repeat(np.diff(bounds) >= min_words, np.diff(bounds))
-                total += np.bincount((hashes[use] >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(total))
-        slots = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(total[slots])], schema=schema)
 
-    return run
-
-
-def word_counts(texts: DataFrame, min_words: int) -> np.ndarray:
+def word_counts(occurrences: DataFrame, width: int) -> np.ndarray:
     """How many words fall into each slot; a fixed number of counts reaches the driver."""
     out = np.zeros(1 << SLOT_BITS, np.int32)
-    counted = texts.mapInArrow(_count_words(min_words), "slot long, words long").groupBy("slot").agg(F.sum("words").alias("words")).toPandas()
-    out[counted["slot"].to_numpy(np.int64)] = np.minimum(counted["words"].to_numpy(np.int64), np.iinfo(np.int32).max)
+    pieces = occurrences.where("counts is not null").select("line", "counts").repartition(min(width, (1 << SLOT_BITS) // PIECE), "line")
+    for row in pieces.mapInArrow(_add_up, "line long, counts binary").collect():
+        out[row.line * PIECE : (row.line + 1) * PIECE] = np.minimum(np.frombuffer(bytes(row.counts), np.int64), np.iinfo(np.int32).max)
     return out
 
 
@@ -195,19 +204,20 @@ def rarest(hashes: np.ndarray, counts: np.ndarray, held: np.ndarray, similarity:
 
     A word's second occurrence in a line is another word than its first.
     """
-    # A narrow owner and a narrow count are sorted by their digits, in one pass over the words each.
-    owner = np.repeat(np.arange(len(counts), dtype=np.uint16 if len(counts) < 1 << 16 else np.int64), counts)
-    order = np.argsort(hashes)
-    order = order[np.argsort(owner[order], kind="stable")]
-    words = hashes[order]  # owners stay as they are: each has its words in the same places
-    fresh = np.append(True, (words[1:] != words[:-1]) | (owner[1:] != owner[:-1]))[: len(words)]
-    nth = np.arange(len(words)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(words) else np.zeros(0, np.int64)
-    # One order of words for all lines: how often, then the hash, then which occurrence.
-    order = np.argsort(held[(words >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")
-    order = order[np.argsort(owner[order], kind="stable")]
-    rank = np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
+    # One order of words for all lines: how often, about, then the hash; the same words of a line come together.
+    often = (held.astype(np.float32).view(np.uint32) >> np.uint32(15))[(hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)].astype(np.uint64)
+    owner = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    key = owner << np.uint64(48) | often << np.uint64(32) | hashes >> np.uint64(32)
+    order = np.argsort(key)
+    twin = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    if len(counts) > 1 << 16 or (hashes[order[twin]] != hashes[order[twin + 1]]).any():  # the key does not tell all words and lines apart
+        order = np.lexsort((hashes, often, owner))
+    rank = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)  # each line has its words in the same places
     chosen = order[rank <= np.repeat(allowed(counts, similarity), counts)]
-    return owner[chosen].astype(np.int64), tb.mix(words[chosen] + nth[chosen].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    line, words = owner[chosen].astype(np.int64), hashes[chosen]
+    fresh = np.append(True, (words[1:] != words[:-1]) | (line[1:] != line[:-1]))[: len(words)]
+    nth = np.arange(len(words)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1] if len(words) else np.zeros(0, np.int64)
+    return line, tb.mix(words + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 _DEALT = pa.schema([(n, pa.int64()) for n in ("bucket", "node", "sim", "odd", "size")])
@@ -372,51 +382,80 @@ def _buckets(distance: int | None, similarity: float, most: int = 1 << 16):
         return _compare(bucket, node, sim.view(np.uint64), size, distance, similarity)
 
     def run(batches):
-        held: list[tuple[np.ndarray, ...]] = []
-        rows = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(tuple(batch.column(n).to_numpy() for n in names))
-            rows += batch.num_rows
-            if rows < most:
-                continue
-            whole = [np.concatenate(x) for x in zip(*held)]
-            cut = int(np.searchsorted(whole[0], whole[0][-1]))
-            if cut:
-                yield from compare([c[:cut] for c in whole])
-            held, rows = [tuple(c[cut:] for c in whole)], 0
-        if held:
-            yield from compare([np.concatenate(x) for x in zip(*held)])
+        for columns in _whole(batches, names, most):
+            yield from compare(columns)
 
     return run
 
 
+def _whole(batches, names: tuple[str, ...], most: int = 1 << 16) -> Iterator[list[np.ndarray]]:
+    """These columns of rows sorted by the first of them, which never has one value in two yields; many values at once."""
+    held: list[tuple[np.ndarray, ...]] = []
+    rows = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(tuple(batch.column(n).to_numpy() for n in names))
+        rows += batch.num_rows
+        if rows < most:
+            continue
+        whole = [np.concatenate(x) for x in zip(*held)]
+        cut = int(np.searchsorted(whole[0], whole[0][-1]))
+        if cut:
+            yield [c[:cut] for c in whole]
+        held, rows = [tuple(c[cut:] for c in whole)], 0
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
+
+
 def edit_distance(a: list, b: list, most: int) -> int | None:
-    """Edits between two sequences, or None if more than ``most``: furthest reach per diagonal, O(length + edits squared)."""
+    """Edits between two sequences, or None if more than ``most``.
+
+    What differs is a table of edits with a column per item of ``b``; of a column
+    only where it goes up and down is kept, as bits of two integers (Myers).
+    """
     n, m = len(a), len(b)
     if abs(n - m) > most:
         return None
-    goal, reach = m - n, {0: 0}
-    for edits in range(most + 1):
-        following = {}
-        for diagonal, x in reach.items():
-            while x < n and x + diagonal < m and a[x] == b[x + diagonal]:
-                x += 1
-            if diagonal == goal and x >= n:
-                return edits
-            following[diagonal] = x
-        reach = {}
-        for diagonal, x in following.items():
-            for to, at in ((diagonal, x + 1), (diagonal + 1, x), (diagonal - 1, x + 1)):
-                if at <= n and 0 <= at + to <= m and reach.get(to, -1) < at:
-                    reach[to] = at
-    return None
+    low, short = 0, min(n, m)
+    while low < short and a[low] == b[low]:
+        low += 1
+    high = 0
+    while high < short - low and a[n - 1 - high] == b[m - 1 - high]:
+        high += 1
+    a, b = a[low : n - high], b[low : m - high]
+    places, bit = {}, 1
+    for item in a:
+        places[item] = places.get(item, 0) | bit
+        bit <<= 1
+    every, last, score = bit - 1, bit >> 1, len(a)
+    up, down, left = every, 0, len(b)
+    for item in b:
+        at = places.get(item, 0)
+        same = (((at & up) + up) ^ up) | at | down
+        more, less = down | every & ~(same | up), up & same
+        score += 1 if more & last or not a else -1 if less & last else 0
+        left -= 1
+        if score - left > most:  # a column lowers it by one at most
+            return None
+        more, less = more << 1 | 1, less << 1
+        up, down = every & (less | ~(same | more)), more & same & every
+    return score if score <= most else None
 
 
 def similar(a: list[str], b: list[str], at_least: float) -> bool:
-    """Edit similarity, in words, of at least that much."""
-    return edit_distance(a, b, int(allowed(max(len(a), len(b)), at_least))) is not None
+    """Edit similarity, in words, of at least that much.
+
+    Words to replace in place are enough edits, and each word that only one of
+    the two has needs one; most pairs are decided by that.
+    """
+    most = int(allowed(max(len(a), len(b)), at_least))
+    if len(a) == len(b) and sum(map(ne, a, b)) <= most:
+        return True
+    left, right = set(a), set(b)
+    if max(len(left - right), len(right - left)) > most:
+        return False
+    return edit_distance(a, b, most) is not None
 
 
 def normal_form(line: bytes) -> str:
@@ -513,7 +552,7 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.join(left, "a", "left").join(right, "b", "left").where(F.coalesce("ga", "a") != F.coalesce("gb", "b")).select("a", "b")
 
 
-def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, similarity: float, min_words: int) -> DataFrame:
+def line_groups(texts: DataFrame, occurrences: DataFrame, nodes: DataFrame, distance: int | None, similarity: float, min_words: int) -> DataFrame:
     """(node, component) of those ``nodes`` (node, sim, size, sketch, id of a text that has it) that link to another.
 
     Each node is verified against its closest candidate and one at random first.
@@ -524,7 +563,7 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     if distance is None:
         least = max(min_words, least_size(similarity))
-        dealt = texts.mapInArrow(_deal_rarest(word_counts(texts, least), similarity, least), "bucket long, node long, sim long, odd long, size long")
+        dealt = texts.mapInArrow(_deal_rarest(word_counts(occurrences, width), similarity, least), "bucket long, node long, sim long, odd long, size long")
     else:
         dealt = nodes.select("node", "sim", "size").mapInArrow(_deal(distance), "bucket long, node long, sim long, size long")
     found = dealt.repartition(width, "bucket").sortWithinPartitions("bucket")
@@ -532,7 +571,8 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
     pairs = found.where("not long").groupBy("a", "b").agg(F.min("apart").alias("apart"))
     pairs = materialize(_in_reach(pairs, nodes, similarity), "pairs")
     long = found.where("long").select(F.col("a").alias("run"), F.col("b").alias("node"), F.col("apart").alias("sim"), "odd", "size").distinct()
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+    # The nodes of long runs are read as well, so that no text is cut into words for them once more.
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node"))
     forms = _read_lines(texts, nodes, ends, min_words)
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
     any_one = F.struct(F.xxhash64("a", "b").alias("hash"), "b")
@@ -547,7 +587,6 @@ def line_groups(texts: DataFrame, nodes: DataFrame, distance: int | None, simila
     if not is_empty(long):
         rest = materialize(_long_pairs(long, nodes, groups, distance, similarity).join(pairs, ["a", "b"], "left_anti"), "rest")
         if not is_empty(rest):
-            forms = _read_lines(texts, nodes, rest.select(F.explode(F.array("a", "b")).alias("node")), min_words)
             groups = merged(groups, _verified(forms, rest, similarity), "line-groups")
     return groups
 
@@ -577,6 +616,19 @@ def _long_pairs(long: DataFrame, sketched: DataFrame, groups: DataFrame, distanc
     return joined.select(F.col("l_node").alias("a"), F.col("r_node").alias("b")).distinct()
 
 
+def _again(batches):
+    """(id, lines) from (id, component, first, line) in this order: all lines but the first document's first one."""
+    for doc, component, first, line in _whole(batches, ("id", "component", "first", "line")):
+        fresh = np.append(True, (doc[1:] != doc[:-1]) | (component[1:] != component[:-1]))
+        twice = ~fresh & np.append(False, line[1:] == line[:-1])  # rows that share an id
+        gone = ~twice & ~(fresh & (doc == first))
+        doc, line = doc[gone], line[gone]
+        line = line[np.lexsort((line, doc))]  # documents stay as they are: each has its lines in the same places
+        starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])[: len(doc)])
+        lines = pa.ListArray.from_arrays(pa.array(np.append(starts, len(doc)), pa.int32()), pa.array(line))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[starts]), lines], names=["id", "lines"])
+
+
 def _without(text_col: str, chars_col: str | None, fields: pa.Schema):
     counted = chars_col in fields.names
 
@@ -606,20 +658,19 @@ def removed_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     if distance is not None and not 1 <= distance <= 7:
         raise ValueError("distance must be between 1 and 7 bits")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    read = _occurrences(min_words, None, WIDE) if distance is None else _occurrences(min_words, simhash, min_words)
-    occurrences = materialize(texts.mapInArrow(read, ", ".join(f"{n} long" for n in _OCCURRENCES.names)), "occurrences")
-    nodes = occurrences.groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"), *[F.max(n).alias(n) for n in _PARITIES])
+    read = _occurrences(min_words, None, WIDE, max(min_words, least_size(similarity))) if distance is None else _occurrences(min_words, simhash, min_words)
+    fields = ", ".join(f"{f.name} {'binary' if f.name == 'counts' else 'long'}" for f in _OCCURRENCES)
+    occurrences = materialize(texts.mapInArrow(read, fields), "occurrences")
+    nodes = occurrences.where("node is not null").groupBy("node", "sim", "size").agg(F.min("id").alias("id"), F.count("*").alias("held"), *[F.max(n).alias(n) for n in _PARITIES])
     nodes = materialize(nodes, "nodes")
-    groups = line_groups(texts, nodes.where(F.col("size") >= least_size(similarity)).drop("held"), distance, similarity, min_words)
+    groups = line_groups(texts, occurrences, nodes.where(F.col("size") >= least_size(similarity)).drop("held"), distance, similarity, min_words)
     alone = nodes.where("held > 1").join(groups, "node", "left_anti").select("node", F.col("node").alias("component"), F.col("id").alias("first"))
     linked = groups.join(nodes.select("node", "id"), "node")
     linked = groups.join(linked.groupBy("component").agg(F.min("id").alias("first")), "component").select("node", "component", "first")
     repeated = materialize(alone.unionByName(linked), "repeated")
-    seen = occurrences.select("id", "line", "node").join(repeated, "node")
-    again = seen.groupBy("id", "component", "first").agg(F.sort_array(F.collect_set("line")).alias("lines"))
-    # The first document of a group keeps the first of its lines.
-    again = again.select("id", F.when(F.col("id") == F.col("first"), F.slice("lines", 2, F.size("lines"))).otherwise(F.col("lines")).alias("lines"))
-    return again.where(F.size("lines") > 0).groupBy("id").agg(F.sort_array(F.flatten(F.collect_list("lines"))).alias("lines"))
+    seen = occurrences.select("id", "line", "node").join(repeated, "node").select("id", "component", "first", "line")
+    width = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    return seen.repartition(width, "id").sortWithinPartitions("id", "component", "line").mapInArrow(_again, "id long, lines array<long>")
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars",

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 16
 SLICE_BYTES = 2 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -118,8 +118,7 @@ def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray, lower: b
         if len(begin):
             # A word ends before the next separator, the next first letter or the end.
             breaks = np.flatnonzero(gap | first)
-            following = np.searchsorted(breaks, begin, "right")
-            end = np.append(breaks, len(part))[following]
+            end = np.append(breaks, len(part))[np.flatnonzero(first[breaks]) + 1]
             powers, inverse = _tables(max(BLOCK, len(part)))
             total = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(WEIGHTS[part] * powers[: len(part)], out=total[1:])
