@@ -40,3 +40,21 @@ def test_empty_and_odd_documents(spark):
         for _, stage in corpus_pipeline.STAGES:
             frame = stage(spark, frame, SF)
         frame.collect()
+
+
+def test_texts_go_to_python_in_small_batches(spark):
+    before = {key: spark.conf.get(key) for key in corpus_pipeline.BATCH_ROWS}
+    docs = spark.range(6000, numPartitions=1).selectExpr("id as doc_id", "'some text' as text")
+
+    def most(asked):
+        for key in before:
+            spark.conf.set(key, asked)
+        corpus_pipeline.in_small_batches(lambda spark, docs, sf_dir: docs)(spark, docs, SF)
+        return docs.mapInArrow(lambda batches: (b.slice(b.num_rows - 1) for b in batches), docs.schema).count()  # a row a batch
+
+    try:
+        assert [most(asked) for asked in ("10000", "500")] == [3, 12]
+        assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
