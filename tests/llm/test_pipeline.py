@@ -42,6 +42,42 @@ def test_empty_and_odd_documents(spark):
         frame.collect()
 
 
+def test_near_duplicates_move_few_texts(spark, tmp_path):
+    words = [[f"w{k}x{i}" for i in range(20)] for k in range(400)]
+    rows = [(k, " ".join(w), "kept") for k, w in enumerate(words)]
+    rows += [(1000 + k, " ".join([*words[k], "more"]), "gone") for k in (3, 50)]
+    rows += [(7, " ".join(words[7]), "kept"), (None, " ".join(words[9]), "null"), (-5, "alone", "kept"), (1 << 40, "far off", "kept")]
+    spark.createDataFrame(rows, "doc_id long, text string, fate string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with more groups than a broadcast may hold
+    try:
+        found = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF)
+        moved = found.collect()
+        lines = found._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.doc_id or 0, r.fate) for r in moved) == sorted([(k, "kept") for k in [*range(400), -5, 1 << 40]] + [(0, "null")])
+    assert _most_texts_shuffled(lines) < 20
+
+
+def _most_texts_shuffled(plan):
+    """Rows of the largest exchange that carries texts, as the plan's run counted them."""
+    most, left = 0, [plan]
+    while left:
+        node = left.pop()
+        kind = node.nodeName()
+        if kind == "AdaptiveSparkPlan":
+            left.append(node.executedPlan())
+        elif kind.endswith("QueryStage"):
+            left.append(node.plan())
+        else:
+            if kind == "Exchange" and "text#" in node.output().mkString(","):
+                most = max(most, node.metrics().apply("shuffleRecordsWritten").value())
+            left += [node.children().apply(i) for i in range(node.children().size())]
+    return most
+
+
 def test_texts_go_to_python_in_small_batches(spark):
     before = {key: spark.conf.get(key) for key in corpus_pipeline.BATCH_ROWS}
     docs = spark.range(6000, numPartitions=1).selectExpr("id as doc_id", "'some text' as text")

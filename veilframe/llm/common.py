@@ -14,6 +14,18 @@ EARLIER = 4  # keys that a posting remembers of its set
 FILTER_BITS = 1 << 23  # one megabyte, whatever the input; more keys only let more rows through
 
 
+def _slot(column: str) -> Column:
+    return F.pmod(F.col(column).cast("long"), F.lit(FILTER_BITS)).cast("long")
+
+
+def _pieces(keys: DataFrame, column: str) -> DataFrame:
+    """(piece, bits) of the bitmap of these keys, 256 rows of 4 KB at most."""
+    return (
+        keys.select(_slot(column).alias("slot")).groupBy(F.expr("slot div 32768").alias("piece"))
+        .agg(F.bitmap_construct_agg(F.expr("slot % 32768").cast("long")).alias("bits"))
+    )
+
+
 class KeyFilter:
     """A fixed-size bitmap of 64-bit keys: no key in it is ever missed, others may pass."""
 
@@ -23,13 +35,8 @@ class KeyFilter:
     @classmethod
     def of(cls, keys: DataFrame, column: str) -> KeyFilter:
         """Built by Spark from any number of keys; 32 KB pieces, 1 MB in all, reach the driver."""
-        slot = F.pmod(F.col(column), F.lit(FILTER_BITS)).cast("long")
-        pieces = (
-            keys.select(slot.alias("slot")).groupBy(F.expr("slot div 32768").alias("piece"))
-            .agg(F.bitmap_construct_agg(F.expr("slot % 32768").cast("long")).alias("bits")).collect()
-        )
         out = np.zeros(FILTER_BITS // 8, np.uint8)
-        for row in pieces:
+        for row in _pieces(keys, column).collect():
             out[row.piece * 4096 : (row.piece + 1) * 4096] = np.frombuffer(bytes(row.bits), np.uint8)
         return cls(out)
 
@@ -38,6 +45,19 @@ class KeyFilter:
         return (self.words[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)
 
 
+def split_by_keys(rows: DataFrame, column: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key may be one of ``keys`` (all that are, and a few others), and the rest, null keys among them.
+
+    The bitmap goes to the rows and is never more than a megabyte, so no row
+    moves for it. ``rows`` are read once for each part.
+    """
+    bits = F.broadcast(_pieces(keys, column).withColumnsRenamed({"piece": "_piece", "bits": "_bits"}))
+    met = rows.withColumn("_slot", _slot(column)).join(bits, F.expr("_slot div 32768 = _piece"), "left")
+    byte = "cast(conv(hex(substring(_bits, cast(_slot % 32768 div 8 as int) + 1, 1)), 16, 10) as int)"
+    held = F.coalesce(F.expr(f"shiftright({byte}, cast(_slot % 8 as int)) % 2 = 1"), F.lit(False))
+    return met.where(held).select(*rows.columns), met.where(~held).select(*rows.columns)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
